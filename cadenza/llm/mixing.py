@@ -4,7 +4,7 @@ Tokens are whitespace words. A document's topic is the first topic whose cue wor
 "general". Targets default to observed shares to the power `temper`, renormalised.
 Defined results: null source, language or text count as "unknown", "unknown" and empty; a document
 is kept where its hash is below its probability, so repeated doc_ids share their fate; a cell with
-no tokens has probability 1.
+no tokens has probability and weight 1.
 """
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -46,15 +46,21 @@ def rake(cells: DataFrame, temper: float, rounds: int) -> DataFrame:
 
 
 def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed: int = 11) -> DataFrame:
-    """docs(doc_id, text, source, lang) -> (doc_id, source, lang, topic, n_tokens, probability, selected)."""
+    """docs(doc_id, text, source, lang) -> (doc_id, source, lang, topic, n_tokens, probability, weight, selected).
+
+    ratio = raked share over observed share of a cell. Cells above their target are sampled with
+    that probability; cells below it are kept whole and carry it as a training weight, so expected
+    weighted tokens meet the targets and no more documents go than must.
+    """
     text = F.coalesce("text", F.lit(""))
     d = docs.select("doc_id", F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("lang", F.lit("unknown")).alias("lang"),
                     topic_of(text).alias("topic"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"))
     d = materialise(d)
     cells = materialise(d.groupBy(*DIMS).agg(F.sum("n_tokens").alias("n")).filter("n > 0"))
     fitted = rake(cells, temper, rounds)
-    ratio = F.col("w") / F.col("n")
-    p = materialise(fitted.withColumn("probability", ratio / F.max(ratio).over(W.partitionBy(F.lit(1)))).select(*DIMS, "probability"))
+    ratio = F.col("w") / F.col("n") * F.sum("n").over(W.partitionBy(F.lit(1)))
+    p = materialise(fitted.withColumn("ratio", ratio).select(*DIMS, "ratio"))
     u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
-    out = d.join(p, list(DIMS), "left").withColumn("probability", F.round(F.coalesce("probability", F.lit(1.0)), 9))
-    return out.withColumn("selected", u < F.col("probability")).select("doc_id", *DIMS, "n_tokens", "probability", "selected")
+    out = d.join(p, list(DIMS), "left").withColumn("ratio", F.round(F.coalesce("ratio", F.lit(1.0)), 9))
+    out = out.withColumn("probability", F.least(F.lit(1.0), "ratio")).withColumn("weight", F.greatest(F.lit(1.0), "ratio"))
+    return out.withColumn("selected", u < F.col("probability")).select("doc_id", *DIMS, "n_tokens", "probability", "weight", "selected")
