@@ -10,6 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: Turn numbers in a stretch.
+STRETCH = 64
+
+
 def rotate_perspectives(turns: DataFrame) -> DataFrame:
     t = turns.filter("conv_id is not null").select(
         "conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), F.coalesce("role", F.lit("unknown")).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
@@ -18,11 +22,20 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
     role = F.when(own, "assistant").when(F.col("speaker") == "system", "system").otherwise("user")
     name = F.when(role == "user", F.col("speaker"))
     head = F.concat(F.lit("<|"), role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit("|>\n"))
-    x = t.join(who, "conv_id").select("conv_id", "perspective", "turn", "speaker", role.alias("chat_role"), name.alias("name"), head.alias("head"), "text")
+    # Stretches of a dialogue keep a long one from landing in one task: offsets are summed within a
+    # stretch, then over the stretches' totals.
+    t = t.withColumn("stretch", F.floor(F.col("turn") / STRETCH))
+    views = t.select("conv_id", "stretch").distinct().join(who, "conv_id")
+    x = t.join(views, ["conv_id", "stretch"]).select("conv_id", "perspective", "stretch", "turn", "speaker", role.alias("chat_role"), name.alias("name"), head.alias("head"), "text")
     x = x.withColumn("rendered", F.concat("head", "text", F.lit("<|end|>\n")))
-    order = W.partitionBy("conv_id", "perspective").orderBy("turn", "speaker", "text")
+    order = W.partitionBy("conv_id", "stretch", "perspective").orderBy("turn", "speaker", "text")
+    key = ["conv_id", "stretch", "perspective"]
+    before = W.partitionBy("conv_id", "perspective").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+    total = x.groupBy(*key).agg(F.sum(F.length("rendered")).alias("chars"), F.count("*").alias("rows"))
+    total = total.select(*key, F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars_before"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"))
     end = F.sum(F.length("rendered")).over(order.rowsBetween(W.unboundedPreceding, 0))
     x = x.withColumn("position", F.row_number().over(order)).withColumn("char_end", end)
+    x = x.join(total, key).withColumn("position", (F.col("position") + F.col("rows_before")).cast("int")).withColumn("char_end", F.col("char_end") + F.col("chars_before"))
     start = F.col("char_end") - F.length("rendered")
     mask = F.col("chat_role") == "assistant"
     return x.select("conv_id", "perspective", "position", "turn", "speaker", "chat_role", "name", "rendered", start.cast("long").alias("char_start"), F.col("char_end").cast("long"),

@@ -211,3 +211,21 @@ def test_empty_tables(spark):
     for x in (line_dedup.line_dedup(d), simhash.simhash_near_dedup(d), mixing.mix_to_targets(d), pii.find_pii(d), licenses.license_scan(d), bpe.bpe_encode(d, path, public_tokenizers.PATTERN), vectors.embedding_near_dedup(v), vectors.hilbert_neighbours(v, v)):
         assert x.count() == 0
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_chat_long_dialogue(spark):
+    """Offsets run on over stretches; null, negative and repeated turns included."""
+    from cadenza.llm.chat import rotate_perspectives
+
+    rows = [(1, i, "ab c"[i % 4] if i % 7 else None, "x" * (i % 11)) for i in range(-70, 200)] + [(1, None, "a", "y"), (1, 3, "a", "z"), (1, 3, "a", "z"), (2, 0, "a", None)]
+    got = rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for conv, me in {(r.conv_id, r.perspective) for r in got}:
+        mine = sorted((r for r in got if (r.conv_id, r.perspective) == (conv, me)), key=lambda r: r.position)
+        turns = sorted((-1 if t is None else t, w or "unknown", x or "") for c, t, w, x in rows if c == conv)
+        at = 0
+        assert [r.position for r in mine] == list(range(1, len(turns) + 1))
+        for r, (t, w, x) in zip(mine, turns):
+            head = "<|assistant|>\n" if w == me else f"<|user name={w}|>\n"
+            assert (r.turn, r.rendered, r.char_start) == (t, head + x + "<|end|>\n", at)
+            at += len(r.rendered)
+            assert r.char_end == at and r.loss_start == (r.char_start + len(head) if w == me else None)
