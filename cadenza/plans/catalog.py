@@ -6,8 +6,10 @@ pixels = the embedding scaled to 0..255; boxes in a frame = rows of lineitem by
 import re
 from functools import partial
 
-from cadenza.operators import frames as kernels
+from cadenza.functions import scalars
+from cadenza.operators import frames, kernels
 from cadenza.session import table
+from cadenza.streaming import sequence
 
 EV = """ev AS (SELECT event_type AS clip_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS BIGINT) AS frame_idx,
  event_id, user_id, ts, value AS x FROM {events})"""
@@ -91,5 +93,5 @@ def _duck(sql):
     return re.sub(r"\{(\w+)\}", r"\1", sql)
 
 
-QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | kernels.QUERIES
-ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | kernels.ORACLES
+QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | frames.QUERIES | kernels.QUERIES | scalars.QUERIES | sequence.QUERIES
+ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | frames.ORACLES | kernels.ORACLES | scalars.ORACLES | sequence.ORACLES
