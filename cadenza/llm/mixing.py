@@ -64,3 +64,25 @@ def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed:
     out = d.join(p, list(DIMS), "left").withColumn("ratio", F.round(F.coalesce("ratio", F.lit(1.0)), 9))
     out = out.withColumn("probability", F.least(F.lit(1.0), "ratio")).withColumn("weight", F.greatest(F.lit(1.0), "ratio"))
     return out.withColumn("selected", u < F.col("probability")).select("doc_id", *DIMS, "n_tokens", "probability", "weight", "selected")
+
+
+def mixing_sql(temper: float = 0.7, rounds: int = 12, seed: int = 11) -> str:
+    """The same result in DuckDB SQL, one common table a raking step."""
+    topic = " ".join(f"WHEN regexp_matches(x, '{cue}') THEN '{name}'" for name, cue in TOPICS.items())
+    share = ", ".join(f"pow(sum(w) OVER (PARTITION BY {d}), {temper}) AS p_{d}, count(*) OVER (PARTITION BY {d}) AS c_{d}" for d in DIMS)
+    target = ", ".join(f"p_{d} / sum(p_{d} / c_{d}) OVER () AS t_{d}" for d in DIMS)
+    steps, last = [], "s0"
+    for k in range(rounds * len(DIMS)):
+        d, new = DIMS[k % len(DIMS)], f"s{k + 1}"
+        steps.append(f"{new} AS MATERIALIZED (SELECT * REPLACE (w * t_{d} / nullif(sum(w) OVER (PARTITION BY {d}), 0) AS w) FROM {last})")
+        last = new
+    return rf"""
+WITH x AS (SELECT doc_id, coalesce(source, 'unknown') AS source, coalesce(lang, 'unknown') AS lang, coalesce(text, '') AS x FROM documents),
+d AS MATERIALIZED (SELECT doc_id, source, lang, CASE {topic} ELSE 'general' END AS topic, CAST(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM x),
+c AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS n FROM d GROUP BY ALL HAVING sum(n_tokens) > 0),
+h AS (SELECT *, n / sum(n) OVER () AS w FROM c), p AS (SELECT *, {share} FROM h), s0 AS MATERIALIZED (SELECT *, {target} FROM p),
+{", ".join(steps)},
+r AS (SELECT source, lang, topic, w / n * sum(n) OVER () AS ratio FROM {last}),
+j AS (SELECT d.*, round(coalesce(ratio, 1.0), 9) AS ratio FROM d LEFT JOIN r USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, n_tokens, least(1.0, ratio) AS probability, greatest(1.0, ratio) AS weight,
+ CAST('0x' || substr(md5(concat_ws(':', '{seed}', CAST(doc_id AS VARCHAR))), 1, 8) AS BIGINT) / 4294967296.0 < least(1.0, ratio) AS selected FROM j"""

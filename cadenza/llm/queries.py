@@ -61,6 +61,7 @@ def op10_byte_bpe(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_near_dedup, op3_mixing_targets, op4_chat_perspectives, op5_hilbert_neighbours, op6_license_scan, op7_quality_scores, op8_personal_data, op9_simhash_near_dedup, op10_byte_bpe)}
 
 ORACLES = {
+    "op3_mixing_targets": mixing.mixing_sql(),
     "op4_chat_perspectives": chat.CHAT_SQL,
     "op1_line_dedup": r"""
 WITH l AS (SELECT doc_id, i, x AS line, translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k

@@ -229,3 +229,19 @@ def test_chat_long_dialogue(spark):
             assert (r.turn, r.rendered, r.char_start) == (t, head + x + "<|end|>\n", at)
             at += len(r.rendered)
             assert r.char_end == at and r.loss_start == (r.char_start + len(head) if w == me else None)
+
+
+def test_mixing_sql(spark):
+    import duckdb
+
+    from cadenza.llm import queries
+
+    d = "/root/testdata/sf0.001"
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{d}/documents.parquet')")
+    o = c.execute(queries.ORACLES["op3_mixing_targets"])
+    cols = [x[0] for x in o.description]
+    df = queries.op3_mixing_targets(spark, d)
+    assert sorted(cols) == sorted(df.columns)
+    key = lambda r: tuple(str(round(v, 7) if isinstance(v, float) else v) for v in r)
+    assert sorted(map(key, df.select(*cols).collect())) == sorted(map(key, o.fetchall()))
