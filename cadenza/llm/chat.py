@@ -22,20 +22,20 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
     role = F.when(own, "assistant").when(F.col("speaker") == "system", "system").otherwise("user")
     name = F.when(role == "user", F.col("speaker"))
     head = F.concat(F.lit("<|"), role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit("|>\n"))
-    # Stretches of a dialogue keep a long one from landing in one task: offsets are summed within a
-    # stretch, then over the stretches' totals.
+    tail = "<|end|>\n"
+    # Stretches of a dialogue keep a long one from landing in one task: what comes before a stretch is
+    # summed from counts and lengths alone, so texts are dealt once, by dialogue and stretch.
     t = t.withColumn("stretch", F.floor(F.col("turn") / STRETCH))
-    views = t.select("conv_id", "stretch").distinct().join(who, "conv_id")
-    x = t.join(views, ["conv_id", "stretch"]).select("conv_id", "perspective", "stretch", "turn", "speaker", role.alias("chat_role"), name.alias("name"), head.alias("head"), "text")
-    x = x.withColumn("rendered", F.concat("head", "text", F.lit("<|end|>\n")))
-    order = W.partitionBy("conv_id", "stretch", "perspective").orderBy("turn", "speaker", "text")
-    key = ["conv_id", "stretch", "perspective"]
+    size = t.groupBy("conv_id", "stretch", "speaker").agg(F.count("*").alias("rows"), F.sum(F.length("text")).alias("chars"))
+    size = size.join(who, "conv_id").withColumn("chars", F.col("chars") + F.col("rows") * (F.length(head) + len(tail)))
+    size = size.groupBy("conv_id", "perspective", "stretch").agg(F.sum("rows").alias("rows"), F.sum("chars").alias("chars"))
     before = W.partitionBy("conv_id", "perspective").orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
-    total = x.groupBy(*key).agg(F.sum(F.length("rendered")).alias("chars"), F.count("*").alias("rows"))
-    total = total.select(*key, F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars_before"), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"))
-    end = F.sum(F.length("rendered")).over(order.rowsBetween(W.unboundedPreceding, 0))
-    x = x.withColumn("position", F.row_number().over(order)).withColumn("char_end", end)
-    x = x.join(total, key).withColumn("position", (F.col("position") + F.col("rows_before")).cast("int")).withColumn("char_end", F.col("char_end") + F.col("chars_before"))
+    views = size.select("conv_id", "stretch", "perspective", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("rows", "chars")])
+    x = t.join(views, ["conv_id", "stretch"])
+    x = x.withColumns({"chat_role": role, "name": name, "head": head, "rendered": F.concat(head, "text", F.lit(tail))})
+    order = W.partitionBy("conv_id", "stretch", "perspective").orderBy("turn", "speaker", "text")
+    end = F.sum(F.length("rendered")).over(order.rowsBetween(W.unboundedPreceding, 0)) + F.col("chars_before")
+    x = x.withColumn("position", (F.row_number().over(order) + F.col("rows_before")).cast("int")).withColumn("char_end", end)
     start = F.col("char_end") - F.length("rendered")
     mask = F.col("chat_role") == "assistant"
     return x.select("conv_id", "perspective", "position", "turn", "speaker", "chat_role", "name", "rendered", start.cast("long").alias("char_start"), F.col("char_end").cast("long"),
