@@ -7,7 +7,8 @@ import re
 from functools import partial
 
 from cadenza.functions import scalars
-from cadenza.operators import frames, kernels
+from cadenza.operators import frames, kernels, vision
+from cadenza.plans import rules
 from cadenza.session import table
 from cadenza.streaming import sequence
 
@@ -77,6 +78,7 @@ SQL = {
 }
 #: The halo form: overlapping buckets of frames, so one long clip uses many tasks.
 SQL["halo_window"] = f"WITH {EV}, h AS (SELECT *, CAST(floor(frame_idx / 100) AS BIGINT) AS b FROM ev), u AS (SELECT *, b AS g FROM h UNION ALL SELECT *, b + 1 FROM h WHERE frame_idx % 100 >= 98 UNION ALL SELECT *, b - 1 FROM h WHERE frame_idx % 100 = 0 AND b > 0), w AS (SELECT *, lag(x, 1) OVER q AS x1, lag(x, 2) OVER q AS x2, lead(x, 1) OVER q AS xn FROM u WINDOW q AS (PARTITION BY clip_id, g ORDER BY frame_idx)) SELECT clip_id, frame_idx, x1, x2, xn FROM w WHERE b = g"
+SQL |= rules.SQL
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
 
 
@@ -93,5 +95,5 @@ def _duck(sql):
     return re.sub(r"\{(\w+)\}", r"\1", sql)
 
 
-QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | frames.QUERIES | kernels.QUERIES | scalars.QUERIES | sequence.QUERIES
-ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | frames.ORACLES | kernels.ORACLES | scalars.ORACLES | sequence.ORACLES
+QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | frames.QUERIES | kernels.QUERIES | vision.QUERIES | scalars.QUERIES | sequence.QUERIES
+ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | frames.ORACLES | kernels.ORACLES | vision.ORACLES | scalars.ORACLES | sequence.ORACLES

@@ -98,3 +98,44 @@ def test_stream_state_spans_batches(spark, tmp_path):
     got = sorted((r.clip_id, r.event_id, r.x1, r.x2) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     n = lambda v: float(v) if v >= 0 else None
     assert got == [(c, i, n(i - 1), n(i - 2)) for c in "ab" for i in range(12)]
+
+
+def test_vision_kernels():
+    from cadenza.operators import vision as V
+
+    rng = np.random.default_rng(5)
+    a = rng.uniform(0, 255, (24, 24))
+    assert np.allclose(V.ms_ssim_arrays(a[None], a[None], 8), sum(V.SCALES[:2]) / sum(V.SCALES))
+    black, white = np.zeros((100, 100, 3)), np.full((100, 100, 3), 255)
+    assert V.frame_difference(black, black) == 0 and np.isclose(V.frame_difference(black, white), 1)
+    b = np.roll(a, (2, -3), (0, 1))
+    f = V.flow(a, b)
+    assert (f[6:18, 6:18] == (2, -3)).all()
+    assert np.allclose(V.warp(b, f)[6:18, 6:18], a[6:18, 6:18])
+    assert V.flow_consistency(a, a, a)[0] == 0
+    mask = np.zeros((40, 60), bool)
+    mask[3:6, 3:6] = mask[6, 6] = mask[20:30, 40:42] = True
+    assert V.components(mask) == [(3, 3, 4, 4, 10), (20, 40, 10, 2, 20)]
+    assert V.components(np.zeros((4, 4), bool)) == []
+    field = np.zeros((300, 400, 3), np.uint8)
+    field[..., 1] = 120
+    y, x = np.mgrid[:300, :400]
+    field[(y - 100) ** 2 + (x - 120) ** 2 <= 64] = 255
+    field[150:210, 200:225] = (200, 30, 30)
+    assert V.pitch_coverage(field) > 0.9
+    assert [p[:4] for p in V.players(field)] == [(200, 150, 25, 60)]
+    assert [(round(c[0]), round(c[1]), round(c[2])) for c in V.balls(field)] == [(120, 100, 8)]
+    assert V.clamp_envelope(black, white, black).max() == 10
+
+
+def test_track_and_deflicker(spark):
+    from cadenza.operators import vision as V
+
+    pts = [("a", 0, 0.0, 0.0), ("a", 1, 30.0, 0.0), ("a", 2, 300.0, 0.0), ("a", 3, None, None), ("a", 4, 400.0, 0.0), ("a", 5, None, None), ("a", 6, 700.0, 0.0), ("b", 0, 9.0, 9.0)]
+    pts += [("c", 0, 1.0, 1.0), *[("c", i, None, None) for i in range(1, 5)], ("c", 5, 900.0, 1.0)]
+    t = V.track(spark.createDataFrame(pts, "clip_id string, frame_idx long, x double, y double"))
+    got = {(r.clip_id, r.frame_idx): r.state for r in t.collect()}
+    assert [got["a", i] for i in range(7)] == ["start", "ok", "teleport", "missing", "ok", "missing", "far"]
+    assert got["b", 0] == "start" and got["c", 4] == "missing" and got["c", 5] == "start"
+    f = spark.createDataFrame([("a", i, [float(v)]) for i, v in enumerate((10, 250, 12, 14))], "clip_id string, frame_idx long, px array<double>")
+    assert {r.frame_idx: r.px for r in V.deflicker(f).collect()} == {0: [10], 1: [22], 2: [12], 3: [14]}
