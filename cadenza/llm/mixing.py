@@ -45,25 +45,27 @@ def rake(cells: DataFrame, temper: float, rounds: int) -> DataFrame:
     return x
 
 
-def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed: int = 11) -> DataFrame:
+def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed: int = 11, key: str = "CAST(doc_id AS STRING)", carry=()) -> DataFrame:
     """docs(doc_id, text, source, lang) -> (doc_id, source, lang, topic, n_tokens, probability, weight, selected).
 
     ratio = raked share over observed share of a cell. Cells above their target are sampled with
     that probability; cells below it are kept whole and carry it as a training weight, so expected
-    weighted tokens meet the targets and no more documents go than must.
+    weighted tokens meet the targets and no more documents go than must. key (SQL, default doc_id) is what the hash is taken of; columns of
+    docs named in carry stay on their row, in a struct `row`.
     """
     text = F.coalesce("text", F.lit(""))
-    d = docs.select("doc_id", F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("lang", F.lit("unknown")).alias("lang"),
+    row = [F.struct(*carry).alias("row")] if carry else []
+    d = docs.select("doc_id", F.expr(key).alias("key"), *row, F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("lang", F.lit("unknown")).alias("lang"),
                     topic_of(text).alias("topic"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"))
     d = materialise(d)
     cells = materialise(d.groupBy(*DIMS).agg(F.sum("n_tokens").alias("n")).filter("n > 0"))
     fitted = rake(cells, temper, rounds)
     ratio = F.col("w") / F.col("n") * F.sum("n").over(W.partitionBy(F.lit(1)))
     p = materialise(fitted.withColumn("ratio", ratio).select(*DIMS, "ratio"))
-    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("key")).cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
     out = d.join(p, list(DIMS), "left").withColumn("ratio", F.round(F.coalesce("ratio", F.lit(1.0)), 9))
     out = out.withColumn("probability", F.least(F.lit(1.0), "ratio")).withColumn("weight", F.greatest(F.lit(1.0), "ratio"))
-    return out.withColumn("selected", u < F.col("probability")).select("doc_id", *DIMS, "n_tokens", "probability", "weight", "selected")
+    return out.withColumn("selected", u < F.col("probability")).select("doc_id", *DIMS, "n_tokens", "probability", "weight", "selected", *(["row"] if carry else []))
 
 
 def mixing_sql(temper: float = 0.7, rounds: int = 12, seed: int = 11) -> str:

@@ -39,18 +39,22 @@ def features(text: str):
 _DROP_LETTERS = {c: None for r in (range(65, 91), range(97, 123), range(192, 383)) for c in r}
 
 
-def featurise(docs: DataFrame) -> DataFrame:
-    """(doc_id, x array<double>) of whole texts."""
+def featurise(docs: DataFrame, carry=()) -> DataFrame:
+    """(doc_id, x array<double>) of whole texts, and the columns of carry."""
     small_batches(docs.sparkSession, 500)
+    read = docs.select("doc_id", "text", *[c for c in carry if c not in ("doc_id", "text")])
+    kept = ["doc_id", *[c for c in carry if c != "doc_id"]]
+    at = [read.columns.index(c) for c in kept]
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             x = [features(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in at], pa.array(x, pa.list_(pa.float64()))], [*kept, "x"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>")
+    carried = "".join(f"`{c}` {read.schema[c].dataType.simpleString()}, " for c in kept[1:])
+    return read.mapInArrow(run, f"doc_id long, {carried}x array<double>")
 
 
 def held_out(doc_id="doc_id"):
@@ -84,8 +88,10 @@ def fit(x, y, pairs=60_000, steps=400, seed=7):
     return mu.tolist(), sd.tolist(), w.tolist(), best[1], 1.0
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = 20_000, cut: float = 0.3) -> DataFrame:
-    """docs(doc_id, text), labels(doc_id, label) -> (doc_id, held_out, score, predicted).
+def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = 20_000, cut: float = 0.3, carry=()) -> DataFrame:
+    """docs(doc_id, text), labels(doc_id, label) -> (doc_id, held_out, score, predicted), one row per row of docs.
+
+    Columns of docs named in carry stay on their row, after doc_id.
 
     Learns from at most max_train labelled rows outside the held-out fold, chosen by a hash of
     doc_id; the same scores go to every document.
@@ -97,11 +103,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", m
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     train = featurise(docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")).join(chosen, "doc_id").orderBy("doc_id").select("x", "y").collect()
     model = fit([r.x for r in train], [int(r.y) for r in train]) if train else None
-    rows = featurise(docs)
+    rows = featurise(docs, carry)
     if model is None:
         score = F.lit(0.5)
     else:
         mu, sd, w, t, slope = model
         terms = [F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (F.col("x")[i] - mu[i]) / sd[i])) * w[i] for i in range(len(w))]
         score = 1 / (1 + F.exp(-((sum(terms[1:], terms[0]) - t) * slope + base)))
-    return rows.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= cut).cast("int"))
+    return rows.select(*[c for c in rows.columns if c != "x"], F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= cut).cast("int"))

@@ -1,16 +1,20 @@
-"""Corpus pipeline: quality, line dedup, SimHash near-dedup, mixing, BPE; each stage is stored."""
+"""Corpus pipeline: quality, line dedup, SimHash near-dedup, mixing, BPE; each stage is stored.
+
+Each stage decides on a row itself, not by its doc_id, which may be null.
+"""
 from pyspark.sql import functions as F
 
 from cadenza.llm import bpe, common, line_dedup, mixing, quality, simhash
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: What decides a row's fate in mixing: rows without a doc_id go by their text, or all would share one fate.
+KEY = "coalesce(CAST(doc_id AS STRING), md5(CAST(coalesce(text, '') AS BINARY)))"
 
 
 def quality_stage(spark, docs, sf_dir):
     """Drops documents that the classifier predicts as 0."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    good = quality.quality_scores(docs, labels).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi").select(*COLUMNS)
+    return quality.quality_scores(docs, labels, carry=COLUMNS).filter("predicted = 1").select(*COLUMNS)
 
 
 def line_stage(spark, docs, sf_dir):
@@ -26,8 +30,7 @@ def simhash_stage(spark, docs, sf_dir):
 
 def mixing_stage(spark, docs, sf_dir):
     """Keeps the documents sampled by calibrated probabilities."""
-    kept = mixing.mix_to_targets(docs).filter("selected").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    return mixing.mix_to_targets(docs, key=KEY, carry=COLUMNS).filter("selected").select("row.*")
 
 
 def bpe_stage(spark, docs, sf_dir):
