@@ -55,9 +55,12 @@ def segment_keys(words, offsets):
     return np.where(e >= 0, (words[:, None] ^ e) >> 11, -1)
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp long): majority bits of XXH64 of all word shingles."""
+def fingerprints(docs: DataFrame, words: int = 4, carry=()) -> DataFrame:
+    """(doc_id, fp long): majority bits of XXH64 of all word shingles; then the columns of carry."""
     small_batches(docs.sparkSession)
+    read = docs.select(F.col("doc_id").cast("long"), "text", *[c for c in carry if c not in ("doc_id", "text")])
+    kept = [c for c in carry if c != "doc_id"]
+    at = [read.columns.index(c) for c in kept]
 
     def run(batches):
         import numpy as np
@@ -85,9 +88,9 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
                     for j in range(0, len(bits), 255):
                         votes += bits[j : j + 255].sum(0, dtype=np.uint8)
                 out[i] = np.packbits(votes * 2 > shingles, bitorder="little").view("<u8")[0]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out.view(np.int64)), *[b.column(i) for i in at]], ["doc_id", "fp", *kept])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return read.mapInArrow(run, ", ".join(["doc_id long, fp long", *[f"`{c}` {read.schema[c].dataType.simpleString()}" for c in kept]]))
 
 
 def fuzzy_keys(fps: DataFrame) -> DataFrame:
@@ -156,12 +159,31 @@ def verified(keys: DataFrame, bits: int) -> DataFrame:
     return keys.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
+def components(fp: DataFrame, first, bits: int) -> DataFrame:
+    """fp(fp, ...) -> (fp, first, root): the aggregate `first` of each fingerprint, and its component."""
+    classes = fp.groupBy("fp").agg(first.alias("first"))
+    comp = connected_components(verified(fuzzy_keys(classes), bits).distinct())
+    return classes.join(comp, classes.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+
+
 def simhash_near_dedup(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
     """docs(doc_id, text, ...) -> (doc_id, fp, component_id), one row per row of docs."""
     fp = materialise(fingerprints(docs, words))
-    classes = fp.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    comp = connected_components(verified(fuzzy_keys(classes), bits).distinct())
-    roots = classes.join(comp, classes.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+    roots = components(fp, F.min("doc_id"), bits)
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = materialise(roots.join(least, "root").select("fp", "component_id"))
     return fp.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_per_component(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
+    """docs(doc_id, text, ...) -> the same columns, exactly one row of each component.
+
+    It is the row of the smallest doc_id, null being the largest; among rows of that doc_id the one
+    with the least hash of its columns. The row number only parts equal rows; it is stored with
+    them, so that it holds.
+    """
+    cols = docs.columns
+    rows = materialise(fingerprints(docs, words, cols).withColumns({"row_hash": F.xxhash64(*cols), "row_id": F.monotonically_increasing_id()}))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash", "row_id")
+    kept = components(rows, F.min(rank), bits).groupBy("root").agg(F.min("first").alias("first")).select("first.row_id")
+    return rows.join(materialise(kept), "row_id", "left_semi").select(*cols)

@@ -23,9 +23,8 @@ def line_stage(spark, docs, sf_dir):
 
 
 def simhash_stage(spark, docs, sf_dir):
-    """Keeps the smallest doc_id of each group."""
-    kept = simhash.simhash_near_dedup(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Keeps one row of each group, that of the smallest doc_id; null is the largest."""
+    return simhash.one_per_component(docs.select(*COLUMNS))
 
 
 def mixing_stage(spark, docs, sf_dir):

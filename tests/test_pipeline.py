@@ -50,3 +50,13 @@ def test_mixing_stage_keeps_null_ids(spark):
 def test_bpe_stage_keeps_null_ids(spark):
     got = P.bpe_stage(spark, frame(spark, [(None, "one two", "a"), (None, None, "a"), (1, "three", "a")]), "").collect()
     assert sorted((str(r.doc_id), r.text, r.n_tokens > 0) for r in got) == [("1", "three", True), ("None", "", False), ("None", "one two", True)]
+
+
+def test_simhash_stage_keeps_one_row_a_group(spark):
+    a, b, c, d = (prose(60, i) for i in range(4))
+    rows = [(7, a, "a")] * 3  # repeated rows
+    rows += [(1, b, "a"), (5, b, "a"), (5, c, "a")]  # doc 5 copies doc 1, and another row of it stands alone
+    rows += [(None, d, "a"), (None, d, "a"), (None, d.upper(), "a")]  # a group without ids
+    rows += [(None, a, "b"), (None, None, "a"), (None, "", "a")]  # a copy without an id; no words
+    got = keys(P.simhash_stage(spark, frame(spark, rows).repartition(5), ""))
+    assert sorted((i, (t or "").lower()) for i, t in got) == sorted([("7", a), ("1", b), ("5", c), ("None", d), ("None", "")])
