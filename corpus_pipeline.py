@@ -28,17 +28,18 @@ def simhash_stage(spark, docs, sf_dir):
 
 
 def mixing_stage(spark, docs, sf_dir):
-    """Keeps the documents sampled by calibrated probabilities."""
-    return mixing.mix_to_targets(docs, key=KEY, carry=COLUMNS).filter("selected").select("row.*")
+    """Samples the cells above their target; `weight` brings the tokens of the others up to theirs."""
+    return mixing.mix_to_targets(docs, key=KEY, carry=COLUMNS).filter("selected").select("row.*", "weight")
 
 
 def bpe_stage(spark, docs, sf_dir):
-    """Adds token ids; the text is what they decode to."""
+    """Adds token ids; the text is what they decode to. The weight of mixing stays."""
     import public_tokenizers as P
 
     path = P.path("byte_bpe_multi_50k.tiktoken")
-    x = bpe.bpe_decode(bpe.bpe_encode(docs.select(*COLUMNS), path, P.PATTERN), path, P.PATTERN)
-    return x.select("doc_id", F.col("decoded").cast("string").alias("text"), "lang", "source", "n_chars", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"))
+    weight = [c for c in docs.columns if c == "weight"]
+    x = bpe.bpe_decode(bpe.bpe_encode(docs.select(*COLUMNS, *weight), path, P.PATTERN), path, P.PATTERN)
+    return x.select("doc_id", F.col("decoded").cast("string").alias("text"), "lang", "source", "n_chars", *weight, "token_ids", F.size("token_ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [("quality", quality_stage), ("line_dedup", line_stage), ("simhash_near_dedup", simhash_stage), ("mixing", mixing_stage), ("byte_bpe", bpe_stage)]

@@ -60,3 +60,12 @@ def test_simhash_stage_keeps_one_row_a_group(spark):
     rows += [(None, a, "b"), (None, None, "a"), (None, "", "a")]  # a copy without an id; no words
     got = keys(P.simhash_stage(spark, frame(spark, rows).repartition(5), ""))
     assert sorted((i, (t or "").lower()) for i, t in got) == sorted([("7", a), ("1", b), ("5", c), ("None", d), ("None", "")])
+
+
+def test_kept_weights_meet_the_targets(spark):
+    rows = [(i, prose(50, i), "a" if i % 10 else "b") for i in range(2000)]
+    got = P.bpe_stage(spark, P.mixing_stage(spark, frame(spark, rows), ""), "").collect()
+    mass = {s: sum(r.weight * len(r.text.split()) for r in got if r.source == s) for s in "ab"}
+    target = 0.1**0.7 / (0.1**0.7 + 0.9**0.7)
+    assert abs(mass["b"] / (mass["a"] + mass["b"]) - target) < 0.01
+    assert {r.doc_id for r in got if r.source == "b"} == set(range(0, 2000, 10))
