@@ -17,7 +17,7 @@ def features(text: str):
     def shares(t):
         w = t.split()
         n, c = max(1, len(w)), max(1, len(t))
-        letters = sum(map(str.isalpha, t)) if len(t) < 400 else c - len(t.translate(_DROP_LETTERS))
+        letters = n_letters(t)
         odd = sum(t.count(x) for x in "#%&*$!|@~^=<>{}[]\\/_")
         again = sum(a == b for a, b in zip(w, w[1:]))
         return (odd / c, sum(map(str.isupper, w)) / n, again / n, len(set(w)) / n, letters / c, len(w))
@@ -36,7 +36,15 @@ def features(text: str):
     ]
 
 
-_DROP_LETTERS = {c: None for r in (range(65, 91), range(97, 123), range(192, 383)) for c in r}
+_ASCII = bytes(range(128))
+_ASCII_LETTERS = bytes(c for c in _ASCII if chr(c).isalpha())
+
+
+def n_letters(text: str) -> int:
+    """Characters that are letters in any script (str.isalpha); those of ASCII are counted as bytes."""
+    b = text.encode("utf-8", "surrogatepass")
+    n = len(b) - len(b.translate(None, _ASCII_LETTERS))
+    return n if len(b) == len(text) else n + sum(map(str.isalpha, b.translate(None, _ASCII).decode("utf-8", "surrogatepass")))
 
 
 def featurise(docs: DataFrame, carry=()) -> DataFrame:
