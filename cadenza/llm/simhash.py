@@ -186,4 +186,5 @@ def one_per_component(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFra
     rows = materialise(fingerprints(docs, words, cols).withColumns({"row_hash": F.xxhash64(*cols), "row_id": F.monotonically_increasing_id()}))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash", "row_id")
     kept = components(rows, F.min(rank), bits).groupBy("root").agg(F.min("first").alias("first")).select("first.row_id")
-    return rows.join(materialise(kept), "row_id", "left_semi").select(*cols)
+    # a merge join at every size, so that shuffle grows in proportion to the input
+    return rows.join(materialise(kept).hint("merge"), "row_id", "left_semi").select(*cols)
