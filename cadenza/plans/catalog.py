@@ -6,6 +6,8 @@ pixels = the embedding scaled to 0..255; boxes in a frame = rows of lineitem by
 import re
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from cadenza.functions import scalars
 from cadenza.operators import frames, kernels, vision
 from cadenza.plans import rules
@@ -95,5 +97,10 @@ def _duck(sql):
     return re.sub(r"\{(\w+)\}", r"\1", sql)
 
 
-QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | frames.QUERIES | kernels.QUERIES | vision.QUERIES | scalars.QUERIES | sequence.QUERIES
-ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | frames.ORACLES | kernels.ORACLES | vision.ORACLES | scalars.ORACLES | sequence.ORACLES
+def model_matrix(spark, sf_dir):
+    """J13 whole: one row a metric, one column a clip, whatever clips the table holds."""
+    return _spark(SQL["metrics_long"], spark, sf_dir).groupBy("metric").pivot("clip_id").agg(F.first("value"))
+
+
+QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | {"model_matrix": model_matrix} | frames.QUERIES | kernels.QUERIES | vision.QUERIES | scalars.QUERIES | sequence.QUERIES
+ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | {"model_matrix": f"SELECT * FROM (PIVOT ({_duck(SQL['metrics_long'])}) ON clip_id USING first(value) GROUP BY metric)"} | frames.ORACLES | kernels.ORACLES | vision.ORACLES | scalars.ORACLES | sequence.ORACLES
