@@ -1,11 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting, in DataFrame operations only.
 
 Tokens are whitespace words. A document's topic is the first topic whose cue words it holds, or
-"general". Targets default to observed shares to the power `temper`, renormalised.
+"general". Targets default to observed shares to the power `temper`, renormalised; others can be given.
 Defined results: null source, language or text count as "unknown", "unknown" and empty; a document
 is kept where its hash is below its probability, so repeated doc_ids share their fate; a cell with
 no tokens has probability and weight 1.
 """
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,8 +25,19 @@ def topic_of(text):
     return out
 
 
-def rake(cells: DataFrame, temper: float, rounds: int) -> DataFrame:
-    """cells(source, lang, topic, n) -> + w, whose marginals meet the tempered targets."""
+def marginal_error(x: DataFrame) -> float:
+    """The largest distance of a marginal of w from its target."""
+    far = [F.abs(F.sum("w").over(W.partitionBy(d)) - F.col(f"t_{d}")).alias(d) for d in DIMS]
+    return x.select(F.greatest(*far).alias("far")).agg(F.coalesce(F.max("far"), F.lit(0.0))).first()[0]
+
+
+def rake(cells: DataFrame, temper: float, rounds: int, targets: dict | None = None, tolerance: float | None = None, most: int = 300) -> DataFrame:
+    """cells(source, lang, topic, n) -> + w, whose marginals meet the targets.
+
+    targets: {dimension: {value: share}}; values not named divide what is left by their tempered
+    shares. With a tolerance, rounds go on until no marginal is farther than that from its target;
+    a warning gives the distance where `most` rounds do not reach it, as with cells that do not exist.
+    """
     x = cells.withColumn("w", F.col("n").cast("double"))
     total = F.sum("w").over(W.partitionBy(F.lit(1)))
     x = x.withColumn("w", F.col("w") / total)
@@ -35,22 +48,33 @@ def rake(cells: DataFrame, temper: float, rounds: int) -> DataFrame:
         cnt = F.count("*").over(W.partitionBy(d))
         x = x.withColumn(f"c_{d}", cnt)
         x = x.withColumn(f"t_{d}", F.col(f"p_{d}") / F.sum(F.col(f"p_{d}") / F.col(f"c_{d}")).over(W.partitionBy(F.lit(1))))
+        if named := (targets or {}).get(d):
+            given = F.create_map(*[F.lit(y) for v, share in named.items() for y in (v, float(share))])[F.col(d)]
+            every, one = W.partitionBy(F.lit(1)), F.col(f"t_{d}") / F.col(f"c_{d}")
+            left = F.greatest(F.lit(0.0), 1 - F.coalesce(F.sum(given / F.col(f"c_{d}")).over(every), F.lit(0.0)))
+            x = x.withColumn(f"t_{d}", F.coalesce(given, F.col(f"t_{d}") * left / F.sum(F.when(given.isNull(), one)).over(every)))
+            x = x.withColumn(f"t_{d}", F.col(f"t_{d}") / F.sum(one).over(every))
     x = materialise(x.select("source", "lang", "topic", "n", "w", *[f"t_{d}" for d in DIMS]))
-    for k in range(rounds):
+    k = 0
+    while k < rounds or tolerance is not None and k % 3 == 0 and k < most and marginal_error(x) > tolerance or k % 3 and tolerance is not None:
         for d in DIMS:
             s = F.sum("w").over(W.partitionBy(d))
             x = x.withColumn("w", F.when(s > 0, F.col("w") * F.col(f"t_{d}") / s).otherwise(F.lit(0.0)))
         if k % 3 == 2:
             x = materialise(x)
+        k += 1
+    if tolerance is not None and k >= most and (far := marginal_error(x)) > tolerance:
+        warnings.warn(f"mixing: a marginal is {far:.2g} from its target after {k} rounds")
     return x
 
 
-def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed: int = 11, key: str = "CAST(doc_id AS STRING)", carry=()) -> DataFrame:
+def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed: int = 11, targets: dict | None = None, tolerance: float | None = None, key: str = "CAST(doc_id AS STRING)", carry=()) -> DataFrame:
     """docs(doc_id, text, source, lang) -> (doc_id, source, lang, topic, n_tokens, probability, weight, selected).
 
     ratio = raked share over observed share of a cell. Cells above their target are sampled with
     that probability; cells below it are kept whole and carry it as a training weight, so expected
-    weighted tokens meet the targets and no more documents go than must. key (SQL, default doc_id) is what the hash is taken of; columns of
+    weighted tokens meet the targets and no more documents go than must. targets and tolerance are those of rake; the default is `rounds`
+    rounds, as in the SQL. key (SQL, default doc_id) is what the hash is taken of; columns of
     docs named in carry stay on their row, in a struct `row`.
     """
     text = F.coalesce("text", F.lit(""))
@@ -59,7 +83,7 @@ def mix_to_targets(docs: DataFrame, temper: float = 0.7, rounds: int = 12, seed:
                     topic_of(text).alias("topic"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_tokens"))
     d = materialise(d)
     cells = materialise(d.groupBy(*DIMS).agg(F.sum("n_tokens").alias("n")).filter("n > 0"))
-    fitted = rake(cells, temper, rounds)
+    fitted = rake(cells, temper, rounds, targets, tolerance)
     ratio = F.col("w") / F.col("n") * F.sum("n").over(W.partitionBy(F.lit(1)))
     p = materialise(fitted.withColumn("ratio", ratio).select(*DIMS, "ratio"))
     u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("key")).cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32

@@ -29,7 +29,7 @@ def simhash_stage(spark, docs, sf_dir):
 
 def mixing_stage(spark, docs, sf_dir):
     """Samples the cells above their target; `weight` brings the tokens of the others up to theirs."""
-    return mixing.mix_to_targets(docs, key=KEY, carry=COLUMNS).filter("selected").select("row.*", "weight")
+    return mixing.mix_to_targets(docs, tolerance=1e-6, key=KEY, carry=COLUMNS).filter("selected").select("row.*", "weight")
 
 
 def bpe_stage(spark, docs, sf_dir):
