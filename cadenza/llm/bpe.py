@@ -1,24 +1,34 @@
 """Byte-level BPE over length-bucketed padded numpy matrices.
 
-Defined results: null text is empty and has no tokens; repeated rows are encoded each.
+Pieces of a bucket of lengths are the rows of one matrix. In a round every row finds its leftmost
+pair of the smallest rank through a hashed table of pairs, merges it, with all later occurrences of
+that pair where no pair of a smaller rank arises on the way, and is compacted. Every length goes this way.
+
+Defined results: null text is empty and has no tokens; repeated rows are encoded each; other columns
+stay as they are, whatever their names, but the added ones are replaced.
 """
 import base64
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import text_udf
 
 _STATE: dict = {}
-LONG = 256
 NONE = 1 << 30
+#: Cells of one matrix.
+CELLS = 1 << 20
+#: Where both results stand for a moment; no column of a table is called so.
+BOTH = "cadenza:decoded"
 
 
 class Encoder:
     """Ranks, a hashed table of pairs, and a bounded cache of encoded pieces."""
 
     def __init__(self, path, pattern, cache_size=200_000):
-        import numpy as np
         import regex
 
         with open(path, "rb") as f:
@@ -49,13 +59,9 @@ class Encoder:
         self.cache, self.cache_size = {}, cache_size
 
     def _slot(self, key):
-        import numpy as np
-
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & self.mask
 
     def rank_of(self, a, b):
-        import numpy as np
-
         key = a << 20 | b
         at, out = self._slot(key), np.full(key.shape, NONE, np.int64)
         for _ in range(self.probes):
@@ -66,72 +72,79 @@ class Encoder:
             at = (at + 1) & self.mask
         return out
 
-    def merge_matrix(self, m):
-        """Rows of equal length -> a list of int32 arrays, each row merged to its end."""
-        import numpy as np
-
-        out, row, size = [None] * len(m), np.arange(len(m)), np.full(len(m), m.shape[1])
-        while len(row):
-            n = m.shape[1]
-            if n > 1:
-                rank = self.rank_of(m[:, :-1], m[:, 1:])
-                rank[np.arange(1, n)[None] >= size[:, None]] = NONE
-                at = rank.argmin(1)  # the leftmost of the smallest
-                best = rank[np.arange(len(row)), at]
-            else:
-                best = np.full(len(row), NONE)
+    def merge_matrix(self, m, size):
+        """Rows of m, of which the first `size` cells count -> a list of int32 arrays, each row merged to its end."""
+        out, row, n = [None] * len(m), np.arange(len(m)), m.shape[1]
+        rank = np.full(m.shape, NONE)
+        if n > 1:
+            rank[:, :-1] = self.rank_of(m[:, :-1], m[:, 1:])
+        rank[np.arange(n)[None] >= size[:, None] - 1] = NONE
+        while True:
+            best = rank.min(1)
             for k in np.flatnonzero(best == NONE):
                 out[row[k]] = m[k, : size[k]].astype("<i4")
             go = best != NONE
-            row, m, size = row[go], m[go], size[go] - 1
-            if not len(row):
-                break
-            at, best = at[go], best[go]
-            col = np.arange(n - 1)[None]
-            m = np.where(col <= at[:, None], m[:, :-1], m[:, 1:])  # compaction by one column
-            m[np.arange(len(row)), at] = best
-        return out
-
-    def merge_long(self, piece):
-        """The same merges for a long piece, by a heap over a linked list."""
-        import heapq
-
-        import numpy as np
-
-        ids, n = [int(self.first[b]) for b in piece], len(piece)
-        nxt, prv, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(self.pairs[k], i) for i in range(n - 1) if (k := ids[i] << 20 | ids[i + 1]) in self.pairs]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
-            j = nxt[i]
-            if not live[i] or j >= n or self.pairs.get(ids[i] << 20 | ids[j]) != r:
-                continue
-            ids[i], live[j], nxt[i] = r, False, nxt[j]
-            if nxt[j] < n:
-                prv[nxt[j]] = i
-            for a in (prv[i], i):
-                if a >= 0 and nxt[a] < n and (k := self.pairs.get(ids[a] << 20 | ids[nxt[a]])) is not None:
-                    heapq.heappush(heap, (k, a))
-        return np.array([x for x, y in zip(ids, live) if y], dtype="<i4")
+            if not go.any():
+                return out
+            row, m, size, rank, best = row[go], m[go], size[go], rank[go], best[go]
+            take = self._occurrences(m, size, rank, best)
+            keep = np.arange(m.shape[1])[None] < size[:, None]
+            keep[:, 1:] &= ~take[:, :-1]
+            m, size = np.where(take, best[:, None], m), size - take.sum(1)
+            i, j = np.nonzero(keep)
+            to = (keep.cumsum(1) - 1)[i, j]
+            shape = len(row), int(size.max())
+            tokens, ranks = np.zeros(shape, np.int64), np.full(shape, NONE)
+            tokens[i, to], ranks[i, to], merged = m[i, j], rank[i, j], take[i, j]
+            m, rank = tokens, ranks
+            i, j = i[merged], to[merged]
+            for i, j in ((i, j), (i[j > 0], j[j > 0] - 1)):  # only pairs with a new token change
+                inner = j + 1 < size[i]
+                rank[i, j] = NONE
+                i, j = i[inner], j[inner]
+                rank[i, j] = self.rank_of(m[i, j], m[i, j + 1])
+
+    def _occurrences(self, m, size, rank, best):
+        """Mask of the pairs that each row merges this round."""
+        hit = rank == best[:, None]
+        first = hit.argmax(1)
+        lone = np.zeros(m.shape, bool)
+        lone[np.arange(len(m)), first] = True
+        many = hit.sum(1) > 1
+        if not many.any():
+            return lone
+        # of a run of overlapping occurrences every second one counts, from the left
+        col = np.arange(m.shape[1])[None]
+        gap = np.maximum.accumulate(np.where(hit, -1, col), axis=1)
+        take = hit & ((col - gap) % 2 == 1)
+        # pairs that arise while merging from the left: with what stands before, merged already, and with the raw next
+        i, j = np.nonzero(take & many[:, None])
+        new = best[i]
+        before = np.where(j >= 2, np.where(take[i, j - 2], new, m[i, j - 1]), m[i, np.maximum(j - 1, 0)])
+        low = np.where(j >= 1, self.rank_of(before, new), NONE)
+        after = j + 2 < size[i]
+        nxt = m[i, np.minimum(j + 2, m.shape[1] - 1)]
+        low = np.minimum(low, np.where(after, self.rank_of(new, nxt), NONE))
+        fine = many.copy()
+        fine[i[low < new]] = False
+        return np.where(fine[:, None], take, lone)
 
     def learn(self, pieces):
-        import numpy as np
-
+        """Put the ids of new pieces into the cache."""
         by = {}
         for p in pieces:
             b = p.encode("utf-8")
             if (r := self.ranks.get(b)) is not None:
                 self.cache[p] = r.to_bytes(4, "little")
-            elif len(b) > LONG:
-                self.cache[p] = self.merge_long(b).tobytes()
             else:
-                by.setdefault(len(b), []).append((p, b))
-        for n, group in by.items():
-            for k in range(0, len(group), 4096):
-                part = group[k : k + 4096]
-                m = self.first[np.frombuffer(b"".join(b for _, b in part), dtype=np.uint8).reshape(-1, n)]
-                for (p, _), ids in zip(part, self.merge_matrix(m)):
+                by.setdefault(-(-len(b) // 4) * 4 if len(b) <= 64 else 1 << (len(b) - 1).bit_length(), []).append((p, b))
+        for width, group in by.items():
+            step = max(1, CELLS // width)
+            for k in range(0, len(group), step):
+                part = group[k : k + step]
+                size = np.array([len(b) for _, b in part])
+                m = self.first[np.frombuffer(b"".join(b.ljust(width, b"\0") for _, b in part), dtype=np.uint8).reshape(-1, width)]
+                for (p, _), ids in zip(part, self.merge_matrix(m[:, : size.max()], size)):
                     self.cache[p] = ids.tobytes()
 
     def encode(self, texts):
@@ -157,42 +170,26 @@ def encoder(path, pattern):
 
 def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Adds token_ids array<int> (and replaces a column of that name)."""
-    small_batches(docs.sparkSession)
-    cols = [c for c in docs.columns if c != "token_ids"]
-    packed = docs.select(F.struct(*cols).alias("row"), text)
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+    def run(texts):
+        ids = encoder(path, pattern).encode([t.decode("utf-8") for t in texts])
+        ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
 
-        e = encoder(path, pattern)
-        for b in batches:
-            for k in range(0, max(1, b.num_rows), 200):
-                part = b.slice(k, 200)
-                ids = e.encode(part.column(1).to_pylist())
-                ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), flat)], ["row", "token_ids"])
-
-    out = packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, token_ids array<int>")
-    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in cols], "token_ids")
+    return docs.withColumn("token_ids", text_udf(run, "array<int>")(text))
 
 
 def bpe_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Adds decoded binary, and ids_bytes binary (little-endian unsigned 32-bit)."""
-    cols = [c for c in docs.columns if c not in ("decoded", "ids_bytes")]
-    packed = docs.select(F.struct(*[c for c in cols if c != "token_ids"]).alias("row"), "token_ids")
-
-    def run(batches):
-        import pyarrow as pa
+    """Adds decoded binary, and ids_bytes binary (little-endian unsigned 32-bit); of null token_ids both are empty."""
 
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         get = encoder(path, pattern).bytes_of.__getitem__
         for b in batches:
-            for k in range(0, max(1, b.num_rows), 200):
-                part = b.slice(k, 200)
-                ids = [x.values.to_numpy() for x in part.column(1)]
-                decoded = [b"".join(map(get, x.tolist())) for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(decoded, pa.binary()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["row", "token_ids", "decoded", "ids_bytes"])
-
-    out = packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, token_ids array<int>, decoded binary, ids_bytes binary")
-    return out.select(*[F.col(f"row.`{c}`").alias(c) if c != "token_ids" else F.col(c) for c in cols], "decoded", "ids_bytes")
+            out = []
+            for k in range(0, len(b), 200):
+                ids = [x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32) for x in b.slice(k, 200)]
+                out.append(pa.StructArray.from_arrays([pa.array([b"".join(map(get, x.tolist())) for x in ids], pa.binary()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["decoded", "ids_bytes"]))
+            yield pa.concat_arrays(out) if out else pa.array([], pa.struct([("decoded", pa.binary()), ("ids_bytes", pa.binary())]))
+
+    x = docs.withColumn(BOTH, F.arrow_udf(run, "struct<decoded:binary,ids_bytes:binary>").asNondeterministic()("token_ids"))
+    return x.withColumns({"decoded": F.col(f"{BOTH}.decoded"), "ids_bytes": F.col(f"{BOTH}.ids_bytes")}).drop(BOTH)

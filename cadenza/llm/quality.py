@@ -1,14 +1,19 @@
 """Quality classifier: Bradley-Terry scores learnt from preference pairs.
 
 Defined results: null or empty text has zero features and still a score; labels that are null are
-not learnt from; with labels of one class only, or none, every score is 0.5.
+not learnt from; a doc_id with several label rows is learnt from once a row; with labels of one
+class only, or none, every score is 0.5; rows with a null doc_id are scored and not held out.
+Bounded samples, both parameters: max_train labelled rows, and `pairs` preference pairs drawn of them.
+A line counts towards the "worst line" from 40 characters on, in texts of every length.
 """
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import cols, text_udf
 
 N_FEATURES = 14
+#: Where the features stand for a moment; no column of a table is called so.
+FEATURES = "cadenza:features"
 
 
 def features(text: str):
@@ -47,22 +52,15 @@ def n_letters(text: str) -> int:
     return n if len(b) == len(text) else n + sum(map(str.isalpha, b.translate(None, _ASCII).decode("utf-8", "surrogatepass")))
 
 
-def featurise(docs: DataFrame, carry=()) -> DataFrame:
-    """(doc_id, x array<double>) of whole texts, and the columns of carry."""
-    small_batches(docs.sparkSession, 500)
-    read = docs.select("doc_id", "text", *[c for c in carry if c not in ("doc_id", "text")])
-    kept = ["doc_id", *[c for c in carry if c != "doc_id"]]
-    at = [read.columns.index(c) for c in kept]
+def feature_column(text="text"):
+    """array<double> of a text column; only the text goes to Python."""
 
-    def run(batches):
+    def run(texts):
         import pyarrow as pa
 
-        for b in batches:
-            x = [features(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in at], pa.array(x, pa.list_(pa.float64()))], [*kept, "x"])
+        return pa.array([features(t.decode("utf-8", "replace")) for t in texts], pa.list_(pa.float64()))
 
-    carried = "".join(f"`{c}` {read.schema[c].dataType.simpleString()}, " for c in kept[1:])
-    return read.mapInArrow(run, f"doc_id long, {carried}x array<double>")
+    return text_udf(run, "array<double>")(text)
 
 
 def held_out(doc_id="doc_id"):
@@ -96,26 +94,29 @@ def fit(x, y, pairs=60_000, steps=400, seed=7):
     return mu.tolist(), sd.tolist(), w.tolist(), best[1], 1.0
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = 20_000, cut: float = 0.3, carry=()) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = 20_000, pairs: int = 60_000, cut: float = 0.3, carry=()) -> DataFrame:
     """docs(doc_id, text), labels(doc_id, label) -> (doc_id, held_out, score, predicted), one row per row of docs.
 
-    Columns of docs named in carry stay on their row, after doc_id.
+    Columns of docs named in carry stay on their row, in place of doc_id alone.
 
     Learns from at most max_train labelled rows outside the held-out fold, chosen by a hash of
     doc_id; the same scores go to every document.
     """
     import math
 
-    base, n = math.log(cut / (1 - cut)), max_train
+    base = math.log(cut / (1 - cut))
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(label).alias("y"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    train = featurise(docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")).join(chosen, "doc_id").orderBy("doc_id").select("x", "y").collect()
-    model = fit([r.x for r in train], [int(r.y) for r in train]) if train else None
-    rows = featurise(docs, carry)
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)  # a broadcast of max_train rows at most
+    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", feature_column().alias("x"))
+    train = train.orderBy("doc_id", "y", "x").select("x", "y").collect()
+    model = fit([r.x for r in train], [int(r.y) for r in train], pairs) if train else None
+    x = F.col(FEATURES)
     if model is None:
         score = F.lit(0.5)
     else:
         mu, sd, w, t, slope = model
-        terms = [F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (F.col("x")[i] - mu[i]) / sd[i])) * w[i] for i in range(len(w))]
+        terms = [F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (x[i] - mu[i]) / sd[i])) * w[i] for i in range(len(w))]
         score = 1 / (1 + F.exp(-((sum(terms[1:], terms[0]) - t) * slope + base)))
-    return rows.select(*[c for c in rows.columns if c != "x"], F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= cut).cast("int"))
+    kept = cols(docs, carry or ["doc_id"])
+    rows = docs.withColumn(FEATURES, feature_column())
+    return rows.select(*kept, F.coalesce(held_out(), F.lit(False)).alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= cut).cast("int"))

@@ -5,13 +5,14 @@
 to: six at most, and words two bits apart share one. Four errors over three segments leave two
 segments with at most two together, so pairs of segments' keys find every link; each is verified.
 
-Defined results: null text has no words (fingerprint zero); rows with equal doc_id are one node;
-rows with a null doc_id keep their fingerprint and take its component.
+Defined results: null text has no words (fingerprint zero); rows are linked by their fingerprints
+alone, so rows that only share a doc_id stay apart; rows with a null doc_id take part like any other,
+and a component without a doc_id has component_id null; other columns may have any name.
 """
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialise, small_batches, union_min
+from .common import cols, connected_components, materialise, text_udf, union_min
 
 #: Fixed value: generator polynomial of the binary Golay code.
 GENERATOR = 0b101011100011
@@ -55,42 +56,40 @@ def segment_keys(words, offsets):
     return np.where(e >= 0, (words[:, None] ^ e) >> 11, -1)
 
 
-def fingerprints(docs: DataFrame, words: int = 4, carry=()) -> DataFrame:
-    """(doc_id, fp long): majority bits of XXH64 of all word shingles; then the columns of carry."""
-    small_batches(docs.sparkSession)
-    read = docs.select(F.col("doc_id").cast("long"), "text", *[c for c in carry if c not in ("doc_id", "text")])
-    kept = [c for c in carry if c != "doc_id"]
-    at = [read.columns.index(c) for c in kept]
-
-    def run(batches):
+def majority(text: bytes, words: int) -> int:
+    """Majority bits of XXH64 of all word shingles of a text; 0 without words."""
+    import numpy as np
+    import xxhash
+
+    h, w = xxhash.xxh64_intdigest, text.lower().split()
+    if not w:
+        return 0
+    votes, shingles = np.zeros(64, np.int64), max(1, len(w) - words + 1)
+    for k in range(0, shingles, 100_000):
+        part = w[k : min(k + 100_000, shingles) + words - 1]
+        if len(part) <= words:
+            hs = [h(b" ".join(part), 42)]
+        else:
+            size = np.fromiter(map(len, part), np.int64, len(part))
+            end = np.cumsum(size + 1) - 1
+            joined, start = b" ".join(part), (end - size).tolist()
+            hs = [h(joined[a:z], 42) for a, z in zip(start, end[words - 1 :].tolist())]
+        bits = np.unpackbits(np.array(hs, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        for j in range(0, len(bits), 255):
+            votes += bits[j : j + 255].sum(0, dtype=np.uint8)
+    return int(np.packbits(votes * 2 > shingles, bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text="text", words: int = 4):
+    """Column long: the fingerprint of a text column; only the text goes to Python."""
+
+    def run(texts):
         import numpy as np
         import pyarrow as pa
-        import xxhash
 
-        h = xxhash.xxh64_intdigest
-        for b in batches:
-            out = np.zeros(b.num_rows, np.uint64)
-            for i, t in enumerate(b.column(1).cast(pa.binary()).to_pylist()):
-                w = t.lower().split() if t else []
-                if not w:
-                    continue
-                votes, shingles = np.zeros(64, np.int64), max(1, len(w) - words + 1)
-                for k in range(0, shingles, 100_000):
-                    part = w[k : min(k + 100_000, shingles) + words - 1]
-                    if len(part) <= words:
-                        hs = [h(b" ".join(part), 42)]
-                    else:
-                        size = np.fromiter(map(len, part), np.int64, len(part))
-                        end = np.cumsum(size + 1) - 1
-                        text, start = b" ".join(part), (end - size).tolist()
-                        hs = [h(text[a:z], 42) for a, z in zip(start, end[words - 1 :].tolist())]
-                    bits = np.unpackbits(np.array(hs, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                    for j in range(0, len(bits), 255):
-                        votes += bits[j : j + 255].sum(0, dtype=np.uint8)
-                out[i] = np.packbits(votes * 2 > shingles, bitorder="little").view("<u8")[0]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out.view(np.int64)), *[b.column(i) for i in at]], ["doc_id", "fp", *kept])
-
-    return read.mapInArrow(run, ", ".join(["doc_id long, fp long", *[f"`{c}` {read.schema[c].dataType.simpleString()}" for c in kept]]))
+        return pa.array(np.array([majority(t, words) for t in texts], dtype=np.uint64).view(np.int64))
+
+    return text_udf(run, "long")(text)
 
 
 def fuzzy_keys(fps: DataFrame) -> DataFrame:
@@ -113,64 +112,149 @@ def fuzzy_keys(fps: DataFrame) -> DataFrame:
     return fps.select("fp").mapInArrow(run, "key int, fp long")
 
 
-def verified(keys: DataFrame, bits: int) -> DataFrame:
+def _links(key, fp, bits, lower=None):
+    """Spanning forest, as (smaller, larger) fingerprints, of the links within each key's run.
+
+    key, fp: sorted by key. lower: where given, only pairs of a row under it and one from it on count.
+    """
+    import numpy as np
+
+    uf, node = np.unique(fp, return_inverse=True)
+    order = np.arange(len(key)) if lower is not None else np.lexsort((fp, key))
+    key, node = key[order], node[order]
+    u = uf[node].view(np.uint64)
+    lab, ii, jj = np.arange(len(uf)), [], []
+
+    def fold():
+        nonlocal lab, ii, jj
+        lab = union_min(len(uf), np.concatenate([lab, *ii]), np.concatenate([np.arange(len(uf)), *jj]))
+        ii, jj = [], []
+
+    if lower is not None:
+        for k in range(lower):
+            near = np.flatnonzero(np.bitwise_count(u[k] ^ u[lower:]) <= bits)
+            ii.append(np.full(len(near), node[k]))
+            jj.append(node[lower + near])
+            if k % 256 == 255:
+                fold()
+    else:
+        shift, at = 1, np.arange(len(key))
+        while len(at):
+            at = at[at + shift < len(key)]
+            at = at[key[at] == key[at + shift]]
+            near = np.bitwise_count(u[at] ^ u[at + shift]) <= bits
+            ii.append(node[at[near]])
+            jj.append(node[at[near] + shift])
+            shift += 1
+            if sum(map(len, ii)) > 2_000_000:
+                fold()
+    fold()
+    m = lab != np.arange(len(uf))
+    return uf[lab[m]], uf[m]
+
+
+def verified(keys: DataFrame, bits: int, block: int = 8192) -> DataFrame:
     """Links a < b within keys' buckets, thinned to a spanning forest per stretch of sorted keys.
 
-    Buckets are read in sorted order, in stretches; one that outgrows a stretch is compared
-    against itself in blocks, so memory stays bounded by the bucket's fingerprints (12 bytes each).
+    Buckets are read in sorted order. One with more than `block` fingerprints is not compared where it
+    was read: it leaves the task in blocks, and every pair of its blocks is a task's group of its own,
+    so neither a task's memory nor its work grows with a bucket.
     """
+    import numpy as np
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        def links(key, fp):
-            uf, node = np.unique(fp, return_inverse=True)
-            order = np.lexsort((fp, key))
-            key, node, u = key[order], node[order], uf[node[order]].view(np.uint64)
-            shift, at, ii, jj = 1, np.arange(len(key)), [], []
-            lab = np.arange(len(uf))
-            while len(at):
-                at = at[at + shift < len(key)]
-                at = at[key[at] == key[at + shift]]
-                near = np.bitwise_count(u[at] ^ u[at + shift]) <= bits
-                ii.append(node[at[near]])
-                jj.append(node[at[near] + shift])
-                shift += 1
-                if sum(map(len, ii)) > 2_000_000:
-                    i, j = np.concatenate([lab, *ii]), np.concatenate([np.arange(len(uf)), *jj])
-                    lab = union_min(len(uf), i, j)
-                    ii, jj = [], []
-            lab = union_min(len(uf), np.concatenate([lab, *ii]), np.concatenate([np.arange(len(uf)), *jj]))
-            m = lab != np.arange(len(uf))
-            return pa.RecordBatch.from_arrays([pa.array(uf[lab[m]]), pa.array(uf[m])], ["a", "b"])
-
-        key, fp = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        out = lambda kind, a, b, i: pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), pa.array(np.full(len(a), i, np.int32))], ["kind", "a", "b", "block"])
+        key, fp, large, done = np.zeros(0, np.int32), np.zeros(0, np.int64), None, 0
+
+        def close():
+            """The bucket that left in blocks has ended: how many there were."""
+            nonlocal large, done
+            if large is not None:
+                yield out(2, np.array([int(large)]), np.array([0]), done)
+            large, done = None, 0
+
+        def part(key, fp, ended):
+            """Whole buckets are compared; of the last one blocks leave while it goes on. Returns what waits."""
+            nonlocal large, done
+            last = key[-1]
+            cut = len(key) if ended else int(np.searchsorted(key, last))
+            starts = np.flatnonzero(np.concatenate([[True], key[1:cut] != key[: cut - 1]])) if cut else np.zeros(0, int)
+            sizes = np.diff(np.append(starts, cut))
+            small = np.ones(cut, bool)
+            for s, n in zip(starts.tolist(), sizes.tolist()):
+                if n > block or key[s] == large:
+                    small[s : s + n] = False
+                    if key[s] != large:
+                        yield from close()
+                        large = key[s]
+                    for k in range(s, s + n, block):
+                        x = fp[k : min(k + block, s + n)]
+                        yield out(1, np.full(len(x), int(large)), x, done)
+                        done += 1
+                    yield from close()
+            if small.any():
+                a, b = _links(key[:cut][small], fp[:cut][small], bits)
+                yield out(0, a, b, 0)
+            key, fp = key[cut:], fp[cut:]
+            while len(key) > 2 * block:
+                if large != last:
+                    yield from close()
+                    large = last
+                yield out(1, np.full(block, int(last)), fp[:block], done)
+                done += 1
+                key, fp = key[block:], fp[block:]
+            waits.append((key, fp))
+
+        waits = []
         for b in batches:
             key, fp = np.concatenate([key, b.column(0).to_numpy()]), np.concatenate([fp, b.column(1).to_numpy()])
-            if len(key) > 200_000 and key[0] != key[-1]:
-                cut = int(np.searchsorted(key, key[-1]))
-                yield links(key[:cut], fp[:cut])
-                key, fp = key[cut:], fp[cut:]
+            if len(key) > 200_000:
+                yield from part(key, fp, False)
+                key, fp = waits.pop()
         if len(key):
-            yield links(key, fp)
+            yield from part(key, fp, True)
+        yield from close()
 
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keys.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    found = materialise(keys.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "kind int, a long, b long, block int"))
+    links = found.filter("kind = 0").select("a", "b")
+    if found.filter("kind = 2").isEmpty():
+        return links
+    blocks = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "block")
+    sides = found.filter("kind = 2").select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.col("block").alias("n"))
+    sides = sides.select("key", "i", F.explode(F.sequence(F.col("i"), F.col("n") - 1)).alias("j"))
+    sides = sides.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+
+    def pair(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("block", kind="stable")
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        lower = int((pdf["block"] == i).sum()) if i < j else None
+        a, b = _links(np.zeros(len(pdf), np.int32), pdf["fp"].to_numpy(), bits, lower)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return links.union(blocks.join(sides, ["key", "block"]).groupBy("key", "i", "j").applyInPandas(pair, "a long, b long"))
 
 
 def components(fp: DataFrame, first, bits: int) -> DataFrame:
-    """fp(fp, ...) -> (fp, first, root): the aggregate `first` of each fingerprint, and its component."""
-    classes = fp.groupBy("fp").agg(first.alias("first"))
+    """fp(fp, ...) -> (fp, first, root): the aggregate `first` of each fingerprint, and its component. Stored."""
+    classes = materialise(fp.groupBy("fp").agg(first.alias("first")))
     comp = connected_components(verified(fuzzy_keys(classes), bits).distinct())
-    return classes.join(comp, classes.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+    return materialise(classes.join(comp, classes.fp == comp.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root")))
 
 
 def simhash_near_dedup(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFrame:
-    """docs(doc_id, text, ...) -> (doc_id, fp, component_id), one row per row of docs."""
-    fp = materialise(fingerprints(docs, words))
+    """docs(doc_id, text, ...) -> (doc_id, fp, component_id), one row per row of docs.
+
+    Both sides of the joins on a component and on a fingerprint are plain reads, so that Spark can
+    split the partition of a component, or of a text, that holds much of all rows.
+    """
+    fp = materialise(docs.select(F.col("doc_id").cast("long"), fingerprint(words=words).alias("fp")))
     roots = components(fp, F.min("doc_id"), bits)
-    least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = materialise(roots.groupBy("root").agg(F.min("first").alias("component_id")))
     by_fp = materialise(roots.join(least, "root").select("fp", "component_id"))
     return fp.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
@@ -182,9 +266,11 @@ def one_per_component(docs: DataFrame, bits: int = 4, words: int = 4) -> DataFra
     with the least hash of its columns. The row number only parts equal rows; it is stored with
     them, so that it holds.
     """
-    cols = docs.columns
-    rows = materialise(fingerprints(docs, words, cols).withColumns({"row_hash": F.xxhash64(*cols), "row_id": F.monotonically_increasing_id()}))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash", "row_id")
-    kept = components(rows, F.min(rank), bits).groupBy("root").agg(F.min("first").alias("first")).select("first.row_id")
+    own = [f"cadenza:{x}" for x in ("fp", "hash", "row")]
+    rows = docs.withColumns({own[0]: fingerprint(words=words), own[1]: F.xxhash64(*[c.cast("string") if "map<" in t else c for c, (_, t) in zip(cols(docs), docs.dtypes)]), own[2]: F.monotonically_increasing_id()})
+    rows = materialise(rows)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col(own[1]).alias("row_hash"), F.col(own[2]).alias("row_id"))
+    classes = rows.select(F.col(own[0]).alias("fp"), rank.alias("rank"))
+    kept = components(classes, F.min("rank"), bits).groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_id").alias(own[2]))
     # a merge join at every size, so that shuffle grows in proportion to the input
-    return rows.join(materialise(kept).hint("merge"), "row_id", "left_semi").select(*cols)
+    return rows.join(materialise(kept).hint("merge"), own[2], "left_semi").drop(*own)

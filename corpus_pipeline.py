@@ -49,5 +49,8 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = common.materialise(stage(spark, docs, sf_dir))
+        with common.scratch() as keep:  # what a stage stored on its way goes when its rows are written
+            done = keep(common.materialise(stage(spark, docs, sf_dir)))
+        common.drop(docs)
+        docs = done
     return docs

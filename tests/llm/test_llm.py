@@ -49,7 +49,7 @@ def test_mph_is_minimal_and_perfect():
     import numpy as np
 
     h = np.unique(np.random.default_rng(0).integers(0, 2**63, 20_000).astype(np.uint64))
-    assert sorted(line_dedup.look_up(line_dedup.build_mph(h), h).tolist()) == list(range(len(h)))
+    assert sorted(line_dedup.look_up(line_dedup.build_mph(h, h), h, h).tolist()) == list(range(len(h)))
 
 
 def test_bpe_equals_tiktoken(docs):
