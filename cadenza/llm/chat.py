@@ -3,20 +3,26 @@
 One row for each turn and perspective, in dialogue order, so a dialogue of any length is never
 gathered into one row: rendered text, its name, the loss mask and character offsets.
 Defined results: turns with a null conv_id are left out; a null role speaks as "unknown"; null text
-is empty; system turns are shown to all and are no participant; repeated turns stay, side by side.
+is empty; system turns are shown to all and are no participant; repeated turns stay, side by side; a
+null turn counts as turn -1; "<|" in a text or a role is written "< |", so that neither can open or end
+a turn; other columns are left out, whatever their names. Turns of one number, speaker and text are alike.
 """
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-
 #: Turn numbers in a stretch.
 STRETCH = 64
 
 
+def safe(x):
+    """Without the mark that opens a turn."""
+    return F.replace(x, F.lit("<|"), F.lit("< |"))
+
+
 def rotate_perspectives(turns: DataFrame) -> DataFrame:
     t = turns.filter("conv_id is not null").select(
-        "conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), F.coalesce("role", F.lit("unknown")).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
+        "conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), safe(F.coalesce("role", F.lit("unknown"))).alias("speaker"), safe(F.coalesce("text", F.lit(""))).alias("text"))
     who = t.filter("speaker <> 'system'").select("conv_id", F.col("speaker").alias("perspective")).distinct()
     own = F.col("speaker") == F.col("perspective")
     role = F.when(own, "assistant").when(F.col("speaker") == "system", "system").otherwise("user")
@@ -43,7 +49,7 @@ def rotate_perspectives(turns: DataFrame) -> DataFrame:
 
 
 CHAT_SQL = """
-WITH t AS (SELECT conv_id, coalesce(CAST(turn AS BIGINT), -1) AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text
+WITH t AS (SELECT conv_id, coalesce(CAST(turn AS BIGINT), -1) AS turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS text
            FROM conversations WHERE conv_id IS NOT NULL),
 who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
 x AS (SELECT conv_id, perspective, turn, speaker, text,

@@ -1,10 +1,13 @@
 """Personal data by weak supervision, in DataFrame operations only.
 
-Base kinds come from fixed patterns and always stay. Secrets are candidates (mixed letter-digit
-tokens) on which a pattern, a gazetteer, a context and a shape labeler vote; expectation
-maximisation over the counts of vote patterns (at most 16 rows) estimates the labelers'
-reliabilities, and its posteriors train a naive Bayes classifier over votes and span shape.
-Defined results: null text is empty and has no spans; offsets are code points, end exclusive.
+Base kinds come from fixed patterns and always stay. Secrets (mixed letter-digit tokens) and names of
+persons (capitalised words in a row) are candidates on which a pattern, a gazetteer, a context and a
+shape labeler vote; for each kind expectation maximisation over the counts of vote patterns (at most
+16 rows) estimates the labelers' reliabilities, and its posteriors train a naive Bayes classifier over
+votes and span shape, which decides. Labelers see the 24 code points before a candidate.
+Defined results: null text is empty and has no spans; offsets are code points, end exclusive; a row of
+docs is a row of the result, so repeated rows and a null doc_id stay; spans of the added kinds that
+overlap a base span are left out; other columns are left out, whatever their names.
 """
 import math
 
@@ -23,16 +26,29 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 SECRET = r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9]{12,}+"
-#: Words before a secret.
+PERSON = r"\p{Lu}(?<![\p{L}\p{N}].)\p{Ll}{1,20}+(?:[ ]\p{Lu}(?:\p{Ll}{1,20}+|\.)){1,3}+(?![\p{L}\p{N}])"
+#: Words before a secret; common given names; words before a name.
 GAZETTEER = "(?i)(password|passwd|pwd|secret|token|key)[^A-Za-z0-9]{0,4}$"
+GIVEN = "James John Robert Michael William David Richard Joseph Thomas Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Anna Laura Peter Paul Daniel José Juan Antonio Manuel Francisco Carlos Luis María Carmen Ana Isabel Jean Pierre Michel André Philippe Marie Jeanne Françoise Monique Sophie Hans Karl Heinz Klaus Jürgen Wolfgang Stefan Andreas Ursula Monika Petra Sabine Renate Wei Ahmed Fatima Olga Ivan".split()
+TITLE = r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Monsieur|Madame|Señor|Señora)\.?|\b(?i:my name is|name|signed|author|contact|patient|dear)[:,]?)\s{0,2}$"
+ENTRY = "struct<start:long,end:long,value:string,before:string>"
+#: Entries of a text are counted in stretches of so many.
+STRETCH = 128
 
 
 def matches(text, pattern):
-    """array<struct<start, end, value, before>> of the pattern's matches, in order."""
+    """array<struct<start, end, value, before>> of the pattern's matches, in order.
+
+    Starts are running sums: first over each stretch of entries, then over the stretches, so that the
+    lists built on the way stay short however many matches a text has.
+    """
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pair = F.arrays_zip(found.alias("v"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
-    kind = "array<struct<start:long,end:long,value:string,before:string>>"
-    zero = F.struct(F.lit(0).cast("long").alias("p"), F.array().cast(kind).alias("s"))
+    pair = lambda v: F.arrays_zip(v.alias("v"), F.slice(gaps, F.lit(1), F.size(v)).alias("g"))
+    zero = lambda kind: F.struct(F.lit(0).cast("long").alias("p"), F.array().cast(f"array<{kind}>").alias("s"))
+
+    def add(acc, stretch):
+        size = F.aggregate(stretch, F.lit(0).cast("long"), lambda n, x: n + F.length(x["g"]) + F.length(x["v"]))
+        return F.struct((acc["p"] + size).alias("p"), F.concat(acc["s"], F.array(F.struct(acc["p"].alias("at"), stretch.alias("x")))).alias("s"))
 
     def step(acc, x):
         start = acc["p"] + F.length(x["g"])
@@ -40,7 +56,12 @@ def matches(text, pattern):
         one = F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), x["v"].alias("value"), F.right(x["g"], F.lit(24)).alias("before"))
         return F.struct(end.cast("long").alias("p"), F.concat(acc["s"], F.array(one)).alias("s"))
 
-    return F.when(text.rlike(pattern), F.aggregate(pair, zero, step, lambda a: a["s"])).otherwise(F.array().cast(kind))
+    # arrays of one element, so that each is computed once
+    cut = lambda p: F.transform(F.sequence(F.lit(1), F.size(p), F.lit(STRETCH)), lambda i: F.slice(p, i, F.lit(STRETCH)))
+    cut = F.transform(F.transform(F.array(found), pair), cut)[0]
+    placed = F.aggregate(cut, zero("struct<at:long,x:array<struct<v:string,g:string>>>"), add, lambda a: a["s"])
+    one = lambda c: F.aggregate(c["x"], F.struct(c["at"].alias("p"), F.array().cast(f"array<{ENTRY}>").alias("s")), step, lambda a: a["s"])
+    return F.when(text.rlike(pattern), F.flatten(F.transform(placed, one))).otherwise(F.array().cast(f"array<{ENTRY}>"))
 
 
 def _digits(v):
@@ -88,47 +109,84 @@ def base_spans(kind):
     return F.transform(good, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")))
 
 
+def _secret_votes(v, before):
+    return [v.rlike("^([0-9a-f]{16,}|AKIA[0-9A-Z]{12,})$"), before.rlike(GAZETTEER), before.rlike(r'[=:]\s*["\x27]?$'), F.length(v) >= 16]
+
+
+def _person_votes(v, before):
+    words = F.size(F.split(v, " "))
+    return [words == 2, F.split_part(v, F.lit(" "), F.lit(1)).isin(GIVEN), before.rlike(TITLE), v.rlike(r"^\p{L}{3,}+(?: \p{L}\.)?+ \p{L}{3,}+$")]
+
+
+#: Kinds the labelers add: pattern of candidates, their votes (pattern, gazetteer, context, shape), size classes of a
+#: candidate, and the votes of which at least one must be there, as the others also fit ordinary words.
+ADDED = {
+    "secret": (SECRET, _secret_votes, lambda v: F.least(F.lit(3), (F.length(v) / 12).cast("int")), (0, 1, 2)),
+    "person": (PERSON, _person_votes, lambda v: F.least(F.lit(3), F.size(F.split(v, " ")) - 1), (1, 2)),
+}
+SPANS = "array<struct<kind:string,start:long,end:long,value:string>>"
+
+
+def classifier(seen, words: int = 0) -> tuple | None:
+    """rows(votes, size, count) of candidates, and the number of all words
+    -> (log prior odds, log ratios of each vote, log ratios of each size class).
+
+    Words that are no candidates have no votes; they give the other class something to hold, where
+    nearly all candidates are what is sought.
+
+    Expectation maximisation over the votes gives posteriors; a naive Bayes classifier over votes and
+    size class is trained on them.
+    """
+    if not seen:
+        return None
+    by = {}
+    seen = [*seen, ([0] * len(seen[0][0]), 1, max(0, words - sum(n for _, _, n in seen)))]
+    for votes, _, n in seen:
+        by[tuple(votes)] = by.get(tuple(votes), 0) + n
+    prior, yes, no = em(by)
+    size = [[1.0, 1.0] for _ in range(4)]  # soft counts with add-one smoothing
+    for votes, k, n in seen:
+        post = posterior(votes, prior, yes, no)
+        size[k][0] += post * n
+        size[k][1] += (1 - post) * n
+    s, o = sum(x[0] for x in size), sum(x[1] for x in size)
+    return math.log(prior / (1 - prior)), [(math.log(p / q), math.log((1 - p) / (1 - q))) for p, q in zip(yes, no)], [math.log(x[0] / s / (x[1] / o)) for x in size]
+
+
+def added_spans(kind: str, fitted):
+    """Column: the candidates of a kind that its classifier takes and no base span overlaps."""
+    if fitted is None:
+        return F.array().cast(SPANS)
+    w0, wv, ws = fitted
+    needed = ADDED[kind][3]
+
+    def taken(c):
+        odds = F.lit(w0) + F.element_at(F.array(*map(F.lit, ws)), c["size"] + 1)
+        for i, (p, q) in enumerate(wv):
+            odds = odds + F.when(c["votes"][i] == 1, p).otherwise(q)
+        overlaps = F.exists(F.concat(*KINDS), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        return (odds > 0) & (sum((c["votes"][i] for i in needed), F.lit(0)) > 0) & ~overlaps
+
+    return F.transform(F.filter(f"{kind}?", taken), lambda c: F.struct(F.lit(kind).alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> (doc_id, found: array<struct<kind, start, end, value>>), base kinds in order, then secrets."""
+    """docs(doc_id, text) -> (doc_id, and an array<struct<kind, start, end, value>> for each base and added kind)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    cols = {k: base_spans(k) for k in KINDS}
 
-    def judged(m):
-        v, b = m["value"], m["before"]
-        digits = F.length(_digits(v))
-        votes = [v.rlike("^([0-9a-f]{16,}|AKIA[0-9A-Z]{12,})$"), b.rlike(GAZETTEER), b.rlike(r'[=:]\s*["\x27]?$'), (digits >= 3) & (F.length(v) - digits >= 3)]
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), v.alias("value"), F.array(*[x.cast("int") for x in votes]).alias("votes"), F.least(F.lit(3), (F.length(v) / 12).cast("int")).alias("size"))
+    def judged(kind):
+        pattern, votes, size, *_ = ADDED[kind]
+        one = lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), F.array(*[x.cast("int") for x in votes(m["value"], m["before"])]).alias("votes"), size(m["value"]).alias("size"))
+        return F.transform(matches(F.col("text"), pattern), one)
 
-    base = docs.select("doc_id", text.alias("text")).select("doc_id", *[c.alias(k) for k, c in cols.items()], F.transform(matches(F.col("text"), SECRET), judged).alias("cand"))
+    base = docs.select("doc_id", text.alias("text")).select("doc_id", *[base_spans(k).alias(k) for k in KINDS], *[judged(k).alias(f"{k}?") for k in ADDED], (F.length("text") - F.length(F.replace("text", F.lit(" "))) + 1).cast("long").alias("words"))
     base = materialise(base)
-    seen = base.select(F.explode("cand").alias("c")).groupBy("c.votes", "c.size").count().collect()  # at most 16 x 4 rows
-    weights = None
-    if seen:
-        by = {}
-        for r in seen:
-            by[tuple(r.votes)] = by.get(tuple(r.votes), 0) + r["count"]
-        prior, yes, no = em(by)
-        post = {v: posterior(v, prior, yes, no) for v in by}
-        size = [[1.0, 1.0] for _ in range(4)]  # soft counts with add-one smoothing
-        for r in seen:
-            size[r["size"]][0] += post[tuple(r.votes)] * r["count"]
-            size[r["size"]][1] += (1 - post[tuple(r.votes)]) * r["count"]
-        s, o = sum(x[0] for x in size), sum(x[1] for x in size)
-        weights = (math.log(prior / (1 - prior)), [(math.log(p / q), math.log((1 - p) / (1 - q))) for p, q in zip(yes, no)], [math.log(x[0] / s / (x[1] / o)) for x in size])
-    if weights is None:
-        extra = F.array().cast("array<struct<kind:string,start:long,end:long,value:string>>")
-    else:
-        w0, wv, ws = weights
-
-        def odds(c):
-            out = F.lit(w0) + F.element_at(F.array(*map(F.lit, ws)), c["size"] + 1)
-            for i, (p, q) in enumerate(wv):
-                out = out + F.when(c["votes"][i] == 1, p).otherwise(q)
-            return out
-
-        keep = F.filter("cand", lambda c: (odds(c) > 0) & (c["votes"][1] + c["votes"][2] + c["votes"][0] > 0))
-        extra = F.transform(keep, lambda c: F.struct(F.lit("secret").alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))
-    return base.select("doc_id", *KINDS, extra.alias("secret"))
+    words = base.agg(F.sum("words")).first()[0]
+    out = {}
+    for kind in ADDED:
+        seen = base.select(F.explode(f"{kind}?").alias("c")).groupBy("c.votes", "c.size").count().collect()  # at most 16 x 4 rows
+        out[kind] = added_spans(kind, classifier([tuple(r) for r in seen], words))
+    return base.select("doc_id", *KINDS, *[x.alias(kind) for kind, x in out.items()])
 
 
 def span_text(*arrays):

@@ -42,7 +42,8 @@ def op7_quality_scores(spark, sf_dir):
 def op8_personal_data(spark, sf_dir):
     x = pii.find_pii(_read(spark, sf_dir, "documents"))
     base = pii.span_text(*pii.KINDS)
-    return x.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS], F.sha2(base, 256).alias("base_sha256"), pii.span_text(*pii.KINDS, "secret").alias("spans"))
+    return x.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS], F.sha2(base, 256).alias("base_sha256"), pii.span_text(*pii.KINDS, *pii.ADDED).alias("spans"),
+                    *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.ADDED], sum((F.size(k) for k in (*pii.KINDS, *pii.ADDED)), F.lit(0)).cast("long").alias("n_spans"))
 
 
 def op9_simhash_near_dedup(spark, sf_dir):

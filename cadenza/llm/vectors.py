@@ -1,8 +1,18 @@
 """Embedding near-dedup by collision counting, and nearest neighbours by shifted Hilbert curves.
 
-Defined results: vectors that are null, empty, zero, of another length than the rest of their
-block, or with null or non-finite components take no part (near-dedup: alone in a class).
+Defined results. Both: vectors that are null, empty, zero, or with null or non-finite components take
+no part; vectors of different lengths never meet; other columns are left out, whatever their names.
+Near-dedup: a vector without a part, or without a label, is alone; rows that repeat a vec_id are
+vectors of their own, and all of them get the component_id of their own vector; a null vec_id takes
+part, is never `kept`, and only a component without any other has component_id null. Vectors are
+scaled by their largest component first, so any finite magnitude compares.
+Neighbours: a row without a vec_id takes no part; rows that share the query's vec_id are its own; of
+others that repeat a vec_id the nearest counts, once; equal distances go to the smaller vec_id.
 """
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,23 +25,24 @@ def usable(e="embedding"):
     return F.coalesce((F.size(e) > 0) & ok & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-def packed(e="embedding"):
-    return F.transform(e, lambda x: x.cast("double"))
-
-
 def _unit(x):
-    import numpy as np
-
+    x = x / np.abs(x).max(1)[:, None]
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
 def _matrix(col):
-    import numpy as np
-
     dim = len(col[0])
     return np.concatenate([np.asarray(v, float) for v in col]).reshape(-1, dim)
 
 
+def _by_length(col: pa.Array):
+    """(row numbers, matrix) for every length of vector in an Arrow list column."""
+    size = np.array([len(x) for x in col])
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        yield at, col.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(at), n)
+
+
 # -- near-dedup ---------------------------------------------------------------------------------
 
 
@@ -46,83 +57,101 @@ def calibrated(n_proj: int, inside: float, recall: float) -> int:
     return k
 
 
-def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 16, block: int = 1024, seed: int = 5) -> DataFrame:
-    """vecs(vec_id, embedding, label) -> (vec_id, n_links, component_id, kept).
+def directions(dim: int, n_proj: int, seed: int):
+    r = np.random.default_rng(seed).normal(size=(dim, n_proj))
+    return r / np.sqrt((r * r).sum(0))
 
-    Equal vectors of a label become one class first. Classes are sorted by a first projection and
-    cut into blocks; only pairs of blocks within the first window meet. In them, window collisions
-    of the other projections are counted for each pair; pairs with the calibrated count are verified
-    by cosine. A task returns link counts and a spanning forest, never pairs.
-    """
-    import math
 
-    import numpy as np
+#: Projections of unit vectors are counted in these units, as 16-bit integers.
+UNITS = 8192
 
-    d = vecs.select("vec_id", "label", packed().alias("v"), (usable() & F.col("label").isNotNull()).alias("ok"))
-    d = materialise(d.withColumn("dim", F.size("v")))
-    classes = d.filter("ok").groupBy("label", "dim", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"))
-    far = math.sqrt(2 - 2 * cosine)
 
-    def dirs(dim):
-        r = np.random.default_rng(seed).normal(size=(dim, n_proj))
-        return r / np.sqrt((r * r).sum(0))
+def count_windows(p, q, width: int, least: int):
+    """(rows, columns) of pairs whose projections p[i], q[j] lie in each other's window at least `least` times.
+
+    A query's window in the order of one projection is centred on its own value. The counts of all
+    pairs of a stretch of queries stand in one matrix of bytes.
+    """
+    hits = np.zeros((len(p), len(q)), np.int8)
+    for t in range(p.shape[1]):
+        hits += np.abs(p[:, t][:, None] - q[:, t][None]) <= width
+    return np.nonzero(hits >= least)
 
-    def project(batches):
-        import pyarrow as pa
 
+def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 24, block: int = 4096, sigmas: float = 1.5, recall: float = 0.99999, seed: int = 5) -> DataFrame:
+    """vecs(vec_id, embedding, label) -> (vec_id, n_links, component_id, kept).
+
+    Equal vectors of a label become one class first. Classes lie along a Hilbert curve of their first
+    projections and are cut into blocks. For each block the range of every projection is known; two
+    blocks meet only if enough of their ranges reach into each other's windows for a pair to pass. In
+    a pair of blocks window collisions of all projections are counted, and pairs with the calibrated
+    count verified by cosine. A task returns link counts and a spanning forest, never pairs.
+    """
+    import math
+
+    far = math.sqrt(2 - 2 * cosine)
+    least = calibrated(n_proj, math.erf(sigmas / math.sqrt(2)), recall)
+    width = lambda dim: sigmas * far / math.sqrt(dim) * UNITS + 2
+    d = vecs.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"), (usable() & F.col("label").isNotNull()).alias("ok"))
+    d = d.withColumns({"row_id": F.monotonically_increasing_id(), "k1": F.xxhash64("label", "v"), "k2": F.xxhash64(F.lit(1), "label", "v")})
+    d = materialise(d)
+    classes = d.filter("ok").groupBy("k1", "k2").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.min("row_id").alias("rep"), F.min("vec_id").alias("least_id"), F.count("*").alias("m"))
+
+    def place(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            for k in range(0, b.num_rows, 4096):
-                part = b.slice(k, 4096)
-                cols = {n: part.column(i) for i, n in enumerate(part.schema.names)}
-                p = [float((_unit(np.asarray([v], float)) @ dirs(len(v)))[0, 0]) for v in cols["v"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64())], [*part.schema.names, "p0"])
-
-    c = classes.mapInArrow(project, classes.schema.simpleString()[7:-1] + ",p0:double")
-    c = materialise(c)
+            p, key = np.zeros((len(b), n_proj), np.int16), np.zeros(len(b), np.int64)
+            for at, x in _by_length(b):
+                z = _unit(x) @ directions(x.shape[1], n_proj, seed)
+                p[at] = np.round(z * UNITS)
+                key[at] = hilbert_keys(np.clip(z[:, :4] * math.sqrt(x.shape[1]) * 16 + 64, 0, 127), 7)
+            flat = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), n_proj).cast(pa.list_(pa.int16()))
+            yield pa.StructArray.from_arrays([flat, pa.array(key)], names=["p", "key"])
+
+    placed = F.arrow_udf(place, "struct<p:array<short>,key:long>").asNondeterministic()
+    c = materialise(classes.withColumn("at", placed("v")).select("k1", "k2", "label", F.size("v").alias("dim"), "v", "rep", "least_id", "m", "at.p", "at.key"))
     n = max(1, -(-c.count() // block))
-    s = materialise(c.repartitionByRange(n, "label", "dim", "p0", "rep").withColumn("pid", F.spark_partition_id()))
-    meta = s.groupBy("label", "dim", "pid").agg(F.min("p0").alias("lo"), F.max("p0").alias("hi"))
-    window = 4.5 * far  # in units of one projection's spread at the threshold, divided by sqrt(dim) below
+    s = materialise(c.repartitionByRange(n, "label", "dim", "key", "rep").select("label", "dim", "v", "rep", "m", "p", F.spark_partition_id().alias("pid")))
+    edges = [f(F.col("p")[t].cast("int")).alias(f"{name}{t}") for t in range(n_proj) for name, f in (("lo", F.min), ("hi", F.max))]
+    meta = materialise(s.groupBy("label", "dim", "pid").agg(*edges))
     a, b = meta.alias("a"), meta.alias("b")
-    near = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.pid") <= F.col("b.pid")) & (F.col("b.lo") - F.col("a.hi") <= F.least(F.lit(far + 1e-9), F.lit(window) / F.sqrt("a.dim")))
+    w = F.lit(sigmas * far * UNITS) / F.sqrt("a.dim") + 2
+    meets = sum(((F.col(f"b.lo{t}") - F.col(f"a.hi{t}") <= w) & (F.col(f"a.lo{t}") - F.col(f"b.hi{t}") <= w)).cast("int") for t in range(n_proj))
+    near = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.pid") <= F.col("b.pid")) & (meets >= least)
     pairs = a.join(b, near).select(F.col("a.label").alias("label"), F.col("a.dim").alias("dim"), F.col("a.pid").alias("i"), F.col("b.pid").alias("j"))
-    sides = pairs.select("label", "dim", "i", "j", F.col("i").alias("pid"), F.lit(0).alias("side")).union(pairs.filter("i < j").select("label", "dim", "i", "j", F.col("j").alias("pid"), F.lit(1).alias("side")))
-    least = calibrated(n_proj - 1, math.erf(1.5 / math.sqrt(2)), 0.99999)
+    sides = pairs.select("label", "dim", "i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("pid"))
 
     def compare(pdf):
         import pandas as pd
 
-        ids, m, side = pdf["rep"].to_numpy(), pdf["m"].to_numpy(), pdf["side"].to_numpy()
-        x = _unit(_matrix(pdf["v"].tolist()))
-        proj = (x @ dirs(x.shape[1])).astype(np.float32)
-        w, count, ii, jj = 1.5 * far / math.sqrt(x.shape[1]), np.zeros(len(x), np.int64), [], []
-        rows = np.flatnonzero(side == 0)
-        cols = np.flatnonzero(side == 1) if (side == 1).any() else rows
+        ids, m = pdf["rep"].to_numpy(), pdf["m"].to_numpy().astype(float)
+        x, p = _unit(_matrix(pdf["v"].tolist())), np.stack(pdf["p"].to_numpy()).astype(np.int16)
+        one = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        rows = np.arange(len(x)) if one else np.flatnonzero((pdf["pid"] == pdf["i"]).to_numpy())
+        other = rows if one else np.flatnonzero((pdf["pid"] == pdf["j"]).to_numpy())
+        count, root, q = np.zeros(len(x)), np.arange(len(x)), p[other]
         for k in range(0, len(rows), 256):
             r = rows[k : k + 256]
-            hits = np.zeros((len(r), len(cols)), np.int8)
-            for t in range(1, n_proj):
-                hits += np.abs(proj[r, t][:, None] - proj[cols, t][None]) <= w
-            i, j = np.nonzero(hits >= least)
-            i, j = r[i], cols[j]
-            if cols is rows:
+            i, j = count_windows(p[r], q, int(width(x.shape[1])), least)
+            i, j = r[i], other[j]
+            if one:
                 i, j = i[i < j], j[i < j]
-            ok = np.einsum("ij,ij->i", x[i], x[j]) >= cosine if len(i) else np.zeros(0, bool)
+            ok = np.concatenate([np.einsum("ij,ij->i", x[i[z : z + 65536]], x[j[z : z + 65536]]) >= cosine for z in range(0, max(1, len(i)), 65536)])
             i, j = i[ok], j[ok]
-            count += np.bincount(i, weights=m[j], minlength=len(x)).astype(np.int64) + np.bincount(j, weights=m[i], minlength=len(x)).astype(np.int64)
-            ii.append(i)
-            jj.append(j)
-        root = union_min(len(x), np.concatenate(ii), np.concatenate(jj))
+            count += np.bincount(i, weights=m[j], minlength=len(x)) + np.bincount(j, weights=m[i], minlength=len(x))
+            root = union_min(len(x), np.concatenate([root, i]), np.concatenate([np.arange(len(x)), j]))
         keep = count > 0
-        return pd.DataFrame({"rep": ids[keep], "n": count[keep], "root": ids[root[keep]]})
+        return pd.DataFrame({"rep": ids[keep], "n": count[keep].astype(np.int64), "root": ids[root[keep]]})
 
     linked = materialise(s.join(sides, ["label", "dim", "pid"]).groupBy("label", "dim", "i", "j").applyInPandas(compare, "rep long, n long, root long"))
     comp = connected_components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")).filter("a <> b").distinct())
     total = linked.groupBy("rep").agg(F.sum("n").alias("n"))
-    by = c.join(total, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("label", "dim", "v", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = d.filter("ok").join(by, ["label", "dim", "v"]).select("vec_id", "n_links", "component_id")
+    by = c.select("k1", "k2", "rep", "least_id", "m").join(total, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
+    by = materialise(by.select("k1", "k2", "least_id", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("root")))
+    least_of = materialise(by.groupBy("root").agg(F.min("least_id").alias("component_id")))
+    by = materialise(by.join(least_of, "root").select("k1", "k2", "n_links", "component_id"))
+    out = d.filter("ok").join(by, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
     alone = d.filter("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return out.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 # -- nearest neighbours -------------------------------------------------------------------------
@@ -130,8 +159,6 @@ def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 16
 
 def hilbert_keys(q, bits: int):
     """Hilbert index of integer points (n, dims), by the transpose algorithm of Skilling (2004)."""
-    import numpy as np
-
     x = q.astype(np.int64).T.copy()
     n, top = len(x), 1 << (bits - 1)
     m = top
@@ -156,68 +183,157 @@ def hilbert_keys(q, bits: int):
     return key
 
 
-def hilbert_neighbours(vecs: DataFrame, queries: DataFrame, k: int = 10, curves: int = 4, dims: int = 4, reach: float = 0.4, block: int = 2048, seed: int = 3) -> DataFrame:
+class Curves:
+    """Hilbert orders of vectors: per length of vector, principal axes of a bounded sample, mixed and shifted for each curve."""
+
+    def __init__(self, sample, curves: int, dims: int, bits: int, seed: int):
+        self.curves, self.dims, self.bits, self.seed, self.axes = curves, dims, bits, seed, {}
+        for x in sample:
+            top = np.abs(x).max()
+            mean = (x / top).mean(0) * top
+            _, _, v = np.linalg.svd((x - mean) / top, full_matrices=False)
+            self.axes[x.shape[1]] = mean, v[:32].T, (x - mean) @ v[:32].T
+
+    def keys(self, x, curve: int):
+        rng = np.random.default_rng([self.seed, curve])
+        n = x.shape[1]
+        mean, axes, seen = self.axes.get(n, (np.zeros(n), np.eye(n)[:, :32], None))
+        mix = np.linalg.qr(rng.normal(size=(axes.shape[1], min(self.dims, axes.shape[1]))))[0]
+        shift = rng.uniform(0, 1, mix.shape[1])
+        z = (x - mean) @ axes @ mix
+        scale = (np.abs(z).max(0) / 3 if seen is None else (seen @ mix).std(0)) + 1e-300
+        side = 1 << self.bits
+        return hilbert_keys(np.nan_to_num(np.clip((z / scale / 8 + 0.5) * (side - 2) + shift, 0, side - 1)), self.bits)
+
+
+def nearest(x, ids, y, own, k: int):
+    """(rows of y, ids, distances) of the k nearest rows of x to each row of y, all but its own id; ties to the smaller id."""
+    q, i, s = [], [], []
+    nx, ny = (x * x).sum(1), (y * y).sum(1)
+    for a in range(0, len(y), 256):
+        rough = nx[None] - 2 * y[a : a + 256] @ x.T
+        for j, r in enumerate(rough, a):
+            at = np.flatnonzero(ids != own[j])
+            if len(at) > k and np.isfinite(r[at]).all():
+                cut = np.partition(r[at], k - 1)[k - 1]
+                at = at[r[at] <= cut + 1e-9 * (ny[j] + nx.max())]
+            with np.errstate(over="ignore"):
+                dist = np.sqrt(((x[at] - y[j]) ** 2).sum(1))
+            first = np.lexsort((ids[at], dist))
+            first = first[np.sort(np.unique(ids[at][first], return_index=True)[1])[:k]]  # an id once
+            q.append(np.full(len(first), j))
+            i.append(ids[at[first]])
+            s.append(dist[first])
+    return tuple(np.concatenate(z) if z else np.zeros(0) for z in (q, i, s))
+
+
+def exact_neighbours(base: DataFrame, asked: list, k: int) -> dict:
+    """{query_id: ids of the k nearest} for a bounded list of (query_id, vector), by one pass over base(id, v)."""
+    qid, ys = np.array([a for a, _ in asked]), [np.asarray(v, float) for _, v in asked]
+
+    def scan(batches):
+        best = {}
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            for at, x in _by_length(b.column(1)):
+                mine = [j for j, y in enumerate(ys) if len(y) == x.shape[1]]
+                if mine:
+                    for j, i, s in zip(*nearest(x, ids[at], np.stack([ys[j] for j in mine]), qid[mine], k)):
+                        best.setdefault(mine[int(j)], []).append((float(s), int(i)))
+            best = {j: sorted(x)[: 2 * k] for j, x in best.items()}
+        rows = [(int(qid[j]), i, s) for j, x in best.items() for s, i in x]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "id", "score"])
+
+    found = base.select("id", "v").mapInArrow(scan, "query_id long, id long, score double").groupBy("query_id", "id").agg(F.min("score").alias("score"))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "id"))
+    out = {}
+    for r in found.withColumn("rank", rank).filter(F.col("rank") <= k).collect():  # k rows a query
+        out.setdefault(r.query_id, []).append(r.id)
+    return out
+
+
+def hilbert_neighbours(vecs: DataFrame, queries: DataFrame, k: int = 10, curves: int = 4, dims: int = 4, recall: float = 0.97, block: int = 1024, max_blocks: int = 16_384, least_rows: int = 4096,
+                       sample: int = 4096, probes: int = 64, seed: int = 3, info: dict | None = None) -> DataFrame:
     """Nearest k of vecs(vec_id, embedding) for each of queries(vec_id, embedding), Euclidean.
 
-    Each curve orders randomly projected, shifted vectors; the order is cut into range partitions of
-    about `block` rows, and a query probes the partitions within `reach` of all on both sides.
-    """
-    import numpy as np
+    Each curve orders all projected, shifted vectors; the order is cut into at most max_blocks ranges of
+    about `block` rows. A query's windows are the ranges up to h off its own place on every curve; what
+    they hold merges and is ranked by exact distance. h is calibrated: for `probes` of the queries the
+    true neighbours are found by one pass over all vectors, and h is the least that holds the share
+    `recall` of them, but at least least_rows rows on both sides. So h is small where the curves keep
+    neighbours together, and grows towards a scan where no order can, as with isotropic vectors.
 
-    base = materialise(vecs.filter(usable()).select("vec_id", packed().alias("v")))
-    asked = materialise(queries.filter(usable()).select(F.col("vec_id").alias("query_id"), packed().alias("q")))
+    sample bounds the vectors that the axes are fitted on (4 million numbers at most). info, where given, gets h and the share of
+    the vectors that the windows of a query hold.
+    """
+    base = vecs.filter(usable() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("v"))
+    asked = materialise(queries.filter(usable() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").alias("q")))
+    order = lambda c: (F.xxhash64(F.lit(seed), c), c)
+    few = base.orderBy(*order("id")).limit(sample)
+    dim = few.agg(F.max(F.size("v"))).first()[0]
+    if dim is None:
+        return asked.select("query_id", F.lit(0).alias("rank"), F.col("query_id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
+    seen: dict[int, list] = {}
+    for r in few.limit(max(64, min(sample, 4_000_000 // dim))).collect():
+        seen.setdefault(len(r.v), []).append(r.v)
+    fitted = Curves([np.array(x, float) for x in seen.values()], curves, dims, 7, seed)
 
     def keyed(batches):
-        import pyarrow as pa
-
         for b in batches:
-            vs = b.column(1).to_pylist()
             for c in range(curves):
-                key = []
-                rng = np.random.default_rng(seed + c)
-                shift = rng.uniform(0, 16, dims)
-                proj = {}
-                for n in {len(v) for v in vs}:
-                    proj[n] = rng.normal(size=(n, dims))
-                z = np.array([np.asarray(v) @ proj[len(v)] / (np.linalg.norm(v) + 1e-300) for v in vs])
-                key = hilbert_keys(np.clip((z + 4) * 14 + shift, 0, 127), 7)
-                yield pa.RecordBatch.from_arrays([pa.array([c] * len(vs), pa.int32()), pa.array(key, pa.int64()), b.column(0), b.column(1)], ["curve", "key", "id", "v"])
-
-    schema = "curve int, key long, id long, v array<double>"
-    parts = max(2, -(-base.count() // block))
-    laid = base.select("vec_id", "v").mapInArrow(keyed, schema)
-    laid = materialise(laid.repartitionByRange(parts * curves, "curve", "key", "id").withColumn("pid", F.spark_partition_id()))
-    ranges = laid.groupBy("curve", "pid").agg(F.min("key").alias("lo"))
-    at = asked.select("query_id", "q").mapInArrow(keyed, schema).withColumnRenamed("id", "query_id")
-    own = at.join(ranges, (at.curve == ranges.curve) & (ranges.lo <= at.key)).groupBy(at.curve, "query_id").agg(F.max("pid").alias("own"), F.first("v").alias("q"))
-    h = max(1, int(np.ceil(reach * parts)))
-    chunks = max(1, -(-asked.count() // 4096))
-    probes = own.join(ranges.select("curve", "pid"), "curve").filter(F.abs(F.col("pid") - F.col("own")) <= h).withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)))
-    laid = laid.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
-
-    def nearest(left, right):
+                key = np.zeros(b.num_rows, np.int64)
+                for at, x in _by_length(b.column(1)):
+                    key[at] = fitted.keys(x, c)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, c, np.int32)), pa.array([len(v) for v in b.column(1)], pa.int32()), pa.array(key), b.column(0), b.column(1)], ["curve", "dim", "key", "id", "v"])
+
+    kind = dict(vecs.dtypes)["embedding"]
+    schema = f"curve int, dim int, key long, id long, v {kind}"
+    n_base = base.count()
+    parts = max(2, min(max_blocks, -(-n_base // block)))
+    laid = base.select("id", "v").mapInArrow(keyed, schema)
+    laid = materialise(laid.repartitionByRange(parts * curves, "curve", "dim", "key", "id").withColumn("pid", F.spark_partition_id()))
+    # the first place of every range, max_blocks a curve at most
+    first = F.min(F.struct("curve", "dim", "key", "id")).alias("lo")
+    ranges = sorted((tuple(r.lo), r.pid) for r in laid.groupBy("pid").agg(first).collect())
+    places, pids = [r[0] for r in ranges], [r[1] for r in ranges]
+
+    def place(batches):
+        import bisect
+
+        for b in keyed(batches):
+            own = [pids[max(0, bisect.bisect_right(places, (c, n, key, i)) - 1)] for c, n, key, i in zip(*(b.column(x).to_pylist() for x in range(4)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), b.column(4), pa.array(own, pa.int32())], ["curve", "dim", "query_id", "q", "own"])
+
+    at = materialise(asked.select("query_id", "q").mapInArrow(place, f"curve int, dim int, query_id long, q {dict(queries.dtypes)['embedding']}, own int"))
+    test = [(r.query_id, r.q) for r in asked.orderBy(*order("query_id")).limit(probes).collect()]
+    truth = exact_neighbours(base, test, k)
+    near = asked.sparkSession.createDataFrame([(q, i) for q, x in truth.items() for i in x], "query_id long, id long")  # probes * k rows at most
+    off = laid.select("curve", "id", "pid").join(F.broadcast(near), "id").join(F.broadcast(at.select("curve", "query_id", "own").join(F.broadcast(near.select("query_id").distinct()), "query_id")), ["curve", "query_id"])
+    off = sorted(r.off for r in off.groupBy("query_id", "id").agg(F.min(F.abs(F.col("pid") - F.col("own"))).alias("off")).collect())
+    h = off[min(len(off) - 1, int(np.ceil(recall * len(off))))] if off else 0
+    h = int(max(h, -(-least_rows // max(1, n_base // parts))))
+    if info is not None:
+        info |= {"h": h, "ranges": parts, "share_a_curve": min(1.0, (2 * h + 1) / parts)}
+    # ranges of the query's own curve and length only
+    there = laid.select("curve", "dim", "pid").distinct()
+    visits = at.withColumn("pid", F.explode(F.sequence(F.col("own") - h, F.col("own") + h))).join(F.broadcast(there), ["curve", "dim", "pid"])
+    # a range that more than 4,096 queries visit is read by several groups
+    groups = visits.groupBy("curve", "pid").agg(F.ceil(F.count("*") / 4096).alias("n"))
+    visits = visits.join(F.broadcast(groups), ["curve", "pid"]).withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("n")))
+    held = laid.join(F.broadcast(groups), ["curve", "pid"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+
+    def rank_range(left, right):
         import pandas as pd
 
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        out, dims_of = [], left["v"].map(len).to_numpy()
-        for n in np.unique(right["q"].map(len)):
-            c, q = left[dims_of == n], right[right["q"].map(len) == n]
-            if not len(c):
-                continue
-            x, y, ids = _matrix(c["v"].tolist()), _matrix(q["q"].tolist()), c["id"].to_numpy()
-            rough = (x * x).sum(1)[None] - 2 * y @ x.T
-            rough[ids[None] == q["query_id"].to_numpy()[:, None]] = np.inf
-            for i, qid in enumerate(q["query_id"]):
-                r = rough[i]
-                cut = np.partition(r, min(k, len(r)) - 1)[min(k, len(r)) - 1]
-                near = np.flatnonzero((r <= cut + 1e-9 * (1 + abs(cut))) & (r < np.inf))
-                dist = np.sqrt(((x[near] - y[i]) ** 2).sum(1))
-                best = np.lexsort((ids[near], dist))[:k]
-                out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[near][best], "score": dist[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-
-    found = laid.groupBy("curve", "pid", "chunk").cogroup(probes.groupBy("curve", "pid", "chunk")).applyInPandas(nearest, "query_id long, vec_id long, score double")
-    merged = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for n in set(left["dim"]) & set(right["dim"]):
+            c, q = left[left["dim"] == n], right[right["dim"] == n]
+            own = q["query_id"].to_numpy()
+            j, i, s = nearest(_matrix(c["v"].tolist()), c["id"].to_numpy(), _matrix(q["q"].tolist()), own, k)
+            out.append((own[j.astype(int)], i.astype(np.int64), s))
+        return pd.DataFrame({name: np.concatenate(z) for name, z in zip(("query_id", "vec_id", "score"), zip(*out))})
+
+    found = held.select("curve", "pid", "part", "dim", "id", "v").groupBy("curve", "pid", "part").cogroup(visits.select("curve", "pid", "part", "dim", "query_id", "q").groupBy("curve", "pid", "part"))
+    merged = found.applyInPandas(rank_range, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
     return merged.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
