@@ -111,13 +111,29 @@ def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 24
     c = materialise(classes.withColumn("at", placed("v")).select("k1", "k2", "label", F.size("v").alias("dim"), "v", "rep", "least_id", "m", "at.p", "at.key"))
     n = max(1, -(-c.count() // block))
     s = materialise(c.repartitionByRange(n, "label", "dim", "key", "rep").select("label", "dim", "v", "rep", "m", "p", F.spark_partition_id().alias("pid")))
-    edges = [f(F.col("p")[t].cast("int")).alias(f"{name}{t}") for t in range(n_proj) for name, f in (("lo", F.min), ("hi", F.max))]
-    meta = materialise(s.groupBy("label", "dim", "pid").agg(*edges))
-    a, b = meta.alias("a"), meta.alias("b")
-    w = F.lit(sigmas * far * UNITS) / F.sqrt("a.dim") + 2
-    meets = sum(((F.col(f"b.lo{t}") - F.col(f"a.hi{t}") <= w) & (F.col(f"a.lo{t}") - F.col(f"b.hi{t}") <= w)).cast("int") for t in range(n_proj))
-    near = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.pid") <= F.col("b.pid")) & (meets >= least)
-    pairs = a.join(b, near).select(F.col("a.label").alias("label"), F.col("a.dim").alias("dim"), F.col("a.pid").alias("i"), F.col("b.pid").alias("j"))
+
+    def bounds(batches):
+        """Least and largest value of every projection, per label and length in this range."""
+        held = {}
+        for b in batches:
+            p = b.column(3).flatten().to_numpy().reshape(-1, n_proj)
+            for i, at in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
+                lo, hi = held.get(at, (p[i], p[i]))
+                held[at] = np.minimum(lo, p[i]), np.maximum(hi, p[i])
+        yield pa.RecordBatch.from_pylist([dict(zip(("label", "dim", "pid", "lo", "hi"), (*at, lo.tolist(), hi.tolist()))) for at, (lo, hi) in held.items()],
+                                         pa.schema([("label", kind), ("dim", pa.int32()), ("pid", pa.int32()), ("lo", pa.list_(pa.int16())), ("hi", pa.list_(pa.int16()))]))
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(s.schema["label"].dataType)
+    ranges = s.select("label", "dim", "pid", "p").mapInArrow(bounds, f"label {s.schema['label'].dataType.simpleString()}, dim int, pid int, lo array<short>, hi array<short>")
+    meta = materialise(ranges.groupBy("label", "dim", "pid").agg(F.collect_list(F.struct("lo", "hi")).alias("x")))
+    most = lambda f, c: F.transform(F.sequence(F.lit(0), F.lit(n_proj - 1)), lambda t: f(F.transform("x", lambda x: x[c][t]))).alias(c)
+    meta = meta.select("label", "dim", "pid", most(F.array_min, "lo"), most(F.array_max, "hi"))
+    w = F.lit(sigmas * far * UNITS) / F.sqrt("dim") + 2
+    meets = F.size(F.filter(F.arrays_zip("lo", "hi", "lo2", "hi2"), lambda x: (x["lo2"] - x["hi"] <= w) & (x["lo"] - x["hi2"] <= w)))
+    other = meta.select("label", "dim", F.col("pid").alias("j"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    pairs = meta.withColumnRenamed("pid", "i").join(other, ["label", "dim"]).filter(F.col("i") <= F.col("j")).filter(meets >= least).select("label", "dim", "i", "j")
     sides = pairs.select("label", "dim", "i", "j", F.explode(F.when(F.col("i") == F.col("j"), F.array("i")).otherwise(F.array("i", "j"))).alias("pid"))
 
     def compare(pdf):
