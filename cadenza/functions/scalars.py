@@ -65,6 +65,45 @@ def line_distance(px, py, ax, ay, bx, by):
     return F.when(n == 0, F.hypot(px - ax, py - ay)).otherwise(F.abs((bx - ax) * (ay - py) - (ax - px) * (by - ay)) / n)
 
 
+def line_angle(x1, y1, x2, y2):
+    """Direction of a segment, 0 to pi."""
+    return F.pmod(F.atan2(y2 - y1, x2 - x1), F.lit(3.141592653589793))
+
+
+def finite(x, default=0.0):
+    """x, or the default for null, NaN and the infinities."""
+    return F.when(F.abs(F.nanvl(x, F.lit(float("inf")))) < float("inf"), x).otherwise(F.lit(default))
+
+
+def every(a, n, first=0):
+    """Elements first, first + n, first + 2n ... of an array, in order."""
+    return F.filter(a, lambda _, i: (i >= first) & ((i - first) % n == 0))
+
+
+def entry(m, key, default):
+    """Value of a map, or the default."""
+    return F.coalesce(F.try_element_at(m, F.lit(key)), F.lit(default))
+
+
+def missing_of(need, have):
+    """What of need is not in have; empty if all is there."""
+    return F.array_except(need, have)
+
+
+def stride_sample(spark, sf_dir):
+    """Odd and every fifth place of a vector, and its finite sum."""
+    e = table(spark, sf_dir, "embeddings")
+    px = F.transform("embedding", lambda x: x.cast("double"))
+    add = lambda a: F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), 6)
+    return e.select("vec_id", add(every(px, 2, 1)).alias("odd"), add(every(px, 5)).alias("fifth"), finite(px[0] / F.nullif(px[1] - px[1], F.lit(1.0))).alias("ratio"))
+
+
+def segment_angle(spark, sf_dir):
+    x = table(spark, sf_dir, "lineitem")
+    a = line_angle(F.lit(0.0), F.lit(0.0), F.col("l_quantity") - 25, F.col("l_tax") * 100 + 1)
+    return x.groupBy("l_orderkey").agg(F.round(F.max(a), 6).alias("steepest"), F.round(F.min(circular_distance(a, F.lit(0.0), 3.141592653589793)), 6).alias("flattest"))
+
+
 def timestamp_text(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", format_timestamp(F.col("value") * 37).alias("stamp"), format_duration(F.col("value") * 37).alias("duration"))
 
@@ -78,8 +117,12 @@ def point_line_distance(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.round(F.max(x), 5).alias("worst"))
 
 
-QUERIES = {f.__name__: f for f in (timestamp_text, duration_round_trip, point_line_distance)}
+QUERIES = {f.__name__: f for f in (timestamp_text, duration_round_trip, point_line_distance, stride_sample, segment_angle)}
 ORACLES = {
+    "stride_sample": """WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS px FROM embeddings)
+SELECT vec_id, round(list_sum(px[2:64:2]), 6) AS odd, round(list_sum(px[1:64:5]), 6) AS fifth, 0.0 AS ratio FROM p""",
+    "segment_angle": """WITH a AS (SELECT l_orderkey, atan2(l_tax * 100 + 1, l_quantity - 25) AS a FROM lineitem)
+SELECT l_orderkey, round(max(a), 6) AS steepest, round(min(least(a, pi() - a)), 6) AS flattest FROM a GROUP BY l_orderkey""",
     "timestamp_text": """WITH t AS (SELECT event_id, CAST(floor(value * 37 * 1000 + 0.5) AS BIGINT) AS ms, CAST(floor(value * 37 + 0.5) AS BIGINT) AS s FROM events)
 SELECT event_id, printf('%02d:%02d:%02d.%03d', ms // 3600000, ms // 60000 % 60, ms // 1000 % 60, ms % 1000) AS stamp,
  CASE WHEN s >= 3600 THEN printf('%02d:%02d:%02d', s // 3600, s // 60 % 60, s % 60) ELSE printf('%02d:%02d', s // 60, s % 60) END AS duration FROM t""",

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from cadenza.functions import scalars
 from cadenza.operators import frames, kernels, vision
-from cadenza.plans import rules
+from cadenza.plans import rules, scoring, sizing
 from cadenza.session import table
+from cadenza.sources import logs
 from cadenza.streaming import sequence
 
 EV = """ev AS (SELECT event_type AS clip_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS BIGINT) AS frame_idx,
@@ -26,6 +27,18 @@ CLIP = f"""{ACC}, a AS (SELECT clip_id, coalesce(avg(abs(x1 - (x2 + x) / 2)), 0.
  coalesce(avg(m), 0.0) AS warp, coalesce(percentile(m, 0.95), 0.0) AS p95, sum(disc) / greatest(1, count(acc)) AS rate, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY clip_id),
 d AS (SELECT *, greatest(0.0, 1 - least(0.6, rate / 0.02 * 0.6) - least(0.4, mean_acc / 10)) AS smooth, 0.15 * resid + 3.5 * var_flicker AS flicker FROM a)"""
 CHUNK = "c AS (SELECT CAST(max(vec_id) + 1 AS BIGINT) AS n FROM {embeddings}), k AS (SELECT n, k FROM c CROSS JOIN (SELECT CAST(vec_id AS BIGINT) AS k FROM {embeddings}) s WHERE k * 50 <= n - 2), chunks AS (SELECT k AS chunk_id, k * 50 AS start_frame, least(k * 50 + 50, n - 1) AS end_frame FROM k)"
+#: How Spark numbers and windows a clip: by stretches of time, then of frames, so that one long clip is many tasks.
+#: Each time stretch starts at the count of the rows before it; a stretch of frames repeats what its edges look back and ahead to.
+EV_SPLIT = """e0 AS (SELECT event_type AS clip_id, ts, event_id, user_id, value AS x, coalesce(CAST(floor(unix_micros(CAST(ts AS TIMESTAMP)) / 3600000000) AS BIGINT), -1) AS tb FROM {events}),
+e1 AS (SELECT clip_id, tb, count(*) AS n FROM e0 GROUP BY clip_id, tb),
+e2 AS (SELECT clip_id, tb, sum(n) OVER (PARTITION BY clip_id ORDER BY tb ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS before FROM e1),
+ev AS (SELECT e0.clip_id, CAST(row_number() OVER (PARTITION BY e0.clip_id, e0.tb ORDER BY ts, event_id) - 1 + before AS BIGINT) AS frame_idx, event_id, user_id, ts, x
+ FROM e0 JOIN e2 ON e0.clip_id <=> e2.clip_id AND e0.tb = e2.tb)"""
+LAG_SPLIT = f"""{EV_SPLIT}, lh AS (SELECT *, frame_idx div 4096 AS own FROM ev),
+lu AS (SELECT *, explode(CASE WHEN frame_idx % 4096 >= 4093 THEN array(own, own + 1) WHEN frame_idx % 4096 = 0 AND own > 0 THEN array(own, own - 1) ELSE array(own) END) AS part FROM lh),
+lw AS (SELECT *, lag(x, 1) OVER w AS x1, lag(x, 2) OVER w AS x2, lag(x, 3) OVER w AS x3, lead(x, 1) OVER w AS xn FROM lu WINDOW w AS (PARTITION BY clip_id, part ORDER BY frame_idx)),
+l AS (SELECT clip_id, frame_idx, event_id, user_id, ts, x, x1, x2, x3, xn FROM lw WHERE own = part)"""
+CHUNK_SPLIT = "c AS (SELECT CAST(max(vec_id) + 1 AS BIGINT) AS n FROM {embeddings}), k AS (SELECT n, explode(sequence(0L, greatest(0L, n - 2) div 50)) AS k FROM c WHERE n > 0), chunks AS (SELECT k AS chunk_id, k * 50 AS start_frame, least(k * 50 + 50, n - 1) AS end_frame FROM k)"
 
 SQL = {
     "lag1_diff": f"WITH {LAG} SELECT clip_id, frame_idx, round(abs(x - x1), 6) AS d FROM l WHERE x1 IS NOT NULL",
@@ -55,7 +68,6 @@ SQL = {
     "pending_chunks": f"WITH {CHUNK} SELECT chunk_id, start_frame, end_frame FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM chunks d WHERE d.chunk_id = c.chunk_id AND d.chunk_id % 2 = 0)",
     "overlap_merge_dedup": f"WITH {CHUNK}, e AS (SELECT vec_id AS frame_idx, chunk_id, start_frame FROM {{embeddings}} JOIN chunks ON chunk_id BETWEEN CAST(floor(vec_id / 50) AS BIGINT) - 1 AND CAST(floor(vec_id / 50) AS BIGINT) AND vec_id BETWEEN start_frame AND end_frame) SELECT frame_idx, chunk_id FROM e WHERE NOT (chunk_id > 0 AND frame_idx = start_frame)",
     "interleave": f"WITH {LAG} SELECT clip_id, 2 * frame_idx AS out_idx, x AS v FROM l UNION ALL SELECT clip_id, 2 * frame_idx - 1, (x + x1) / 2 FROM l WHERE x1 IS NOT NULL",
-    "log_match": "SELECT o_orderkey AS report, min(doc_id) AS log FROM {orders} o JOIN {documents} d ON d.n_chars = o.o_orderkey GROUP BY o_orderkey",
     "model_pivot": f"WITH {CLIP} SELECT round(max(CASE WHEN clip_id = 'click' THEN smooth END), 5) AS click, round(max(CASE WHEN clip_id = 'view' THEN smooth END), 5) AS view_, round(max(CASE WHEN clip_id = 'purchase' THEN smooth END), 5) AS purchase FROM d",
     "motion_regimes": f"WITH {LAG}, m AS (SELECT abs(x - x1) AS m FROM l WHERE x1 IS NOT NULL), g AS (SELECT CASE WHEN m < 3 THEN 0 WHEN m < 10 THEN 1 WHEN m < 25 THEN 2 ELSE 3 END AS r, avg(m) AS a FROM m GROUP BY 1), o AS (SELECT avg(m) AS a FROM m), k AS (SELECT 0 AS r, 'static' AS name UNION ALL SELECT 1, 'slow' UNION ALL SELECT 2, 'fast' UNION ALL SELECT 3, 'extreme') SELECT name, round(coalesce(g.a, o.a), 5) AS level FROM k LEFT JOIN g ON k.r = g.r CROSS JOIN o",
     "artifact_added": f"WITH {EV} SELECT clip_id, round(greatest(0.0, avg(CASE WHEN frame_idx % 2 = 1 THEN x END) - avg(CASE WHEN frame_idx % 2 = 0 THEN x END)), 5) AS added FROM ev GROUP BY clip_id",
@@ -66,11 +78,9 @@ SQL = {
     "histogram_intersection": "WITH h AS (SELECT event_type AS e, CAST(floor(least(31.0, value / 8)) AS BIGINT) AS bin, count(*) AS n FROM {events} GROUP BY 1, 2), t AS (SELECT e, sum(n) AS n FROM h GROUP BY e), s AS (SELECT h.e, bin, h.n / t.n AS p FROM h JOIN t ON h.e = t.e) SELECT a.e AS a, b.e AS b, round(sum(least(a.p, b.p)), 6) AS inter FROM s a JOIN s b ON a.bin = b.bin AND a.e < b.e GROUP BY a.e, b.e",
     "envelope_clamp": f"WITH {LAG} SELECT clip_id, frame_idx, round(CASE WHEN x > greatest(x1, xn) + 10 THEN greatest(x1, xn) + 10 WHEN x < least(x1, xn) - 10 THEN least(x1, xn) - 10 ELSE x END, 6) AS v, CASE WHEN x > greatest(x1, xn) + 20 OR x < least(x1, xn) - 20 THEN 1 ELSE 0 END AS firefly FROM l WHERE frame_idx % 2 = 1 AND x1 IS NOT NULL AND xn IS NOT NULL",
     "technical_status": f"WITH {EV}, a AS (SELECT clip_id, count(*) AS n, max(x) AS mx, avg(x) AS mae FROM ev GROUP BY clip_id) SELECT clip_id, CASE WHEN mae > 200 OR mx > 1e6 THEN 'FAIL' WHEN abs(n - 2000) > 5 THEN 'WARN' ELSE 'PASS' END AS status, abs(n - 2000) <= 5 AS frame_ok FROM a",
-    "scorecard": f"WITH {CLIP}, q AS (SELECT clip_id, greatest(1.0, 1 + 4 * smooth - least(2.0, 0.5 * flicker)) AS t, 5.0 AS player FROM d), s AS (SELECT clip_id, 2 * (0.15 * player + 0.15 * player + 0.15 * t + 0.10 * player + 0.10 * player + 0.05 * player + 0.10 * player + 0.05 * player) / 0.85 AS quality FROM q) SELECT clip_id, round(quality, 5) AS quality, CASE WHEN quality >= 8.5 THEN 'EXCELLENT' WHEN quality >= 7.5 THEN 'GOOD' WHEN quality >= 6 THEN 'ACCEPTABLE' ELSE 'POOR' END AS status FROM s",
-    "perf_score": "SELECT o_orderkey, round(CASE WHEN r <= 1 THEN 10.0 WHEN r <= 1.3 THEN 10 - (r - 1) / 0.3 * 1.5 WHEN r <= 1.6 THEN 8.5 - (r - 1.3) / 0.3 * 2.5 ELSE greatest(1.0, 6 - 2 * (r - 1.6)) END, 5) AS score, CASE WHEN r <= 1.3 THEN 'PASS' WHEN r <= 1.6 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT o_orderkey, o_totalprice / 100000 AS r FROM {orders}) t",
+    "perf_score": "SELECT o_orderkey, CASE WHEN r <= 1 THEN CAST(10 AS DOUBLE) WHEN r <= 1.3 THEN 10 - (r - 1) / 0.3 * 1.5 WHEN r <= 1.6 THEN 8.5 - (r - 1.3) / 0.3 * 2.5 ELSE greatest(1.0, 6 - 2 * (r - 1.6)) END AS score, CASE WHEN r <= 1.3 THEN 'PASS' WHEN r <= 1.6 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT o_orderkey, o_totalprice / 100000 AS r FROM {orders}) t",
     "realtime_factor": "SELECT o_orderkey, round(greatest(o_totalprice, 0.001) / greatest(1000.0, 0.001), 5) AS rtf, round(1000 / greatest(o_totalprice, 0.001), 5) AS fps FROM {orders}",
     "timestamp_format": "SELECT event_id, lpad(CAST(CAST(floor(value / 3600) AS BIGINT) AS VARCHAR(20)), 2, '0') || ':' || lpad(CAST(CAST(floor(value / 60) AS BIGINT) % 60 AS VARCHAR(20)), 2, '0') || ':' || lpad(CAST(CAST(floor(value) AS BIGINT) % 60 AS VARCHAR(20)), 2, '0') AS stamp FROM {events}",
-    "fraction_parse": "SELECT l_orderkey, round(coalesce(sum(l_quantity) / nullif(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END), 0), 25.0), 5) AS rate FROM {lineitem} GROUP BY l_orderkey",
     "bitrate_target": "SELECT o_orderkey, round(least(12e6 * greatest(0.4, r), greatest(3.5e6 * greatest(0.4, r), 1.45 * s)), 2) AS rate FROM (SELECT o_orderkey, o_totalprice * 20 AS s, o_totalprice / 200000 AS r FROM {orders}) t",
     "reconcile_frames": "SELECT o_orderkey, CAST(CASE WHEN abs(o_totalprice - o_orderkey * 25) > greatest(3, 5) THEN o_orderkey * 25 ELSE floor(o_totalprice) END AS BIGINT) AS n_frames FROM {orders}",
     "severity_bucket": "SELECT CAST(CASE WHEN l_tax < 0.01 THEN 1 WHEN l_tax < 0.03 THEN 2 WHEN l_tax < 0.07 THEN 3 WHEN l_tax < 0.15 THEN 4 ELSE 5 END AS BIGINT) AS severity, CAST(count(*) AS BIGINT) AS n FROM {lineitem} GROUP BY 1",
@@ -81,10 +91,16 @@ SQL = {
 #: The halo form: overlapping buckets of frames, so one long clip uses many tasks.
 SQL["halo_window"] = f"WITH {EV}, h AS (SELECT *, CAST(floor(frame_idx / 100) AS BIGINT) AS b FROM ev), u AS (SELECT *, b AS g FROM h UNION ALL SELECT *, b + 1 FROM h WHERE frame_idx % 100 >= 98 UNION ALL SELECT *, b - 1 FROM h WHERE frame_idx % 100 = 0 AND b > 0), w AS (SELECT *, lag(x, 1) OVER q AS x1, lag(x, 2) OVER q AS x2, lead(x, 1) OVER q AS xn FROM u WINDOW q AS (PARTITION BY clip_id, g ORDER BY frame_idx)) SELECT clip_id, frame_idx, x1, x2, xn FROM w WHERE b = g"
 SQL |= rules.SQL
+#: Where Spark needs another form than the plain one above, which stays the comparison.
+SPLIT = {
+    "overlap_merge_dedup": f"""WITH {CHUNK_SPLIT}, e AS (SELECT vec_id AS frame_idx, explode(array(CAST(floor(vec_id / 50) AS BIGINT) - 1, CAST(floor(vec_id / 50) AS BIGINT))) AS chunk_id FROM {{embeddings}})
+SELECT frame_idx, e.chunk_id FROM e JOIN chunks ON e.chunk_id = chunks.chunk_id WHERE frame_idx BETWEEN start_frame AND end_frame AND NOT (e.chunk_id > 0 AND frame_idx = start_frame)""",
+}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings".split()
 
 
 def _spark(sql, spark, sf_dir):
+    sql = sql.replace(LAG, LAG_SPLIT).replace(EV, EV_SPLIT).replace(CHUNK, CHUNK_SPLIT)
     sql = re.sub(r"micros\((\w+)\)", r"unix_micros(CAST(\1 AS TIMESTAMP))", sql)
     sql = re.sub(r"last_ignore\((CASE.*?END)\)", r"last(\1, true)", sql)
     used = {t: table(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
@@ -102,5 +118,31 @@ def model_matrix(spark, sf_dir):
     return _spark(SQL["metrics_long"], spark, sf_dir).groupBy("metric").pivot("clip_id").agg(F.first("value"))
 
 
-QUERIES = {name: partial(_spark, sql) for name, sql in SQL.items()} | {"model_matrix": model_matrix} | frames.QUERIES | kernels.QUERIES | vision.QUERIES | scalars.QUERIES | sequence.QUERIES
-ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | {"model_matrix": f"SELECT * FROM (PIVOT ({_duck(SQL['metrics_long'])}) ON clip_id USING first(value) GROUP BY metric)"} | frames.ORACLES | kernels.ORACLES | vision.ORACLES | scalars.ORACLES | sequence.ORACLES
+def scorecard(spark, sf_dir):
+    return scoring.scorecard_ladder(spark, sf_dir).select("l_orderkey", "quality", "status")
+
+
+def recommendation(spark, sf_dir):
+    return scoring.scorecard_ladder(spark, sf_dir).select("l_orderkey", "performance", "speed", "advice")
+
+
+def fraction_parse(spark, sf_dir):
+    """Rates as text: whole, as a fraction, with a zero denominator and with none."""
+    x = table(spark, sf_dir, "lineitem")
+    text = F.concat(F.col("l_partkey").cast("string"), F.when(F.col("l_linenumber") == 1, "").otherwise(F.concat(F.lit("/"), (F.col("l_linenumber") % 4).cast("string"))))
+    return x.select("l_orderkey", "l_linenumber", text.alias("rate_text"), scalars.fraction(text).alias("rate"))
+
+
+PARTS = (frames, kernels, vision, scalars, sequence, scoring, sizing, logs)
+QUERIES = {name: partial(_spark, SPLIT.get(name, sql)) for name, sql in SQL.items()} | {f.__name__: f for f in (model_matrix, scorecard, recommendation, fraction_parse)}
+ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | {
+    "model_matrix": f"SELECT * FROM (PIVOT ({_duck(SQL['metrics_long'])}) ON clip_id USING first(value) GROUP BY metric)",
+    "scorecard": f"SELECT l_orderkey, quality, status FROM ({scoring.ORACLES['scorecard_ladder']})",
+    "recommendation": f"SELECT l_orderkey, performance, speed, advice FROM ({scoring.ORACLES['scorecard_ladder']})",
+    "fraction_parse": """WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS top, CAST(l_linenumber % 4 AS VARCHAR) AS bottom FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 1 THEN top ELSE top || '/' || bottom END AS rate_text,
+ CASE WHEN l_linenumber = 1 THEN CAST(top AS DOUBLE) WHEN bottom = '0' THEN 25.0 ELSE CAST(top AS DOUBLE) / CAST(bottom AS DOUBLE) END AS rate FROM t""",
+}
+for _part in PARTS:
+    QUERIES |= _part.QUERIES
+    ORACLES |= _part.ORACLES

@@ -15,9 +15,8 @@ m AS (SELECT *, greatest(1.0, least(5.0, (ball + player + occlusion + pitch + gr
 SQL = {
     "evaluator_scores": f"WITH {S} SELECT clip_id, round(ball, 5) AS ball, round(player, 5) AS player, round(occlusion, 5) AS occlusion, round(pitch, 5) AS pitch, round(goal, 5) AS goal, round(graphics, 5) AS graphics, round(camera, 5) AS camera FROM s",
     "mos_proxy": f"WITH {S} SELECT clip_id, round(mos, 5) AS mos FROM m",
-    "recommendation": f"WITH {S}, q AS (SELECT clip_id, n, 2 * (0.15 * player + 0.15 * ball + 0.10 * occlusion + 0.10 * camera + 0.05 * pitch + 0.10 * graphics + 0.05 * goal + 0.15 * mos) / 0.85 AS quality FROM m) SELECT clip_id, round(quality, 5) AS quality, CASE WHEN abs(n - 2000) > 500 THEN 'TECHNICAL FAIL' WHEN quality >= 7.8 THEN 'PRODUCTION CANDIDATE' WHEN quality >= 6.5 THEN 'REVIEW' ELSE 'REJECT' END AS advice FROM q",
     "expected_frames": "SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 * o_custkey - 1 WHEN o_totalprice > 0 THEN round(o_totalprice / 100 * 50) ELSE 0 END AS BIGINT) AS n_frames FROM {orders}",
-    "av_drift": "SELECT o_orderkey, round(abs(o_totalprice - o_custkey) / 100000, 6) AS drift, abs(o_totalprice - o_custkey) / 100000 <= 0.040 AS safe FROM {orders}",
+    "av_drift": "SELECT o_orderkey, abs(o_totalprice - o_custkey) / 100000 AS drift, abs(o_totalprice - o_custkey) / 100000 <= 0.040 AS safe FROM {orders}",
     "chunk_size": "SELECT o_orderkey, CAST(least(1500, greatest(greatest(50, ceil(o_custkey / (2.0 * (1 + o_orderkey % 8)))), least(200, greatest(50, floor(o_custkey / (1.0 * (1 + o_orderkey % 8))))))) AS BIGINT) AS frames FROM {orders}",
     "source_baseline_stride": "SELECT label, CAST(count(*) AS BIGINT) AS n_frames FROM {embeddings} WHERE vec_id % 5 = 0 GROUP BY label",
     "fps_ok": "SELECT o_orderkey, abs(o_totalprice / 3000 - 50) <= 1.0 OR abs(o_custkey / 10.0 - 50) <= 1.0 AS fps_ok FROM {orders}",

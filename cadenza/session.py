@@ -18,12 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write df to the folder that driver and executors share, and read it back: what follows does not compute it again."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and spark.sparkContext.master.split("[")[0] != "local":
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Where none is set, only a local master may do without."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{base or 'file:///tmp/cadenza-checkpoints'}/cadenza-{uuid.uuid4().hex}"
+    return path or "file:///tmp/cadenza-checkpoints"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and read it back: what follows does not compute it again."""
+    path = f"{shared_dir(df.sparkSession)}/cadenza-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

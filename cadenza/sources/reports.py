@@ -10,10 +10,34 @@ STATE = "job_id string, chunk_id int, status string, output_file string, elapsed
 SURVEY = "model string, player double, ball double, overall double"
 
 
-def long_form(wide: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key and measure: metric, value (text)."""
+#: Columns of the list of suspicious moments.
+MOMENT = "timestamp_sec double, timestamp_str string, frame_index long, anomaly_type string, severity int, anomaly_score double, description string"
+
+
+def long_form(wide: DataFrame, keys: list[str], about: dict | None = None) -> DataFrame:
+    """One row per key and measure: metric, value (text); about {metric: (category, target)} adds these columns."""
     rest = [c for c in wide.columns if c not in keys]
-    return wide.select(*keys, *[F.col(c).cast("string").alias(c) for c in rest]).unpivot(keys, rest, "metric", "value")
+    out = wide.select(*keys, *[F.col(c).cast("string").alias(c) for c in rest]).unpivot(keys, rest, "metric", "value")
+    if about is None:
+        return out
+    known = F.create_map(*[F.lit(x) for k, v in about.items() for x in (k, v[0])]), F.create_map(*[F.lit(x) for k, v in about.items() for x in (k, v[1])])
+    return out.select(*keys, known[0][F.col("metric")].alias("category"), "metric", "value", known[1][F.col("metric")].alias("target"))
+
+
+def suspicious_moments(metrics: DataFrame, fps: float = 50.0, least: float = 2.5, top: int = 25) -> DataFrame:
+    """metrics(clip_id, frame_idx, warp) -> the `top` frames of each clip farthest above its mean, in deviations; ties in frame order."""
+    from pyspark.sql import Window as W
+
+    from cadenza.functions.scalars import format_timestamp
+
+    stats = metrics.groupBy("clip_id").agg(F.avg("warp").alias("mu"), F.stddev_pop("warp").alias("sd"))
+    z = (F.col("warp") - F.col("mu")) / F.when(F.col("sd") < 1e-4, 1.0).otherwise(F.col("sd"))
+    x = metrics.join(stats, "clip_id").withColumn("anomaly_score", F.round(z, 2)).filter(z >= least)
+    rank = F.row_number().over(W.partitionBy("clip_id").orderBy(F.desc("anomaly_score"), "frame_idx"))
+    at = F.col("frame_idx") / fps
+    return x.withColumn("rank", rank).filter(F.col("rank") <= top).select(
+        "clip_id", at.alias("timestamp_sec"), format_timestamp(at).alias("timestamp_str"), F.col("frame_idx").cast("long").alias("frame_index"), F.lit("flow_discontinuity").alias("anomaly_type"),
+        F.when(z >= 4, 4).otherwise(3).alias("severity"), "anomaly_score", F.format_string("warping error %.2f above the clip's mean", F.col("anomaly_score")).alias("description"))
 
 
 def render_text(rows: list) -> str:
@@ -28,13 +52,18 @@ def render_html(title: str, columns: list[str], rows: list) -> str:
 
 
 def write_report(scores: DataFrame, moments: DataFrame, path: str, keys: list[str], top: int = 20) -> None:
-    """json, long csv, csv of all moments, and a page and text of the scores and `top` moments."""
+    """json, long csv, csv of all moments, and a page and text of the scores and `top` moments.
+
+    The JSON written first is what the other reports read, so scores are computed once.
+    """
     spark = scores.sparkSession
     scores.write.mode("overwrite").json(f"{path}/json")
+    scores = spark.read.schema(scores.schema).json(f"{path}/json")
     long_form(scores, keys).write.mode("overwrite").option("header", True).csv(f"{path}/csv")
-    moments.write.mode("overwrite").option("header", True).csv(f"{path}/suspicious")
-    some = moments.orderBy(F.desc("severity")).limit(top).collect()
-    page = render_html("scores", scores.columns, scores.limit(top).collect()) + render_html("moments", moments.columns, some)
+    listed = [F.col(n).cast(t) if n in moments.columns else F.lit(None).cast(t).alias(n) for n, t in (c.split(" ") for c in MOMENT.split(", "))]
+    moments.select(*[c for c in moments.columns if c == "clip_id"], *listed).write.mode("overwrite").option("header", True).csv(f"{path}/suspicious")
+    some = moments.orderBy(F.desc("severity"), *[F.col(c) for c in moments.columns if c != "severity"]).limit(top).collect()
+    page = render_html("scores", scores.columns, scores.orderBy(*keys).limit(top).collect()) + render_html("moments", moments.columns, some)
     for name, text in (("html", page), ("text", render_text(some))):
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{path}/{name}")
 
@@ -44,10 +73,10 @@ def record_chunks(results: DataFrame, path: str) -> None:
 
 
 def pending_chunks(planned: DataFrame, path: str) -> DataFrame:
-    """Chunks of planned(job_id, chunk_id) whose last record is not 'completed'."""
+    """Chunks of planned(job_id, chunk_id) whose last record is not 'completed'; of records of one moment a completed one counts."""
     spark = planned.sparkSession
-    last = spark.read.schema(STATE).parquet(path).groupBy("job_id", "chunk_id").agg(F.max_by("status", "recorded_at").alias("status"))
-    return planned.join(last.filter("status = 'completed'"), ["job_id", "chunk_id"], "left_anti")
+    last = spark.read.schema(STATE).parquet(path).groupBy("job_id", "chunk_id").agg(F.max(F.struct("recorded_at", (F.col("status") == "completed").alias("done"))).alias("last"))
+    return planned.join(last.filter("last.done"), ["job_id", "chunk_id"], "left_anti")
 
 
 def read_survey(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from cadenza.session import shared_dir
+
 OUT = "clip_id string, event_id long, x double, x1 double, x2 double"
 STATE = "x1 double, x2 double"
 
@@ -32,8 +34,7 @@ def stream_second_order(spark, sf_dir):
     """Second-order residual from a stream of the events table, run until its files are read."""
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/cadenza-checkpoints"
-    out = f"{base}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     # a pattern, as a stream's path may name a single file only that way
     ev = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").select(F.col("event_type").alias("clip_id"), "ts", "event_id", F.col("value").alias("x"))
     q = triplets(ev).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start()

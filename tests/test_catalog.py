@@ -23,5 +23,5 @@ def test_query(spark, duck, name):
     o = duck.execute(ORACLES[name])
     cols = [x[0] for x in o.description]
     assert sorted(df.columns) == sorted(cols)
-    key = lambda r: tuple(str(round(v, 4) + 0.0 if isinstance(v, float) else v) for v in r)
+    key = lambda r: tuple(str(round(v, 9) + 0.0 if isinstance(v, float) else v) for v in r)
     assert sorted(key(tuple(r[c] for c in cols)) for r in df.collect()) == sorted(key(r) for r in o.fetchall())
