@@ -20,7 +20,7 @@ from .common import text_udf
 _STATE: dict = {}
 NONE = 1 << 30
 #: Cells of one matrix.
-CELLS = 1 << 20
+CELLS = 1 << 17
 #: Where both results stand for a moment; no column of a table is called so.
 BOTH = "cadenza:decoded"
 
@@ -28,7 +28,7 @@ BOTH = "cadenza:decoded"
 class Encoder:
     """Ranks, a hashed table of pairs, and a bounded cache of encoded pieces."""
 
-    def __init__(self, path, pattern, cache_size=200_000):
+    def __init__(self, path, pattern, cache_size=100_000):
         import regex
 
         with open(path, "rb") as f:
@@ -42,7 +42,6 @@ class Encoder:
                 a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
                 if a is not None and b is not None:
                     pairs[a << 20 | b] = rank
-        self.pairs = pairs
         self.mask = (1 << (len(pairs) * 4).bit_length()) - 1
         self.keys, self.vals = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, NONE, np.int64)
         key, val = np.array(list(pairs), dtype=np.int64), np.array(list(pairs.values()), dtype=np.int64)

@@ -5,7 +5,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.session import shared_dir
@@ -56,7 +56,15 @@ def scratch(*kept: DataFrame):
         drop(*[x for x in _OPEN.pop() if id(x) not in keep])
 
 
-def slices(text: pa.Array, most: int = 4 << 20, rows: int = 2000) -> Iterator[tuple[int, int]]:
+def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
+    """For programs, such as the queries and the pipeline: bounds the bytes of an Arrow batch in this session.
+
+    Operators leave the session as it is; they work at any bound, in slices of their own.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
+def slices(text: pa.Array, most: int = 2 << 20, rows: int = 2000) -> Iterator[tuple[int, int]]:
     """(start, length) of stretches of a string array of at most `most` bytes and `rows` rows; a longer text stands alone."""
     import numpy as np
 

@@ -2,10 +2,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, line_dedup, mixing, pii, quality, simhash, vectors
+from . import bpe, chat, common, licenses, line_dedup, mixing, pii, quality, simhash, vectors
 
 
 def _read(spark, sf_dir, name):
+    common.bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

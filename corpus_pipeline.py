@@ -2,6 +2,8 @@
 
 Each stage decides on a row itself, not by its doc_id, which may be null.
 """
+import functools
+
 from pyspark.sql import functions as F
 
 from cadenza.llm import bpe, common, line_dedup, mixing, quality, simhash
@@ -11,17 +13,31 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 KEY = "coalesce(CAST(doc_id AS STRING), md5(CAST(coalesce(text, '') AS BINARY)))"
 
 
+def _bounded(stage):
+    """The stage, in a session whose Arrow batches are bounded by bytes."""
+
+    @functools.wraps(stage)
+    def run(spark, docs, sf_dir):
+        common.bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@_bounded
 def quality_stage(spark, docs, sf_dir):
     """Drops documents that the classifier predicts as 0."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.quality_scores(docs, labels, carry=COLUMNS).filter("predicted = 1").select(*COLUMNS)
 
 
+@_bounded
 def line_stage(spark, docs, sf_dir):
     """Cuts repeated lines; n_chars follows the text."""
     return line_dedup.line_dedup(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_bounded
 def simhash_stage(spark, docs, sf_dir):
     """Keeps one row of each group, that of the smallest doc_id; null is the largest."""
     return simhash.one_per_component(docs.select(*COLUMNS))
@@ -32,6 +48,7 @@ def mixing_stage(spark, docs, sf_dir):
     return mixing.mix_to_targets(docs, tolerance=1e-6, key=KEY, carry=COLUMNS).filter("selected").select("row.*", "weight")
 
 
+@_bounded
 def bpe_stage(spark, docs, sf_dir):
     """Adds token ids; the text is what they decode to. The weight of mixing stays."""
     import public_tokenizers as P
