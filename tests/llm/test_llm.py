@@ -100,10 +100,11 @@ def test_golay_pairs_find_every_link(spark):
         links.add((a, b))
     signed = lambda x: x - 2**64 if x >= 2**63 else x
     e = simhash.verified(simhash.fuzzy_keys(spark.createDataFrame([(signed(x),) for x in fps], "fp long")), 4)
-    from cadenza.llm.common import connected_components
+    from tests.llm.test_rows import groups
 
-    comp = {r.node: r.component for r in connected_components(e.distinct()).collect()}
-    assert all(comp[signed(a)] == comp[signed(b)] for a, b in links)
+    found = groups({signed(x) for x in fps}, [(r.a, r.b) for r in e.collect()])
+    of = {x: k for k, g in enumerate(found) for x in g}
+    assert all(of[signed(a)] == of[signed(b)] for a, b in links)
 
 
 def pii_brute(t):
