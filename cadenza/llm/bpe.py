@@ -28,7 +28,7 @@ BOTH = "cadenza:decoded"
 class Encoder:
     """Ranks, a hashed table of pairs, and a bounded cache of encoded pieces."""
 
-    def __init__(self, path, pattern, cache_size=100_000):
+    def __init__(self, path, pattern, cache_size=200_000):
         import regex
 
         with open(path, "rb") as f:
@@ -109,24 +109,25 @@ class Encoder:
         first = hit.argmax(1)
         lone = np.zeros(m.shape, bool)
         lone[np.arange(len(m)), first] = True
-        many = hit.sum(1) > 1
-        if not many.any():
+        rows = np.flatnonzero(hit.sum(1) > 1)
+        if not len(rows):
             return lone
+        hit, m, size, best = hit[rows], m[rows], size[rows], best[rows]
         # of a run of overlapping occurrences every second one counts, from the left
         col = np.arange(m.shape[1])[None]
         gap = np.maximum.accumulate(np.where(hit, -1, col), axis=1)
         take = hit & ((col - gap) % 2 == 1)
         # pairs that arise while merging from the left: with what stands before, merged already, and with the raw next
-        i, j = np.nonzero(take & many[:, None])
+        i, j = np.nonzero(take)
         new = best[i]
-        before = np.where(j >= 2, np.where(take[i, j - 2], new, m[i, j - 1]), m[i, np.maximum(j - 1, 0)])
+        before = np.where((j >= 2) & take[i, j - 2], new, m[i, np.maximum(j - 1, 0)])
         low = np.where(j >= 1, self.rank_of(before, new), NONE)
-        after = j + 2 < size[i]
         nxt = m[i, np.minimum(j + 2, m.shape[1] - 1)]
-        low = np.minimum(low, np.where(after, self.rank_of(new, nxt), NONE))
-        fine = many.copy()
+        low = np.minimum(low, np.where(j + 2 < size[i], self.rank_of(new, nxt), NONE))
+        fine = np.ones(len(rows), bool)
         fine[i[low < new]] = False
-        return np.where(fine[:, None], take, lone)
+        lone[rows[fine]] = take[fine]
+        return lone
 
     def learn(self, pieces):
         """Put the ids of new pieces into the cache."""
