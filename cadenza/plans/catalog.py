@@ -93,6 +93,21 @@ SQL["halo_window"] = f"WITH {EV}, h AS (SELECT *, CAST(floor(frame_idx / 100) AS
 SQL |= rules.SQL
 #: Where Spark needs another form than the plain one above, which stays the comparison.
 SPLIT = {
+    # the next time stamp: a stretch also holds the first frame of the one behind it
+    "pts_gaps": f"""WITH {EV_SPLIT}, h AS (SELECT clip_id, frame_idx, ts, explode(CASE WHEN frame_idx % 4096 = 0 AND frame_idx > 0 THEN array(frame_idx div 4096, frame_idx div 4096 - 1) ELSE array(frame_idx div 4096) END) AS part FROM ev),
+p AS (SELECT clip_id, ts, lead(ts) OVER (PARTITION BY clip_id, part ORDER BY frame_idx) AS nx FROM h), g AS (SELECT clip_id, micros(nx) - micros(ts) AS gap FROM p WHERE nx IS NOT NULL)
+SELECT clip_id, count_if(gap = 0) AS n_dup, count_if(gap > 80000) AS n_gap, max(gap) AS max_gap FROM g GROUP BY clip_id""",
+    # a run is as long as the way back to the last frame that is no duplicate, here or in a stretch before
+    "duplicate_runs": f"""WITH {LAG_SPLIT}, d AS (SELECT clip_id, frame_idx, frame_idx div 4096 AS part, CASE WHEN coalesce(abs(x - x1) < 0.8, false) THEN NULL ELSE frame_idx END AS fresh FROM l),
+s AS (SELECT clip_id, part, max(fresh) AS fresh FROM d GROUP BY clip_id, part),
+b AS (SELECT clip_id, part, max(fresh) OVER (PARTITION BY clip_id ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
+SELECT d.clip_id, frame_idx, frame_idx - coalesce(max(fresh) OVER (PARTITION BY d.clip_id, d.part ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), before) AS run
+ FROM d JOIN b ON d.clip_id <=> b.clip_id AND d.part = b.part""",
+    "roi_carry_forward": f"""WITH {EV_SPLIT}, r AS (SELECT clip_id, frame_idx, frame_idx div 4096 AS part, CASE WHEN frame_idx % 25 = 0 THEN x END AS v FROM ev),
+s AS (SELECT clip_id, part, max_by(v, frame_idx) FILTER (WHERE v IS NOT NULL) AS v FROM r GROUP BY clip_id, part),
+b AS (SELECT clip_id, part, last(v, true) OVER (PARTITION BY clip_id ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
+SELECT r.clip_id, frame_idx, coalesce(last(r.v, true) OVER (PARTITION BY r.clip_id, r.part ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), before) AS roi
+ FROM r JOIN b ON r.clip_id <=> b.clip_id AND r.part = b.part""",
     "overlap_merge_dedup": f"""WITH {CHUNK_SPLIT}, e AS (SELECT vec_id AS frame_idx, explode(array(CAST(floor(vec_id / 50) AS BIGINT) - 1, CAST(floor(vec_id / 50) AS BIGINT))) AS chunk_id FROM {{embeddings}})
 SELECT frame_idx, e.chunk_id FROM e JOIN chunks ON e.chunk_id = chunks.chunk_id WHERE frame_idx BETWEEN start_frame AND end_frame AND NOT (e.chunk_id > 0 AND frame_idx = start_frame)""",
 }

@@ -312,6 +312,15 @@ def graphics(m: DataFrame, group: int = 1000) -> DataFrame:
     return x.withColumn("graphics", scoring.graphics(F.col("jitter")))
 
 
+def football(output: DataFrame, config: Config = Config()) -> DataFrame:
+    """Ball, player, occlusion, pitch, goal and graphics results of clips without a source; one row per clip."""
+    m = stored(measure(output.limit(0), output, config))
+    x = on_pitch(m)
+    for part in (goal_net(m, output), graphics(m)):
+        x = x.join(part, "clip_id", "left")
+    return x.na.fill(5.0, ["goal_net", "graphics"]).na.fill(0.0, ["jitter"])
+
+
 def technical(source_meta: DataFrame, output_meta: DataFrame, c: Config) -> DataFrame:
     """meta(clip_id, nominal_fps, avg_fps, duration, nb_frames, audio array<struct<duration, channels, sample_rate>>) of both sides -> checks and warnings."""
     side = lambda m, p: m.select("clip_id", *[F.col(k).alias(f"{p}_{k}") for k in ("nominal_fps", "avg_fps", "duration", "nb_frames", "audio")])
@@ -338,13 +347,14 @@ def pts_checks(pts: DataFrame) -> DataFrame:
     return x.withColumn("pts_ok", (F.col("pts_duplicates") == 0) & (F.col("pts_gaps") == 0))
 
 
-def evaluate(source: DataFrame, output: DataFrame, source_meta: DataFrame, output_meta: DataFrame, pts: DataFrame | None = None, survey: DataFrame | None = None, timing: DataFrame | None = None, config: Config = Config()) -> DataFrame:
+def evaluate(source: DataFrame, output: DataFrame, source_meta: DataFrame, output_meta: DataFrame, pts: DataFrame | None = None, survey: DataFrame | None = None, timing: DataFrame | None = None, config: Config = Config(), measured: DataFrame | None = None) -> DataFrame:
     """One row per clip: technical, temporal, on-pitch and perceptual results, quality, performance and recommendation.
 
     pts(clip_id, pts_time), survey(clip_id, score) and timing(clip_id, seconds) are optional; without
     a survey the mean of six scores stands for it and has no weight, without timing performance is left open.
+    measured: what measure() gave and stored() wrote, if that is there already.
     """
-    m = stored(measure(source, output, config))
+    m = measured if measured is not None else stored(measure(source, output, config))
     x = preservation(m, config)
     for part in (temporal(m), on_pitch(m), artifact_differential(m), goal_net(m, output), graphics(m), technical(source_meta, output_meta, config)):
         x = x.join(part, "clip_id", "left")
