@@ -95,7 +95,7 @@ def stride_sample(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     px = F.transform("embedding", lambda x: x.cast("double"))
     add = lambda a: F.round(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), 6)
-    return e.select("vec_id", add(every(px, 2, 1)).alias("odd"), add(every(px, 5)).alias("fifth"), finite(px[0] / F.nullif(px[1] - px[1], F.lit(1.0))).alias("ratio"))
+    return e.select("vec_id", add(every(px, 2, 1)).alias("odd"), add(every(px, 5)).alias("fifth"), finite(F.try_divide(px[0], px[1] - px[1])).alias("ratio"))
 
 
 def segment_angle(spark, sf_dir):

@@ -64,11 +64,11 @@ def test_sizing(spark, jobs, want):
 
 
 def test_logs(spark, tmp_path):
-    for name, text in (("a_report.json", '{"processing_time_sec": "01:02.5"}'), ("a.log", "Processing time: 99"), ("b.log", "nothing"), ("b_upframe.log", "Finished processing in 7.5 s"), ("src.txt", "total_proc_time = 3"), ("d.json", '{"processing_time": 0}')):
+    for name, text in (("a_report.json", '{"processing_time_sec": "01:02.5"}'), ("a.log", "Processing time: 99"), ("b.log", "nothing"), ("b_job.log", "Finished processing in 7.5 s"), ("src.txt", "total_proc_time = 3"), ("d.json", '{"processing_time": 0}')):
         (tmp_path / name).write_text(text)
     clips = spark.createDataFrame([("1", "/x/a.mp4", "src.mov"), ("2", "b.mp4", "none.mov"), ("3", "c.mkv", "/y/src.mov"), ("4", "d.mp4", "d.mov")], "clip_id string, output string, source string")
     got = {r.clip_id: (r.path.rsplit("/", 1)[1], r.seconds) for r in logs.match_logs(clips, logs.read_logs(spark, str(tmp_path))).collect()}
-    assert got == {"1": ("a_report.json", 62.5), "2": ("b_upframe.log", 7.5), "3": ("src.txt", 3.0)}
+    assert got == {"1": ("a_report.json", 62.5), "2": ("b_job.log", 7.5), "3": ("src.txt", 3.0)}
     folder = lambda *a: spark.range(1).select(logs.log_folder(*map(F.lit, a))).first()[0]
     assert [folder("log", "/v/match.mp4", "o.mp4", "AMT-G"), folder("log/", "input.mp4", "clip_rife.mp4", "rife"), folder("x/match_rife", "match.mp4", "out.mp4", "rife")] == ["log/match_amt_g", "log/clip_rife", "x/match_rife"]
 
