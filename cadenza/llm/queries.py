@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, licenses, line_dedup, mixing, pii, quality, simhash, vectors
+from . import bpe, chat, codes, common, decontaminate, divergence, licenses, line_dedup, mixing, pii, quality, simhash, vectors
 
 
 def _read(spark, sf_dir, name):
@@ -60,9 +60,25 @@ def op10_byte_bpe(spark, sf_dir):
     return x.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2("ids_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_near_dedup, op3_mixing_targets, op4_chat_perspectives, op5_hilbert_neighbours, op6_license_scan, op7_quality_scores, op8_personal_data, op9_simhash_near_dedup, op10_byte_bpe)}
+def op11_vector_codes(spark, sf_dir):
+    return codes.compress(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_decontamination(spark, sf_dir):
+    x = decontaminate.find_contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return x.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op13_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_embedding_near_dedup, op3_mixing_targets, op4_chat_perspectives, op5_hilbert_neighbours, op6_license_scan, op7_quality_scores, op8_personal_data, op9_simhash_near_dedup, op10_byte_bpe, op11_vector_codes, op12_decontamination, op13_source_divergence)}
 
 ORACLES = {
+    "op11_vector_codes": codes.codes_sql(),
+    "op12_decontamination": decontaminate.CONTAMINATION_SQL,
+    "op13_source_divergence": divergence.DIVERGENCE_SQL,
     "op3_mixing_targets": mixing.mixing_sql(),
     "op4_chat_perspectives": chat.CHAT_SQL,
     "op1_line_dedup": r"""
