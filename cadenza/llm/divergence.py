@@ -14,6 +14,7 @@ import functools
 import math
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,44 +47,46 @@ def pieces(text: bytes, most: int = 4 << 20):
     yield text[at:]
 
 
-def _term_counts(batches):
-    """(text, lang, source) -> (lang, source, term, n, docs) of each slice; a null term counts the documents of a group."""
-    con = duck()
+_COUNTED = """
+INSERT INTO held SELECT lang, source, term, CAST(sum(n) AS BIGINT), count(*) FROM (
+ SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(string_split(words, ' ')) AS term FROM t) WHERE term <> '' GROUP BY ALL) GROUP BY ALL"""
+_ADDED = "CREATE OR REPLACE TABLE held AS SELECT lang, source, term, CAST(sum(n) AS BIGINT) AS n, CAST(sum(docs) AS BIGINT) AS docs FROM held GROUP BY ALL"
 
-    def counted(row, group, terms):
-        t = pa.table({"row": pa.array(row, pa.int64()), "grp": pa.array(group, pa.int64()), "words": pa.array(terms, pa.list_(pa.string()))})
-        con.register("t", t)
-        out = con.sql("SELECT grp, term, CAST(sum(n) AS BIGINT) AS n, count(*) AS docs FROM (SELECT row, grp, term, count(*) AS n FROM (SELECT row, grp, unnest(words) AS term FROM t) GROUP BY ALL) GROUP BY ALL").to_arrow_table()
-        con.unregister("t")
-        return out
 
-    def emit(groups, g, term, n, docs):
-        at = [groups[i] for i in g]
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in at], pa.string()), pa.array([x[1] for x in at], pa.string()), term, n, docs], ["lang", "source", "term", "n", "docs"])
+def _term_counts(batches, most: int = 1_000_000):
+    """(text, lang, source) -> (lang, source, term, n, docs), summed over a task as far as `most` rows allow; a null term counts a group's documents."""
+    con = duck()
+    con.execute("CREATE OR REPLACE TABLE held (lang VARCHAR, source VARCHAR, term VARCHAR, n BIGINT, docs BIGINT)")
+
+    def emit():
+        out = con.sql("SELECT * FROM held").to_arrow_table()
+        con.execute("DELETE FROM held")
+        yield from out.to_batches(max_chunksize=50_000)
 
     for batch in batches:
         text, lang, source = batch.columns
         for at, k in slices(text):
-            rows = text.slice(at, k).cast(pa.binary()).to_pylist()
-            keys = list(zip([x or "" for x in lang.slice(at, k).to_pylist()], [x or "" for x in source.slice(at, k).to_pylist()]))
-            groups = sorted(set(keys))
-            number = {x: i for i, x in enumerate(groups)}
-            held = [0] * len(groups)
-            for x in keys:
-                held[number[x]] += 1
-            yield emit(groups, range(len(groups)), pa.nulls(len(groups), pa.string()), pa.array([0] * len(groups), pa.int64()), pa.array(held, pa.int64()))
-            if k == 1 and len(rows[0] or b"") > 4 << 20:  # a long text alone: its parts are added before its terms are counted once
+            rows = [(x or b"").translate(LETTERS) for x in text.slice(at, k).cast(pa.binary()).to_pylist()]
+            name = lambda c: pc.fill_null(c.slice(at, k), "")  # noqa: B023, E731
+            t = pa.table({"row": pa.array(range(k), pa.int32()), "lang": name(lang), "source": name(source)})  # noqa: F841
+            con.register("t", t)
+            con.execute("INSERT INTO held SELECT lang, source, NULL, 0, count(*) FROM t GROUP BY ALL")
+            if k == 1 and len(rows[0]) > 4 << 20:  # a long text alone: the parts' terms are those of one document
                 total = {}
-                for part in pieces(rows[0].translate(LETTERS)):
+                for part in pieces(rows[0]):
                     for w in part.split():
                         total[w] = total.get(w, 0) + 1
-                term = pa.array([w.decode() for w in total], pa.string())
-                yield emit(groups, [0] * len(total), term, pa.array(list(total.values()), pa.int64()), pa.array([1] * len(total), pa.int64()))
-                continue
-            out = counted(range(k), [number[x] for x in keys], [[w.decode() for w in (t or b"").translate(LETTERS).split()] for t in rows])
-            if len(out):
-                term, n, docs = (out.column(c).combine_chunks() for c in ("term", "n", "docs"))
-                yield emit(groups, out.column("grp").to_pylist(), term, n, docs)
+                con.register("w", pa.table({"term": pa.array(list(total), pa.binary()).cast(pa.string()), "n": pa.array(list(total.values()), pa.int64())}))
+                con.execute("INSERT INTO held SELECT lang, source, term, n, 1 FROM t CROSS JOIN w")
+            else:
+                con.register("t", t.append_column("words", pa.array(rows, pa.binary()).cast(pa.string())))
+                con.execute(_COUNTED)
+            if con.sql("SELECT count(*) FROM held").fetchall()[0][0] > most:
+                con.execute(_ADDED)
+                if con.sql("SELECT count(*) FROM held").fetchall()[0][0] > most // 2:
+                    yield from emit()
+    con.execute(_ADDED)
+    yield from emit()
 
 
 COUNTS = "lang string, source string, term string, n long, docs long"
