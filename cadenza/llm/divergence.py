@@ -76,8 +76,8 @@ def _term_counts(batches, most: int = 1_000_000):
                 for part in pieces(rows[0]):
                     for w in part.split():
                         total[w] = total.get(w, 0) + 1
-                con.register("w", pa.table({"term": pa.array(list(total), pa.binary()).cast(pa.string()), "n": pa.array(list(total.values()), pa.int64())}))
-                con.execute("INSERT INTO held SELECT lang, source, term, n, 1 FROM t CROSS JOIN w")
+                con.register("long_terms", pa.table({"term": pa.array(list(total), pa.binary()).cast(pa.string()), "n": pa.array(list(total.values()), pa.int64())}))
+                con.execute("INSERT INTO held SELECT lang, source, term, n, 1 FROM t CROSS JOIN long_terms")
             else:
                 con.register("t", t.append_column("words", pa.array(rows, pa.binary()).cast(pa.string())))
                 con.execute(_COUNTED)
