@@ -33,23 +33,36 @@ def frame_difference(a, b, grid=64):
     return float(0.6 * np.abs(a - b).mean() / 255 + 0.4 * np.mean(apart))
 
 
-def _windows(x, r):
-    return np.pad(x, r, mode="edge")
+def _half(x):
+    h, w = x.shape[0] // 2 * 2, x.shape[1] // 2 * 2
+    return (x[:h:2, :w:2] + x[1:h:2, :w:2] + x[:h:2, 1:w:2] + x[1:h:2, 1:w:2]) / 4
 
 
-def flow(a, b, reach=4, half=2):
-    """(h, w, 2) whole-pixel (dy, dx) that take a to b: least block difference, ties to the shortest step."""
+def flow(a, b, reach=4, half=2, least=24):
+    """(h, w, 2) whole-pixel (dy, dx) that take a to b: least block difference, ties to the shortest step.
+
+    Every step of up to `reach` pixels is tried; frames of `least` pixels a side or more are first searched
+    at half their size, and 2 pixels around that answer are tried too. So motion reaches `reach` pixels of
+    the smallest size: 4 of an 8 x 8 frame, about 38 of a 160 pixel one.
+    """
     h, w = a.shape
-    q = _windows(b.astype(float), reach)
-    steps = sorted(((dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1)), key=lambda s: (s[0] ** 2 + s[1] ** 2, s))
+    a, b, n = a.astype(float), b.astype(float), 2 * half + 1
+    y, x = np.mgrid[:h, :w]
     best, out = np.full((h, w), np.inf), np.zeros((h, w, 2), int)
-    for dy, dx in steps:
-        cost = np.abs(a - q[reach + dy : reach + dy + h, reach + dx : reach + dx + w])
-        sums = np.pad(np.pad(cost, half, mode="edge").cumsum(0).cumsum(1), ((1, 0), (1, 0)))
-        n = 2 * half + 1
-        cost = sums[n:, n:] - sums[:-n, n:] - sums[n:, :-n] + sums[:-n, :-n]
-        better = cost < best - 1e-9
-        best[better], out[better] = cost[better], (dy, dx)
+
+    def look(start, reach):
+        steps = [(dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1)]
+        for dy, dx in sorted(steps, key=lambda s: (s[0] ** 2 + s[1] ** 2, s)):
+            cost = np.abs(a - b[np.clip(y + start[..., 0] + dy, 0, h - 1), np.clip(x + start[..., 1] + dx, 0, w - 1)])
+            sums = np.pad(np.pad(cost, half, mode="edge").cumsum(0).cumsum(1), ((1, 0), (1, 0)))
+            cost = sums[n:, n:] - sums[:-n, n:] - sums[n:, :-n] + sums[:-n, :-n]
+            better = cost < best - 1e-9
+            best[better], out[better] = cost[better], (start + (dy, dx))[better]
+
+    look(out.copy(), reach)
+    if min(h, w) >= least:
+        coarse = np.repeat(np.repeat(2 * flow(_half(a), _half(b), reach, half, least), 2, axis=0), 2, axis=1)
+        look(np.pad(coarse, ((0, h - coarse.shape[0]), (0, w - coarse.shape[1]), (0, 0)), mode="edge"), 2)
     return out
 
 
@@ -66,65 +79,23 @@ def warp(img, f):
 
 
 def flow_consistency(a, x, b):
-    """(mean, p95, boundary mean, magnitude) of x against its prediction from a and b; pixels whose two flows disagree by over 3 take the better side."""
-    fa, fb = flow(x, a), flow(x, b)
-    pa, pb = warp(a.astype(float), fa), warp(b.astype(float), fb)
-    hidden = np.hypot(*np.moveaxis(fa + fb, -1, 0)) > 3
+    """(mean, p95, boundary mean, magnitude) of x against the middle frame that a and b alone predict.
+
+    Content moves half its flow from a and half from b; pixels whose two flows disagree by over 3 take the
+    better side, as one of them is hidden. x itself has no part in the prediction, so a repeated frame is as
+    far from it as the motion makes it. The boundary is where the flow from a to b changes most.
+    """
+    ab, ba = flow(a, b), flow(b, a)
+    pa, pb = warp(a.astype(float), -ab / 2), warp(b.astype(float), -ba / 2)
+    hidden = np.hypot(*np.moveaxis((ab + ba).astype(float), -1, 0)) > 3
     ra, rb = np.abs(x - pa), np.abs(x - pb)
     res = np.where(hidden, np.minimum(ra, rb), np.abs(x - (pa + pb) / 2))
-    size = np.hypot(*np.moveaxis(fb.astype(float), -1, 0))
-    edge = np.hypot(*np.gradient(size))
+    size = np.hypot(*np.moveaxis(ab.astype(float), -1, 0))
+    edge = sum(np.hypot(*np.gradient(ab[..., k].astype(float))) for k in (0, 1))
     at = edge >= np.percentile(edge, 85)
     return float(res.mean()), float(np.percentile(res, 95)), float(res[at].mean()), float(size.mean())
 
 
-def components(mask):
-    """Boxes of the 8-connected parts of a mask: list of (y, x, h, w, area), by first pixel."""
-    h, w = mask.shape
-    lab = np.where(mask, np.arange(1, h * w + 1).reshape(h, w), 0)
-    big = np.iinfo(lab.dtype).max
-    while True:
-        p = np.pad(np.where(mask, lab, big), 1, constant_values=big)
-        low = np.min([p[i : i + h, j : j + w] for i in range(3) for j in range(3)], axis=0)
-        new = np.where(mask, low, 0)
-        flat = np.concatenate([[0], new.ravel()])
-        new = np.where(mask, flat[new], 0)
-        if (new == lab).all():
-            break
-        lab = new
-    out = []
-    for k in np.unique(lab[mask]):
-        y, x = np.nonzero(lab == k)
-        out.append((int(y.min()), int(x.min()), int(np.ptp(y)) + 1, int(np.ptp(x)) + 1, len(y)))
-    return out
-
-
-def pitch_mask(rgb):
-    """Green pixels: green above both others and of middling brightness."""
-    r, g, b = (rgb[..., c].astype(int) for c in range(3))
-    return (g > r + 5) & (g > b + 5) & (g > 30)
-
-
-def pitch_coverage(rgb):
-    return float(pitch_mask(rgb).mean())
-
-
-def players(rgb):
-    """Boxes (x, y, w, h, area) of parts of the frame off the pitch colour, of a player's size and shape."""
-    parts = components(~pitch_mask(rgb))
-    return [(x, y, w, h, n) for y, x, h, w, n in parts if 200 <= n <= 25000 and 25 <= h <= 300 and 10 <= w <= 180 and 1.2 <= h / w <= 5]
-
-
-def balls(rgb, bright=180, circ=0.6):
-    """(x, y, r, roundness) of bright round parts, roundest first; roundness is the area's share of the box's ellipse."""
-    out = []
-    for y, x, h, w, n in components(rgb.min(-1) > bright):
-        round_ = min(1.0, n / (np.pi * h * w / 4)) * min(h, w) / max(h, w)
-        if 20 <= n <= 600 and round_ >= circ:
-            out.append((x + (w - 1) / 2, y + (h - 1) / 2, float(np.sqrt(n / np.pi)), float(round_)))
-    return sorted(out, key=lambda c: -c[3])
-
-
 def clamp_envelope(a, x, b, margin=10):
     """x held within its neighbours' envelope."""
     lo, hi = np.minimum(a, b).astype(float) - margin, np.maximum(a, b).astype(float) + margin
@@ -143,40 +114,6 @@ def deflicker(frames: DataFrame, margin: float = 10.0) -> DataFrame:
     return x.select("clip_id", "frame_idx", F.when(F.col("a").isNull() | F.col("b").isNull(), F.col("px")).otherwise(held).alias("px"))
 
 
-def track(points: DataFrame, speed: float = 60.0, gap: int = 3) -> DataFrame:
-    """points(clip_id, frame_idx, x, y; null x where nothing was seen) -> + state.
-
-    state: missing, start, ok, teleport (too far from the last frame's point) or far (too far after a
-    gap; the step allowed grows with it). After more than `gap` missing frames the track starts anew.
-    Clips are streamed in order; only the last point and the gap are held.
-    """
-    schema = "clip_id string, frame_idx long, x double, y double, state string"
-
-    def run(batches):
-        clip, last, missed = object(), None, 0
-        for pdf in batches:
-            states = []
-            for c, x, y in zip(pdf["clip_id"], pdf["x"], pdf["y"]):
-                if c != clip:
-                    clip, last, missed = c, None, 0
-                if pd.isna(x) or pd.isna(y):
-                    missed += 1
-                    last = None if missed > gap else last
-                    states.append("missing")
-                    continue
-                if last is None:
-                    states.append("start")
-                elif np.hypot(x - last[0], y - last[1]) <= speed * (missed + 1):
-                    states.append("ok")
-                else:
-                    states.append("far" if missed else "teleport")
-                last, missed = (x, y), 0
-            yield pdf.assign(state=states)
-
-    cols = points.select(F.col("clip_id").cast("string"), F.col("frame_idx").cast("long"), F.col("x").cast("double"), F.col("y").cast("double"))
-    return cols.repartition("clip_id").sortWithinPartitions("clip_id", "frame_idx").mapInPandas(run, schema)
-
-
 def frame_change(spark, sf_dir):
     @F.pandas_udf("double")
     def f(a: pd.Series, b: pd.Series) -> pd.Series:

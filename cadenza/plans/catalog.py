@@ -68,7 +68,6 @@ SQL = {
     "pending_chunks": f"WITH {CHUNK} SELECT chunk_id, start_frame, end_frame FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM chunks d WHERE d.chunk_id = c.chunk_id AND d.chunk_id % 2 = 0)",
     "overlap_merge_dedup": f"WITH {CHUNK}, e AS (SELECT vec_id AS frame_idx, chunk_id, start_frame FROM {{embeddings}} JOIN chunks ON chunk_id BETWEEN CAST(floor(vec_id / 50) AS BIGINT) - 1 AND CAST(floor(vec_id / 50) AS BIGINT) AND vec_id BETWEEN start_frame AND end_frame) SELECT frame_idx, chunk_id FROM e WHERE NOT (chunk_id > 0 AND frame_idx = start_frame)",
     "interleave": f"WITH {LAG} SELECT clip_id, 2 * frame_idx AS out_idx, x AS v FROM l UNION ALL SELECT clip_id, 2 * frame_idx - 1, (x + x1) / 2 FROM l WHERE x1 IS NOT NULL",
-    "model_pivot": f"WITH {CLIP} SELECT round(max(CASE WHEN clip_id = 'click' THEN smooth END), 5) AS click, round(max(CASE WHEN clip_id = 'view' THEN smooth END), 5) AS view_, round(max(CASE WHEN clip_id = 'purchase' THEN smooth END), 5) AS purchase FROM d",
     "motion_regimes": f"WITH {LAG}, m AS (SELECT abs(x - x1) AS m FROM l WHERE x1 IS NOT NULL), g AS (SELECT CASE WHEN m < 3 THEN 0 WHEN m < 10 THEN 1 WHEN m < 25 THEN 2 ELSE 3 END AS r, avg(m) AS a FROM m GROUP BY 1), o AS (SELECT avg(m) AS a FROM m), k AS (SELECT 0 AS r, 'static' AS name UNION ALL SELECT 1, 'slow' UNION ALL SELECT 2, 'fast' UNION ALL SELECT 3, 'extreme') SELECT name, round(coalesce(g.a, o.a), 5) AS level FROM k LEFT JOIN g ON k.r = g.r CROSS JOIN o",
     "artifact_added": f"WITH {EV} SELECT clip_id, round(greatest(0.0, avg(CASE WHEN frame_idx % 2 = 1 THEN x END) - avg(CASE WHEN frame_idx % 2 = 0 THEN x END)), 5) AS added FROM ev GROUP BY clip_id",
     "even_odd_mean": f"WITH {EV} SELECT clip_id, round(avg(CASE WHEN frame_idx % 2 = 0 THEN x END), 5) AS even_mean, round(avg(CASE WHEN frame_idx % 2 = 1 THEN x END), 5) AS odd_mean FROM ev GROUP BY clip_id",
@@ -129,8 +128,14 @@ def _duck(sql):
 
 
 def model_matrix(spark, sf_dir):
-    """J13 whole: one row a metric, one column a clip, whatever clips the table holds."""
-    return _spark(SQL["metrics_long"], spark, sf_dir).groupBy("metric").pivot("clip_id").agg(F.first("value"))
+    """J13 whole: every clip of the table against every metric, wide by wide() and read back as rows."""
+    x = wide(_spark(SQL["metrics_long"], spark, sf_dir))
+    return x.unpivot("metric", [c for c in x.columns if c != "metric"], "clip_id", "value")
+
+
+def wide(long):
+    """long(clip_id, metric, value) -> one row a metric, one column a clip, whatever clips there are."""
+    return long.groupBy("metric").pivot("clip_id").agg(F.first("value"))
 
 
 def scorecard(spark, sf_dir):
@@ -151,7 +156,7 @@ def fraction_parse(spark, sf_dir):
 PARTS = (frames, kernels, vision, scalars, sequence, scoring, sizing, logs)
 QUERIES = {name: partial(_spark, SPLIT.get(name, sql)) for name, sql in SQL.items()} | {f.__name__: f for f in (model_matrix, scorecard, recommendation, fraction_parse)}
 ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | {
-    "model_matrix": f"SELECT * FROM (PIVOT ({_duck(SQL['metrics_long'])}) ON clip_id USING first(value) GROUP BY metric)",
+    "model_matrix": f"WITH x AS ({_duck(SQL['metrics_long'])}) SELECT c.clip_id, m.metric, x.value FROM (SELECT DISTINCT clip_id FROM x) c CROSS JOIN (SELECT DISTINCT metric FROM x) m LEFT JOIN x ON x.clip_id = c.clip_id AND x.metric = m.metric",
     "scorecard": f"SELECT l_orderkey, quality, status FROM ({scoring.ORACLES['scorecard_ladder']})",
     "recommendation": f"SELECT l_orderkey, performance, speed, advice FROM ({scoring.ORACLES['scorecard_ladder']})",
     "fraction_parse": """WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS top, CAST(l_linenumber % 4 AS VARCHAR) AS bottom FROM lineitem)

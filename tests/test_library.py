@@ -113,29 +113,64 @@ def test_vision_kernels():
     assert (f[6:18, 6:18] == (2, -3)).all()
     assert np.allclose(V.warp(b, f)[6:18, 6:18], a[6:18, 6:18])
     assert V.flow_consistency(a, a, a)[0] == 0
-    mask = np.zeros((40, 60), bool)
-    mask[3:6, 3:6] = mask[6, 6] = mask[20:30, 40:42] = True
-    assert V.components(mask) == [(3, 3, 4, 4, 10), (20, 40, 10, 2, 20)]
-    assert V.components(np.zeros((4, 4), bool)) == []
-    field = np.zeros((300, 400, 3), np.uint8)
-    field[..., 1] = 120
-    y, x = np.mgrid[:300, :400]
-    field[(y - 100) ** 2 + (x - 120) ** 2 <= 64] = 255
-    field[150:210, 200:225] = (200, 30, 30)
-    assert V.pitch_coverage(field) > 0.9
-    assert [p[:4] for p in V.players(field)] == [(200, 150, 25, 60)]
-    assert [(round(c[0]), round(c[1]), round(c[2])) for c in V.balls(field)] == [(120, 100, 8)]
     assert V.clamp_envelope(black, white, black).max() == 10
 
 
-def test_track_and_deflicker(spark):
+def _square(at, up=0):
+    """A textured square at column `at` of a flat frame."""
+    f = np.full((64, 64), 90.0)
+    f[20 - up : 34 - up, at : at + 14] = np.random.default_rng(2).uniform(0, 255, (14, 14))
+    return f
+
+
+def test_flow_consistency_tells_interpolation_from_repetition():
+    from cadenza.operators import vision as V
+
+    for step in (4, 8, 16):
+        a, b = _square(20), _square(20 + step)
+        assert V.flow_consistency(a, a, a)[0] == 0
+        good, repeated, high = (V.flow_consistency(a, x, b)[0] for x in (_square(20 + step // 2), a, _square(20 + step // 2, 3)))
+        assert good < 0.35 * min(repeated, high) and repeated > 1 and high > 1
+        assert V.flow_consistency(a, b, b)[0] > 2 * good  # the frame after, shown too early
+        assert V.flow_consistency(a, a, b)[3] > 0
+    moved = V.warp(_square(10), -V.flow(_square(10), _square(30)) / 2.0)  # warps go the way of the motion
+    centre = lambda f: (np.abs(f - 90).sum(0) * np.arange(64)).sum() / np.abs(f - 90).sum()
+    assert centre(moved) > centre(_square(10)) + 2
+
+
+def test_flow_residual_equals_a_plain_version(spark):
+    """Every triplet of the table, with loops over pixels and steps."""
+    from cadenza.operators import vision as V
+
+    d = "/root/testdata/sf0.001"
+    px = {r.vec_id: (np.array(r.embedding, float) + 1).reshape(8, 8) * 127.5 for r in spark.read.parquet(f"{d}/embeddings.parquet").collect()}
+
+    def plain_flow(a, b):
+        edge = lambda y, x: (min(max(y, 0), 7), min(max(x, 0), 7))
+        out = np.zeros((8, 8, 2))
+        for y in range(8):
+            for x in range(8):
+                best = None
+                for dy, dx in sorted(((i, j) for i in range(-4, 5) for j in range(-4, 5)), key=lambda s: (s[0] ** 2 + s[1] ** 2, s)):
+                    at = [edge(y + i, x + j) for i in range(-2, 3) for j in range(-2, 3)]
+                    cost = sum(abs(a[p] - b[edge(p[0] + dy, p[1] + dx)]) for p in at)
+                    if best is None or cost < best - 1e-9:
+                        best, out[y, x] = cost, (dy, dx)
+        return out
+
+    got = {r.frame_idx: r for r in V.QUERIES["flow_residual"](spark, d).collect()}
+    assert set(got) == {i for i in px if i + 1 in px and i + 2 in px}
+    for i in sorted(got)[:12]:
+        a, x, b = (px[i + k] for k in range(3))
+        ab, ba = plain_flow(a, b), plain_flow(b, a)
+        pa, pb = V.warp(a, -ab / 2), V.warp(b, -ba / 2)
+        res = np.array([[min(abs(x[p] - pa[p]), abs(x[p] - pb[p])) if np.hypot(*(ab[p] + ba[p])) > 3 else abs(x[p] - (pa[p] + pb[p]) / 2) for p in zip([y] * 8, range(8))] for y in range(8)])
+        assert abs(got[i]["mean"] - res.mean()) < 1e-5 and abs(got[i].p95 - np.percentile(res, 95)) < 1e-5
+        assert abs(got[i].magnitude - np.hypot(ab[..., 0], ab[..., 1]).mean()) < 1e-5
+
+
+def test_deflicker(spark):
     from cadenza.operators import vision as V
 
-    pts = [("a", 0, 0.0, 0.0), ("a", 1, 30.0, 0.0), ("a", 2, 300.0, 0.0), ("a", 3, None, None), ("a", 4, 400.0, 0.0), ("a", 5, None, None), ("a", 6, 700.0, 0.0), ("b", 0, 9.0, 9.0)]
-    pts += [("c", 0, 1.0, 1.0), *[("c", i, None, None) for i in range(1, 5)], ("c", 5, 900.0, 1.0)]
-    t = V.track(spark.createDataFrame(pts, "clip_id string, frame_idx long, x double, y double"))
-    got = {(r.clip_id, r.frame_idx): r.state for r in t.collect()}
-    assert [got["a", i] for i in range(7)] == ["start", "ok", "teleport", "missing", "ok", "missing", "far"]
-    assert got["b", 0] == "start" and got["c", 4] == "missing" and got["c", 5] == "start"
     f = spark.createDataFrame([("a", i, [float(v)]) for i, v in enumerate((10, 250, 12, 14))], "clip_id string, frame_idx long, px array<double>")
     assert {r.frame_idx: r.px for r in V.deflicker(f).collect()} == {0: [10], 1: [22], 2: [12], 3: [14]}
