@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from cadenza.functions import scalars
-from cadenza.operators import frames, kernels, vision
+from cadenza.operators import frames, kernels, tracking, vision
 from cadenza.plans import rules, scoring, sizing
 from cadenza.session import table
 from cadenza.sources import logs
@@ -153,7 +153,7 @@ def fraction_parse(spark, sf_dir):
     return x.select("l_orderkey", "l_linenumber", text.alias("rate_text"), scalars.fraction(text).alias("rate"))
 
 
-PARTS = (frames, kernels, vision, scalars, sequence, scoring, sizing, logs)
+PARTS = (frames, kernels, tracking, vision, scalars, sequence, scoring, sizing, logs)
 QUERIES = {name: partial(_spark, SPLIT.get(name, sql)) for name, sql in SQL.items()} | {f.__name__: f for f in (model_matrix, scorecard, recommendation, fraction_parse)}
 ORACLES = {name: _duck(sql) for name, sql in SQL.items()} | {
     "model_matrix": f"WITH x AS ({_duck(SQL['metrics_long'])}) SELECT c.clip_id, m.metric, x.value FROM (SELECT DISTINCT clip_id FROM x) c CROSS JOIN (SELECT DISTINCT metric FROM x) m LEFT JOIN x ON x.clip_id = c.clip_id AND x.metric = m.metric",

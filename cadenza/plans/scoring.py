@@ -35,6 +35,17 @@ def ball(pitch, active, matched, dissolved, duplicate, wobble, deformed):
     return F.when(~pitch | (active == 0), 5.0).otherwise(clamp(x, 1.0, 5.0))
 
 
+def ball_sequence(frames, tracked, teleports, duplicates, deformed, pitch_share, has_ball, source_tracked):
+    """Score of a clip's ball track: what is wrong with it for each tracked frame, and what of it is not there."""
+    expected = F.coalesce(has_ball, pitch_share >= 0.15)
+    kept = tracked / F.greatest(F.lit(1), source_tracked * 2)
+    seen = tracked / frames
+    gone = F.when(source_tracked.isNotNull(), F.when(kept < 0.70, off(0.70, 0.70 - kept, 2)))
+    gone = F.when(source_tracked.isNotNull(), gone).when((pitch_share >= 0.40) & (frames >= 60) & (seen < 0.08), off(0.08, 0.08 - seen, 1.5))
+    x = 5 - off(0.15, rate(duplicates, tracked), 2) - off(0.15, rate(teleports, tracked), 1.5) - off(0.15, rate(deformed, tracked), 1) - F.coalesce(gone, F.lit(0.0))
+    return F.when(~expected, 5.0).when(tracked == 0, 1.0).otherwise(clamp(x, 1.0, 5.0))
+
+
 def player(anomalies, checked):
     return clamp(5 - F.least(F.lit(3.5), rate(anomalies, checked) * 25), 1.0, 5.0)
 
