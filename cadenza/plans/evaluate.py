@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadenza.operators import detect, kernels, vision
-from cadenza.plans import scoring
+from cadenza.plans import scoring, selection
 from cadenza.session import stored
 
 STRETCH = 16
@@ -234,8 +234,9 @@ def temporal(m: DataFrame) -> DataFrame:
     t = x.groupBy("clip_id").agg(
         F.count("*").alias("n_output"), F.count("dx").alias("vectors"), F.count_if(broken).alias("breaks"), mean("acc").alias("acceleration"), mean("texture").alias("texture"),
         F.coalesce(F.avg("residual"), F.avg("d1"), F.lit(0.0)).alias("residual"), mean(F.col("d1") / (F.col("d2") + 1), 1).alias("oscillation"), mean("warp").alias("warp"),
-        F.coalesce(F.percentile("warp", F.lit(0.95)), F.lit(0.0)).alias("warp_p95"), mean("boundary").alias("boundary"), mean("magnitude").alias("magnitude"))
-    t = t.join(jerky, "clip_id")
+        mean("boundary").alias("boundary"), mean("magnitude").alias("magnitude"))
+    p95 = selection.percentile(o, ["clip_id"], "warp", 0.95, name="warp_p95")
+    t = t.join(jerky, "clip_id").join(p95, "clip_id", "left").na.fill(0.0, ["warp_p95"])
     t = t.withColumns({"smoothness": scoring.smoothness(F.col("breaks"), F.col("vectors"), F.col("acceleration")), "flicker": 0.15 * F.col("residual") + 3.5 * F.col("texture")})
     return t.withColumns({"temporal_status": scoring.temporal_status(F.col("smoothness"), F.col("warp")), "temporal": scoring.stability(F.col("smoothness"), F.col("flicker")), "camera": scoring.camera(F.col("jerks"), F.col("vectors"))})
 

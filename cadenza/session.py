@@ -27,7 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: what follows does not compute it again."""
-    path = f"{shared_dir(df.sparkSession)}/cadenza-{uuid.uuid4().hex}"
+    """Write df to the shared folder and read it back: what follows does not compute it again. The copy goes when the driver ends."""
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, kind: str = "cadenza") -> str:
+    """A new path in the shared folder; what lies there is deleted when the driver ends."""
+    folder = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{folder}/rows"
