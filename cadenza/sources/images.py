@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource
+
+from cadenza.sources.packed import StagedWriter, Written
 
 FRAME = "clip_id string, frame_idx long, h int, w int, c int, data binary"
 SCHEMA = pa.schema([("clip_id", pa.string()), ("frame_idx", pa.int64()), ("h", pa.int32()), ("w", pa.int32()), ("c", pa.int32()), ("data", pa.binary())])
@@ -26,7 +28,7 @@ def png(pixels: np.ndarray) -> bytes:
 class PngFrames(DataSource):
     """Format png_frames: one file a frame, clip=NAME/FRAME.png, in a folder that all executors mount.
 
-    A file is written beside its name and then moved, so a task that runs again leaves the same files.
+    Tasks write into a folder of the job; commit moves each file to its place, an abort leaves nothing.
     """
 
     @classmethod
@@ -37,25 +39,29 @@ class PngFrames(DataSource):
         return FRAME
 
     def writer(self, schema, overwrite):
-        return PngWriter(self.options["path"])
-
+        return PngWriter(self.options["path"], overwrite)
 
-class PngWriter(DataSourceWriter):
-    def __init__(self, path):
-        self.path = path
 
+class PngWriter(StagedWriter):
     def write(self, rows):
         from pyspark import TaskContext
 
-        task = TaskContext.get().taskAttemptId()
+        task, names = TaskContext.get().taskAttemptId(), []
         for r in rows:
-            folder = os.path.join(self.path, f"clip={quote(str(r.clip_id), safe='')}")
-            os.makedirs(folder, exist_ok=True)
-            name = os.path.join(folder, f"{r.frame_idx:08d}.png")
-            with open(f"{name}.{task}", "wb") as f:
+            name = os.path.join(f"clip={quote(str(r.clip_id), safe='')}", f"{r.frame_idx:08d}.png")
+            own = os.path.join(self.job, str(task), name)
+            os.makedirs(os.path.dirname(own), exist_ok=True)
+            with open(own, "wb") as f:
                 f.write(png(np.frombuffer(bytes(r.data), np.uint8).reshape(r.h, r.w, r.c)))
-            os.replace(f"{name}.{task}", name)
-        return WriterCommitMessage()
+            names.append(name)
+        return Written((task, names))
+
+    def commit(self, messages):
+        for m in messages:
+            for name in m.clips[1] if m else ():
+                os.makedirs(os.path.dirname(os.path.join(self.path, name)), exist_ok=True)
+                os.replace(os.path.join(self.job, str(m.clips[0]), name), os.path.join(self.path, name))
+        self.clear()
 
 
 def write_images(frames: DataFrame, path: str) -> None:
