@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.operators import detect, kernels, vision
+from cadenza.operators import detect, geometry, kernels, vision
 from cadenza.plans import scoring, selection
 from cadenza.session import stored
 
@@ -341,13 +341,56 @@ def technical(source_meta: DataFrame, output_meta: DataFrame, c: Config) -> Data
     return x.withColumn("warnings", F.array_compact(F.array(*[F.when(w, F.lit(text)) for w, text in says]))).select("clip_id", "expected_frames", "fps_ok", "frame_diff", "frames_ok", "audio_diff", "audio_ok", "warnings", F.col("s_duration").alias("source_duration"))
 
 
-def pts_checks(pts: DataFrame) -> DataFrame:
-    """pts(clip_id, pts_time) -> duplicates and gaps over 80 ms between neighbours in time."""
-    gap = F.lead("pts_time").over(W.partitionBy("clip_id").orderBy("pts_time")) - F.col("pts_time")
-    x = pts.select("clip_id", gap.alias("gap")).groupBy("clip_id").agg(F.count_if(F.col("gap") == 0).alias("pts_duplicates"), F.count_if(F.col("gap") > 0.08).alias("pts_gaps"))
+def pts_checks(pts: DataFrame, stretch: float = 60.0) -> DataFrame:
+    """pts(clip_id, pts_time) -> duplicates and gaps over 80 ms between neighbours in time.
+
+    A clip is ordered by stretches of time; the last stamp of one meets the first of the next that has any.
+    """
+    x = pts.filter("pts_time is not null").select("clip_id", F.col("pts_time").alias("t"), F.floor(F.col("pts_time") / stretch).alias("part"))
+    first = x.groupBy("clip_id", "part").agg(F.min("t").alias("first"))
+    after = first.select(F.col("clip_id").alias("of_clip"), F.col("part").alias("of_part"), F.lead("first").over(W.partitionBy("clip_id").orderBy("part")).alias("after"))  # one row a stretch
+    x = x.join(after, F.col("clip_id").eqNullSafe(F.col("of_clip")) & (F.col("part") == F.col("of_part")))
+    gap = F.coalesce(F.lead("t").over(W.partitionBy("clip_id", "part").orderBy("t")), F.col("after")) - F.col("t")
+    x = x.select("clip_id", gap.alias("gap")).groupBy("clip_id").agg(F.count_if(F.col("gap") == 0).alias("pts_duplicates"), F.count_if(F.col("gap") > 0.08).alias("pts_gaps"))
     return x.withColumn("pts_ok", (F.col("pts_duplicates") == 0) & (F.col("pts_gaps") == 0))
 
 
+def pitch_sequence(m: DataFrame) -> DataFrame:
+    """Measured output frames -> lines, misfits and bent bundles, sudden changes of their number, and a score a clip."""
+    o = m.filter("role = 'o'").select("clip_id", "frame_idx", F.coalesce(F.size("lines"), F.lit(0)).alias("n"), geometry.bundles(F.col("lines")).alias("s"))
+    last = o.select(F.col("clip_id").alias("of_clip"), (F.col("frame_idx") + 1).alias("next"), F.col("n").alias("n1"))
+    x = o.join(last, F.col("clip_id").eqNullSafe(F.col("of_clip")) & (F.col("frame_idx") == F.col("next")), "left")
+    x = x.groupBy("clip_id").agg(F.count("*").alias("frames"), F.sum("n").alias("lines"), F.sum(F.col("s.misfits") + F.col("s.bent")).alias("wobbles"), F.count_if(F.abs(F.col("n") - F.col("n1")) >= 3).alias("drops"))
+    return x.withColumn("pitch_sequence", scoring.pitch_sequence(F.col("frames"), F.col("wobbles"), F.col("drops")))
+
+
+def ground_truth(truth: DataFrame, output: DataFrame, max_frames: int | None = None) -> DataFrame:
+    """True frames at the output's rate against generated (odd) frames of equal index -> psnr, ssim, ms_ssim, mae, mse, most and n a clip.
+
+    max_frames: generated frames of each clip, from the first on. Frames of different shapes are left out.
+    """
+    cols = ("h", "w", "c", "data")
+    t = truth.select(F.col("clip_id").alias("of_clip"), F.col("frame_idx").alias("at"), *[F.col(k).alias(f"{k}2") for k in cols])
+    x = output.filter("frame_idx % 2 = 1" + (f" and frame_idx < {2 * max_frames}" if max_frames else ""))
+    x = x.join(t, F.col("clip_id").eqNullSafe(F.col("of_clip")) & (F.col("frame_idx") == F.col("at"))).filter("h = h2 and w = w2 and c = c2")
+    names = ("psnr", "ssim", "ms_ssim", "mae", "mse", "most")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                a, b = (np.frombuffer(r[k], np.uint8).reshape(r["h"], r["w"], r["c"]) for k in ("data2", "data"))
+                d = np.abs(a.astype(float) - b)
+                mse = float((d * d).mean())
+                g, k = detect.gray(a)[None], detect.gray(b)[None]
+                psnr = 100.0 if mse == 0 else float(20 * np.log10(255 / np.sqrt(mse)))
+                row = (psnr, float(kernels.ssim_arrays(g, k)[0]), float(vision.ms_ssim_arrays(g, k)[0]), float(d.mean()), mse, float(d.max()))
+                yield pa.RecordBatch.from_pylist([{"clip_id": r["clip_id"], **dict(zip(names, row))}], schema=pa.schema([("clip_id", pa.string()), *((n, pa.float64()) for n in names)]))
+
+    x = x.select("clip_id", "h", "w", "c", "data", "data2").mapInArrow(run, "clip_id string, " + ", ".join(f"{n} double" for n in names))
+    return x.groupBy("clip_id").agg(*[F.avg(n).alias(n) for n in names[:5]], F.max("most").alias("most"), F.count("*").alias("n"))
+
+
 def evaluate(source: DataFrame, output: DataFrame, source_meta: DataFrame, output_meta: DataFrame, pts: DataFrame | None = None, survey: DataFrame | None = None, timing: DataFrame | None = None, config: Config = Config(), measured: DataFrame | None = None) -> DataFrame:
     """One row per clip: technical, temporal, on-pitch and perceptual results, quality, performance and recommendation.
 

@@ -59,6 +59,12 @@ def pitch(on_pitch, residual, warps, triplets):
     return F.when(on_pitch & (triplets > 0) & (residual > 0.012), clamp(x, 1.0, 5.0)).otherwise(5.0)
 
 
+def pitch_sequence(frames, wobbles, drops):
+    """From lines off their bundle for each frame, and sudden changes of their number for each step."""
+    steps = F.when(frames > 1, off(0.05, drops / (frames - 1), 1.5)).otherwise(0.0)
+    return clamp(5 - off(0.10, wobbles / frames, 2.5) - steps, 1.0, 5.0)
+
+
 def goal(even, odd, samples):
     """From the mean net texture at even and at odd places of the list."""
     apart = F.abs(even - odd) / (even + 1e-5)

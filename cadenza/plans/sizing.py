@@ -1,85 +1,40 @@
-"""How many workers, which batch and chunk a job gets, as column expressions over a table of jobs."""
+"""How many tasks and which chunk a job gets, as column expressions over a table of jobs."""
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.scalars import clamp
 from cadenza.session import table
 
-#: Memory in GB that a model takes at 1920 x 1080.
-MODEL_GB = {
-    "rife": 1.5, "blend": 0.5, "amt": 12.5, "amt-s": 8.0, "amt-l": 11.0, "amt-g": 12.5, "film": 4.0, "ifrnet": 2.0, "gmfss": 4.5, "ema-vfi": 5.2, "ema-vfi-s": 3.0,
-    "interpany": 3.5, "interpany-vgg": 3.5, "interpany-pro": 4.0, "bwdif": 0.2, "auto": 1.5,
-}
-GPU = "struct<index:int,name:string,total_gb:double,free_gb:double>"
-
 
 def whole(x):
     return F.floor(x).cast("long")
 
 
-def _gpu(g, model, need, scale, ratio, cpu_share, batch, margin):
-    """workers, batch and memory of one card."""
-    total, quick = g["total_gb"], model.isin("rife", "auto")
-    tier = lambda a, b, c, d, low=15.0: F.when(total >= 80, a).when(total >= 40, b).when(total >= low, c).otherwise(d)
-    together = whole(total * margin / need)
-    heavy = F.greatest(F.lit(1), tier(8, F.least(F.lit(6), F.greatest(together, F.lit(3))), 2, 1).cast("long"))
-    active = F.least(heavy, F.when(total >= 80, 2).otherwise(1))
-    heavy_gb = F.least(total * margin, active * need + F.greatest(F.lit(0), heavy - active) * 0.5 + 0.8)
-    light = F.greatest(F.lit(1), F.least(cpu_share, tier(10, 8, 4, 2, 16.0))).cast("long")
-    fixed = 1.0 + light * F.when(quick, 0.35).otherwise(0.5)
-    pair = 0.75 * scale
-    raw = whole(F.greatest(F.lit(0.5), g["free_gb"] * ratio - fixed) / pair)
-    cap = F.greatest(F.lit(1), whole((g["free_gb"] * 0.70 - fixed) / pair))
-    b = F.least(raw, cap, F.lit(24))
-    b = F.when(b >= 16, whole(b / 4) * 4).when(b >= 4, whole(b / 2) * 2).otherwise(F.greatest(F.lit(1), b))
-    b = F.coalesce(F.when(batch > 0, batch), b)
-    light_gb = F.least(g["free_gb"], fixed + b * pair)
-    big = need >= 5
-    return F.struct(g["index"].alias("index"), F.when(big, heavy).otherwise(light).alias("workers"), F.when(big, F.coalesce(batch, F.lit(1))).otherwise(b).cast("long").alias("batch"), F.when(big, heavy_gb).otherwise(light_gb).alias("gb"))
-
-
-def allocate(jobs: DataFrame, margin: float = 0.85) -> DataFrame:
-    """jobs(job_id, model, total_frames, width, height, gpus array, cpus, ram_gb, workers, chunk_size, batch_size, ratio, tta)
-    -> (job_id, devices array<string>, n_workers, batch, chunk_size, n_chunks, gpu_gb).
+def allocate(jobs: DataFrame) -> DataFrame:
+    """jobs(job_id, total_frames, width, height, cpus, ram_gb, workers, chunk_size, ratio) -> (job_id, n_workers, chunk_size, n_chunks).
 
-    workers, chunk_size, batch_size: null where the job leaves them open. Without cards a job runs on
-    CPUs. Cards share the cores; heavy models (5 GB and more) are bounded by the card's size, light
-    ones by cores, and take larger batches.
+    workers, chunk_size: null where the job leaves them open; then `ratio` of the cores, four at most, take two
+    chunks each, of 50 to 1,500 frames, or as many as `ratio` of the memory holds. Cards are the cluster's
+    own: see models.task_profile().
     """
     c = F.col
-    model = F.lower("model")
-    known = F.create_map(*[F.lit(v) for kv in MODEL_GB.items() for v in kv])
-    scale = clamp(c("width") * c("height") / F.lit(1920.0 * 1080), 0.5, 4.0)
-    need = F.coalesce(known[model], F.lit(4.0)) + F.when(c("tta") & model.contains("ema-vfi"), 0.5).otherwise(0.0)
-    x = jobs.withColumns({"ratio": clamp(c("ratio"), 0.50, 0.70), "scale": scale, "need": F.greatest(F.lit(0.5), need * scale), "m": model})
-    x = x.withColumn("cores", F.greatest(F.lit(1), whole(c("cpus") * c("ratio"))))
-    x = x.withColumn("share", F.greatest(F.lit(1), whole(c("cores") / F.greatest(F.lit(1), F.size("gpus")))))
-    cards = F.transform("gpus", lambda g: _gpu(g, c("m"), c("need"), c("scale"), c("ratio"), c("share"), c("batch_size").cast("long"), margin))
-    x = x.withColumn("cards", cards)
-    cpu, asked = F.size("gpus") == 0, F.coalesce(c("workers") > 0, F.lit(False))
-    by_card = F.flatten(F.transform("cards", lambda g: F.array_repeat(F.concat(F.lit("cuda:"), g["index"].cast("string")), g["workers"].cast("int"))))
-    dealt = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), c("workers").cast("int") - 1)), lambda i: F.concat(F.lit("cuda:"), c("gpus")[F.pmod(i, F.size("gpus"))]["index"].cast("string")))
-    on_cpu = F.array_repeat(F.lit("cpu"), F.when(asked, c("workers")).otherwise(F.least(F.lit(4), c("cores"))).cast("int"))
-    x = x.withColumn("devices", F.when(cpu, on_cpu).when(asked, dealt).otherwise(by_card))
-    one = F.coalesce(c("batch_size").cast("long"), F.lit(1).cast("long"))
-    x = x.withColumns({
-        "n_workers": F.size("devices"), "batch": F.when(cpu | asked, one).otherwise(F.element_at("cards", -1)["batch"]),
-        "gpu_gb": F.when(cpu, 0.0).when(asked, c("workers") * c("need") * one).otherwise(F.aggregate("cards", F.lit(0.0), lambda a, g: a + g["gb"])),
-    })
+    x = jobs.withColumn("ratio", clamp(c("ratio"), 0.50, 0.70))
+    free = F.least(F.lit(4), F.greatest(F.lit(1), whole(c("cpus") * c("ratio"))))
+    x = x.withColumn("n_workers", F.when(c("workers") > 0, c("workers")).otherwise(free).cast("long"))
     n, w = c("total_frames"), c("n_workers")
-    least = F.least(F.lit(200), F.greatest(F.lit(50), whole(n / w)))
-    size = F.greatest(least, F.least(F.lit(1500), F.greatest(F.lit(50), F.ceil(n / F.greatest(F.lit(1), w * 2)))))
+    least = clamp(whole(n / w), 50, 200)
+    size = F.greatest(least, clamp(F.ceil(n / (w * 2)), 50, 1500))
     bound = whole(c("ram_gb") * 1024**3 * c("ratio") / (w * c("width") * c("height") * 3))
-    size = F.when(c("chunk_size") > 0, c("chunk_size")).otherwise(F.when(bound < size, F.greatest(F.lit(50), bound)).otherwise(size)).cast("long")
-    x = x.withColumn("chunk_size", size)
-    return x.select("job_id", "devices", "n_workers", "batch", "chunk_size", F.ceil(n / F.greatest(F.lit(1), c("chunk_size"))).alias("n_chunks"), F.round("gpu_gb", 2).alias("gpu_gb"))
+    size = F.when(c("chunk_size") > 0, c("chunk_size")).otherwise(F.when(bound < size, F.greatest(F.lit(50), bound)).otherwise(size))
+    x = x.withColumn("chunk_size", size.cast("long"))
+    return x.select("job_id", "n_workers", "chunk_size", F.ceil(n / F.greatest(F.lit(1), c("chunk_size"))).alias("n_chunks"))
 
 
 def cpu_sizing(spark, sf_dir):
-    """Orders as jobs without cards: workers and chunks by cores, frames and memory."""
-    o = table(spark, sf_dir, "orders")
-    jobs = o.select(F.col("o_orderkey").alias("job_id"), F.lit("blend").alias("model"), (F.col("o_custkey") * 40).alias("total_frames"), F.lit(1920).alias("width"), F.lit(1080).alias("height"), F.array().cast(f"array<{GPU}>").alias("gpus"),
-                    (F.col("o_orderkey") % 16 + 1).cast("int").alias("cpus"), (F.col("o_orderkey") % 9 + 1).cast("double").alias("ram_gb"), F.lit(None).cast("int").alias("workers"), F.lit(None).cast("int").alias("chunk_size"), F.lit(None).cast("int").alias("batch_size"), F.lit(0.65).alias("ratio"), F.lit(False).alias("tta"))
+    """Orders as jobs: workers and chunks by cores, frames and memory."""
+    o, none = table(spark, sf_dir, "orders"), F.lit(None).cast("int")
+    jobs = o.select(F.col("o_orderkey").alias("job_id"), (F.col("o_custkey") * 40).alias("total_frames"), F.lit(1920).alias("width"), F.lit(1080).alias("height"),
+                    (F.col("o_orderkey") % 16 + 1).cast("int").alias("cpus"), (F.col("o_orderkey") % 9 + 1).cast("double").alias("ram_gb"), none.alias("workers"), none.alias("chunk_size"), F.lit(0.65).alias("ratio"))
     return allocate(jobs).select("job_id", F.col("n_workers").cast("long"), "chunk_size", F.col("n_chunks").cast("long"))
 
 

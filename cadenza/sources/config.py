@@ -2,54 +2,36 @@
 from __future__ import annotations
 
 import dataclasses
+import warnings
 
 
 @dataclasses.dataclass
 class JobConfig:
-    """Names and defaults of the settings."""
+    """Names and defaults of the settings that double_frames() takes."""
 
-    model: str = "rife"
-    gpus: list[int] | None = None
-    chunk_size: int | None = None
+    model: str = "blend"
     scene_threshold: float = 0.35
     transition_threshold: float = 0.12
-    crf: int = 18
-    preset: str = "medium"
-    use_nvenc: bool | None = None
-    bitrate: str | None = None
-    temp_dir: str | None = None
-    weights: str | None = None
-    resume: bool = False
-    fp16: bool = True
-    tta: bool = False
-    max_retries: int = 3
     target_fps: float = 50.0
-    workers: int | None = None
-    log_dir: str = "logs"
-    log_file: str | None = None
-    deinterlace: str = "auto"
-    ball_refine: bool = False
     cadence_filter: bool = False
-    scale: float = 1.0
     anti_flicker: bool = False
     batch_size: int | None = None
-    target_resource_ratio: float = 0.65
-    post_deflicker: bool = False
 
 
-#: Keys of a profile that describe the material, not the job.
-DESCRIPTIVE = {"resolution", "color_space", "pix_fmt", "audio"}
+#: What a profile may also hold; a cluster's own settings and encoders take their place.
+UNUSED = {
+    "gpus", "chunk_size", "crf", "preset", "use_nvenc", "bitrate", "temp_dir", "weights", "resume", "fp16", "tta", "max_retries", "workers", "log_dir", "log_file", "deinterlace", "ball_refine", "scale",
+    "target_resource_ratio", "post_deflicker", "resolution", "color_space", "pix_fmt", "audio",
+}
 
 
 def from_dict(values: dict) -> JobConfig:
     known = {f.name for f in dataclasses.fields(JobConfig)}
-    if unknown := set(values) - known - DESCRIPTIVE:
-        raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}; known are {', '.join(sorted(known))}")
-    kept = {k: v for k, v in values.items() if k in known}
-    if isinstance(kept.get("gpus"), str):
-        text = kept["gpus"].strip().lower()
-        kept["gpus"] = [] if text in ("cpu", "none", "") else [int(x) for x in text.split(",") if x.strip()]
-    return JobConfig(**kept)
+    if unknown := set(values) - known - UNUSED:
+        raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}; known are {', '.join(sorted(known | UNUSED))}")
+    if idle := sorted(set(values) & UNUSED):
+        warnings.warn(f"settings without effect here: {', '.join(idle)}")
+    return JobConfig(**{k: v for k, v in values.items() if k in known})
 
 
 def from_yaml(path: str) -> JobConfig:

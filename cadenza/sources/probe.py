@@ -13,6 +13,15 @@ def read_probe(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def packet_times(probes: DataFrame) -> DataFrame:
+    """probes(path, text) of packet JSON -> (path, pts_time): a row for each packet whose time is a number, in no order.
+
+    Packets of a file lie in order of decoding; pts_checks() orders them by time. A file that is no JSON has none.
+    """
+    p = probes.select("path", F.explode(F.from_json("text", "struct<packets:array<struct<pts_time:string>>>")["packets"]).alias("p"))
+    return p.select("path", F.col("p.pts_time").try_cast("double").alias("pts_time")).filter("pts_time is not null")
+
+
 def interlace(text):
     """struct<interlaced, field_order, tff, bff, progressive> from the last detection line of a log; progressive without one."""
     lines = F.regexp_extract_all(text, F.lit(r"Multi frame detection:([^\n]*)"), F.lit(1))

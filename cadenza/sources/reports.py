@@ -82,10 +82,3 @@ def pending_chunks(planned: DataFrame, path: str) -> DataFrame:
 def read_survey(spark: SparkSession, path: str) -> DataFrame:
     """Human scores; rows that are no JSON become nulls and are left out."""
     return spark.read.schema(SURVEY).option("mode", "PERMISSIVE").json(path).filter("model is not null")
-
-
-def read_processing_times(spark: SparkSession, path: str) -> DataFrame:
-    """(file, seconds) of each log: a total, then an elapsed, then a processing time; first found wins."""
-    t = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-    found = [F.regexp_extract("value", rf"(?i){w}[^0-9\n]*([0-9]+(?::[0-9]+)*(?:\.[0-9]+)?)", 1) for w in ("total time", "elapsed", "processing time")]
-    return t.select("file", F.coalesce(*[time_in_seconds(F.nullif(x, F.lit(""))) for x in found]).alias("seconds"))

@@ -37,9 +37,6 @@ def test_models(spark):
     assert got == {("a", 0): [0, 2], ("a", 1): [2, 3], ("a", 2): [4, 4], ("b", 0): [1, 1]}
     with pytest.raises(KeyError, match="blend"):
         models.get("nothing")
-    with pytest.raises(NotImplementedError):
-        models.get("rife")
-    assert len(models.names()) == 17
 
 
 def test_raw_frames(spark, tmp_path):
@@ -67,10 +64,6 @@ def test_reports_and_state(spark, tmp_path):
     assert sorted(r.chunk_id for r in reports.pending_chunks(plan, str(tmp_path / "state")).collect()) == [0, 3]
     (tmp_path / "s.json").write_text('{"model": "a", "player": 4}\nbad\n')
     assert [(r.model, r.player, r.ball) for r in reports.read_survey(spark, str(tmp_path / "s.json")).collect()] == [("a", 4.0, None)]
-    (tmp_path / "logs").mkdir()
-    for n, t in (("a", "elapsed: 9\nTotal time: 01:02.5\n"), ("b", "nothing"), ("c", "Processing time = 7.25 s")):
-        (tmp_path / "logs" / n).write_text(t)
-    assert {r.file[-1]: r.seconds for r in reports.read_processing_times(spark, str(tmp_path / "logs")).collect()} == {"a": 62.5, "b": None, "c": 7.25}
 
 
 def test_scalars(spark):

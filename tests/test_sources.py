@@ -29,38 +29,25 @@ def test_probe(spark):
 
 
 def test_config(tmp_path):
-    (tmp_path / "p.yaml").write_text("model: amt\ngpus: '0, 2'\nresolution: 1080p\ncrf: 20\n")
-    c = config.from_yaml(str(tmp_path / "p.yaml"))
-    assert (c.model, c.gpus, c.crf, c.preset) == ("amt", [0, 2], 20, "medium")
-    assert config.from_dict({"gpus": "cpu"}).gpus == [] and config.from_dict({}).gpus is None
+    (tmp_path / "p.yaml").write_text("model: blend\ngpus: '0, 2'\nresolution: 1080p\nscene_threshold: 0.4\n")
+    with pytest.warns(UserWarning, match="gpus, resolution"):
+        c = config.from_yaml(str(tmp_path / "p.yaml"))
+    assert (c.model, c.scene_threshold, c.transition_threshold) == ("blend", 0.4, 0.12)
     with pytest.raises(ValueError, match="colour"):
         config.from_dict({"colour": 1})
 
 
-def job(model, frames_, gpus, cpus=16, ram=128.0, workers=None, chunk=None, batch=None):
-    return (model, model, frames_, 1920, 1080, [(i, "card", float(t), float(f)) for i, (t, f) in enumerate(gpus)], cpus, ram, workers, chunk, batch, 0.65, False)
-
-
-@pytest.mark.parametrize("jobs,want", [
-    ([job("amt-g", 751, [(16, 15)]), job("ema-vfi", 751, [(16, 15)]), job("rife", 751, [(16, 15)])], {"amt-g": (2, 1), "ema-vfi": (2, 1), "rife": (4, 8)}),
-    ([job("amt-g", 135_000, [(48, 46)] * 3), job("ema-vfi", 135_000, [(48, 46)] * 3)], {"amt-g": (9, 1), "ema-vfi": (18, 1)}),
-    ([job("rife", 1000, [(16, 15)], workers=3, chunk=500)], {"rife": (3, 1)}),
-    ([job("rife", 13_151, [(40, 38)], 32, 64.0)], {"rife": (8, 24)}),
-    ([job("rife", 13_151, [(96, 92)], 64), job("amt-g", 13_151, [(96, 92)], 64)], {"rife": (10, 24), "amt-g": (8, 1)}),
-    ([job("blend", 500, [], 8)], {"blend": (4, 1)}),
-])
-def test_sizing(spark, jobs, want):
-    schema = f"job_id string, model string, total_frames long, width int, height int, gpus array<{sizing.GPU}>, cpus int, ram_gb double, workers int, chunk_size int, batch_size int, ratio double, tta boolean"
-    r = {x.job_id: x for x in sizing.allocate(spark.createDataFrame(jobs, schema)).collect()}
-    assert {k: (v.n_workers, v.batch) for k, v in r.items()} == want
-    for x in r.values():
-        assert len(x.devices) == x.n_workers and x.chunk_size >= 50 and x.n_chunks >= 1
-    if jobs[0][2] == 135_000:
-        assert r["amt-g"].devices.count("cuda:1") == 3 and r["amt-g"].chunk_size >= 200
-    if jobs[0][8]:
-        assert r["rife"].chunk_size == 500
-    if jobs[0][5] and jobs[0][5][0][2] == 40:
-        assert 0.5 <= r["rife"].gpu_gb / 38 <= 0.7
+def test_sizing(spark):
+    rows = [("open", 500, 8, 128.0, None, None), ("asked", 1000, 16, 128.0, 3, 500), ("small", 9000, 16, 1.0, None, None), ("tiny", 7, 1, 1.0, None, None)]
+    jobs = spark.createDataFrame([(i, n, 1920, 1080, cpus, ram, w, k, 0.9) for i, n, cpus, ram, w, k in rows], "job_id string, total_frames long, width int, height int, cpus int, ram_gb double, workers int, chunk_size int, ratio double")
+    r = {x.job_id: (x.n_workers, x.chunk_size, x.n_chunks) for x in sizing.allocate(jobs).collect()}
+    assert r == {"open": (4, 125, 4), "asked": (3, 500, 2), "small": (4, 50, 180), "tiny": (1, 50, 1)}
+
+
+def test_packet_times(spark):
+    rows = [("/x/a.json", json.dumps({"packets": [{"pts_time": "0.04"}, {"pts_time": "0.0"}, {"pts_time": "N/A"}, {"dts_time": "1"}]})), ("/x/b.json", "no"), ("c", json.dumps({"packets": []}))]
+    got = probe.packet_times(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert sorted(map(tuple, got)) == [("/x/a.json", 0.0), ("/x/a.json", 0.04)]
 
 
 def test_logs(spark, tmp_path):
