@@ -43,6 +43,11 @@ def id_list(text):
     return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast("int")), lambda x: x.isNotNull())
 
 
+def ordered_unique(values):
+    """Values of an array once each, in the order in which they first stand; nulls and empty texts are left out."""
+    return F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))
+
+
 def name_paths(text):
     """'a=x,b=y' -> map."""
     return F.str_to_map(text, F.lit(","), F.lit("="))

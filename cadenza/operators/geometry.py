@@ -43,6 +43,22 @@ def flying_pair(a: DataFrame, b: DataFrame, key: str = "frame_idx") -> DataFrame
     return pairs.groupBy(key).agg(best).select(key, (-F.col("best.ia")).alias("ia"), (-F.col("best.ib")).alias("ib"), F.col("best.score").alias("score"))
 
 
+def ball_mask(ax, ay, bx, by, radius, h: int, w: int):
+    """array<boolean> of h x w pixels: those within a ball's radius and 4 of its way from a to b, and 2 more around the middle; null without a ball."""
+    whole = lambda c: F.floor(c + 0.5)
+    p, q, s, t, r = whole(ax), whole(ay), whole(bx), whole(by), whole(radius + 4)
+    mx, my = whole((ax + bx) / 2), whole((ay + by) / 2)
+    long = F.greatest((s - p) * (s - p) + (t - q) * (t - q), F.lit(1))
+
+    def inside(i):
+        y, x = F.floor(i / w), i % w
+        along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - p) * (s - p) + (y - q) * (t - q)) / long))
+        near = F.hypot(x - (p + along * (s - p)), y - (q + along * (t - q))) <= r
+        return near | (F.hypot(x - mx, y - my) <= r + 2)
+
+    return F.when(r.isNotNull() & mx.isNotNull() & my.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(h * w - 1)), inside))
+
+
 def turned(a, b):
     """Distance of two angles of undirected lines."""
     d = F.abs(a - b) % math.pi

@@ -49,12 +49,17 @@ def ssim_arrays(a, b):
 
 
 def shift_arrays(a, b):
-    """Whole-pixel translation (dy, dx) of stack b against a by phase correlation."""
+    """Translation (dy, dx) of stack b against a by phase correlation: the centroid of what lies within two pixels of the peak."""
     f = np.fft.fft2(b) * np.conj(np.fft.fft2(a))
-    peak = np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)).real.reshape(len(a), -1).argmax(1)
+    corr = np.fft.ifft2(f / np.maximum(np.abs(f), 1e-12)).real
     h, w = a.shape[1:]
+    peak = corr.reshape(len(a), -1).argmax(1)
     y, x = peak // w, peak % w
-    return np.where(y > h // 2, y - h, y), np.where(x > w // 2, x - w, x)
+    ry, rx = (np.arange(-min(2, (n - 1) // 2), min(2, (n - 1) // 2) + 1) for n in (h, w))  # no pixel twice
+    near = np.maximum(corr[np.arange(len(a))[:, None, None], (y[:, None] + ry)[:, :, None] % h, (x[:, None] + rx)[:, None, :] % w], 0)
+    total = np.maximum(near.sum((1, 2)), 1e-12)
+    y, x = np.where(y > h // 2, y - h, y), np.where(x > w // 2, x - w, x)
+    return y + (near * ry[:, None]).sum((1, 2)) / total, x + (near * rx).sum((1, 2)) / total
 
 
 def _stack(s, side):
@@ -70,10 +75,10 @@ def ssim(side=SIDE):
 
 
 def motion(side=SIDE):
-    @F.pandas_udf("dy long, dx long")
+    @F.pandas_udf("dy double, dx double")
     def f(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         if not len(a):
-            return pd.DataFrame({"dy": [], "dx": []}, dtype="int64")
+            return pd.DataFrame({"dy": [], "dx": []}, dtype=float)
         dy, dx = shift_arrays(_stack(a, side), _stack(b, side))
         return pd.DataFrame({"dy": dy, "dx": dx})
 
@@ -107,7 +112,7 @@ def frame_ssim(spark, sf_dir):
 
 def global_motion(spark, sf_dir):
     x = _neighbours(spark, sf_dir).select("frame_idx", motion()("a", "b").alias("m"))
-    return x.select("frame_idx", "m.dy", "m.dx", F.round(F.hypot("m.dx", "m.dy"), 6).alias("magnitude"))
+    return x.select("frame_idx", F.round("m.dy", 6).alias("dy"), F.round("m.dx", 6).alias("dx"), F.round(F.hypot("m.dx", "m.dy"), 6).alias("magnitude"))
 
 
 QUERIES = {f.__name__: f for f in (laplacian_variance, texture_flicker, diff_heat, frame_ssim, global_motion)}

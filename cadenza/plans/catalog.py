@@ -57,6 +57,7 @@ SQL = {
     "ground_truth_odd": "SELECT o_orderkey AS frame_idx, round(avg(abs(l_extendedprice - o_totalprice)), 7) AS mae, round(max(abs(l_extendedprice - o_totalprice)), 4) AS max_diff FROM {orders} o JOIN {lineitem} l ON o.o_orderkey = l.l_orderkey WHERE o_orderkey % 2 = 1 GROUP BY o_orderkey",
     "even_source_join": "SELECT s.o_orderkey AS k, o.o_orderkey AS out_idx, round(abs(s.o_totalprice - o.o_totalprice), 4) AS d FROM {orders} s JOIN {orders} o ON s.o_orderkey = CAST(floor(o.o_orderkey / 2) AS BIGINT) WHERE o.o_orderkey % 2 = 0",
     "cut_hybrid": f"WITH {LAG}, d AS (SELECT clip_id, frame_idx, abs(x - x1) / 100 AS da, abs(x - xn) / 100 AS db, abs(x - (x1 + xn) / 2) / 100 AS dm, abs(x1 - xn) / 100 AS cut FROM l WHERE frame_idx % 2 = 1 AND xn IS NOT NULL) SELECT clip_id, CAST(count_if(cut >= 0.35) AS BIGINT) AS cuts, CAST(count_if(cut >= 0.35 AND ((da > 0.2 AND db > 0.2) OR dm < 0.12)) AS BIGINT) AS hybrids FROM d GROUP BY clip_id",
+    "cut_intermediate": f"WITH {EV}, c AS (SELECT a.clip_id, CAST(floor(a.frame_idx / 2) AS BIGINT) AS k, a.x AS xa, b.x AS xb FROM ev a JOIN ev b ON a.clip_id = b.clip_id AND b.frame_idx = a.frame_idx + 2 WHERE a.frame_idx % 2 = 0 AND abs(a.x - b.x) / 100 >= 0.35) SELECT c.clip_id, c.k, m.frame_idx, CASE WHEN (abs(m.x - xa) / 100 > 0.2 AND abs(m.x - xb) / 100 > 0.2) OR abs(m.x - (xa + xb) / 2) / 100 < 0.12 THEN 1 ELSE 0 END AS hybrid FROM c JOIN ev m ON m.clip_id = c.clip_id AND m.frame_idx = 2 * c.k + 1",
     "pair_route": f"WITH {LAG} SELECT clip_id, frame_idx, CASE WHEN abs(x - x1) / 100 >= 0.35 THEN 'repeat_cut' WHEN abs(x - x1) / 100 >= 0.12 THEN 'blend' WHEN abs(x - x1) < 0.8 THEN 'repeat_dup' ELSE 'model' END AS route FROM l WHERE x1 IS NOT NULL",
     "box_overlap_pairs": f"WITH {BOX} SELECT a.frame_idx, CAST(count(*) AS BIGINT) AS pairs FROM b0 a JOIN b0 b ON a.frame_idx = b.frame_idx AND a.i < b.i AND least(a.bx + a.bw, b.bx + b.bw) - greatest(a.bx, b.bx) > 8 AND least(a.y + a.bh, b.y + b.bh) - greatest(a.y, b.y) > 15 GROUP BY a.frame_idx",
     "best_pair_argmax": f"WITH {BOX}, c AS (SELECT a.frame_idx, a.i AS ia, b.i AS ib, a.circ * b.circ AS s, row_number() OVER (PARTITION BY a.frame_idx ORDER BY a.circ * b.circ DESC, a.i, b.i) AS rn FROM b0 a JOIN b0 b ON a.frame_idx = b.frame_idx AND a.i % 2 = 1 AND b.i % 2 = 0 AND sqrt((a.bx - b.bx) * (a.bx - b.bx) + (a.y - b.y) * (a.y - b.y)) BETWEEN 25 AND 160) SELECT frame_idx, ia, ib, round(s, 6) AS score FROM c WHERE rn = 1",
@@ -78,7 +79,7 @@ SQL = {
     "envelope_clamp": f"WITH {LAG} SELECT clip_id, frame_idx, round(CASE WHEN x > greatest(x1, xn) + 10 THEN greatest(x1, xn) + 10 WHEN x < least(x1, xn) - 10 THEN least(x1, xn) - 10 ELSE x END, 6) AS v, CASE WHEN x > greatest(x1, xn) + 20 OR x < least(x1, xn) - 20 THEN 1 ELSE 0 END AS firefly FROM l WHERE frame_idx % 2 = 1 AND x1 IS NOT NULL AND xn IS NOT NULL",
     "technical_status": f"WITH {EV}, a AS (SELECT clip_id, count(*) AS n, max(x) AS mx, avg(x) AS mae FROM ev GROUP BY clip_id) SELECT clip_id, CASE WHEN mae > 200 OR mx > 1e6 THEN 'FAIL' WHEN abs(n - 2000) > 5 THEN 'WARN' ELSE 'PASS' END AS status, abs(n - 2000) <= 5 AS frame_ok FROM a",
     "perf_score": "SELECT o_orderkey, CASE WHEN r <= 1 THEN CAST(10 AS DOUBLE) WHEN r <= 1.3 THEN 10 - (r - 1) / 0.3 * 1.5 WHEN r <= 1.6 THEN 8.5 - (r - 1.3) / 0.3 * 2.5 ELSE greatest(1.0, 6 - 2 * (r - 1.6)) END AS score, CASE WHEN r <= 1.3 THEN 'PASS' WHEN r <= 1.6 THEN 'WARN' ELSE 'FAIL' END AS status FROM (SELECT o_orderkey, o_totalprice / 100000 AS r FROM {orders}) t",
-    "realtime_factor": "SELECT o_orderkey, round(greatest(o_totalprice, 0.001) / greatest(1000.0, 0.001), 5) AS rtf, round(1000 / greatest(o_totalprice, 0.001), 5) AS fps FROM {orders}",
+    "realtime_factor": "SELECT o_orderkey, round(greatest(o_totalprice, 0.001) / greatest(1000.0, 0.001), 5) AS rtf, round(1000 / greatest(o_totalprice, 0.001), 5) AS fps, round(499 / greatest(o_totalprice, 0.001), 5) AS generated_fps FROM {orders}",
     "timestamp_format": "SELECT event_id, lpad(CAST(CAST(floor(value / 3600) AS BIGINT) AS VARCHAR(20)), 2, '0') || ':' || lpad(CAST(CAST(floor(value / 60) AS BIGINT) % 60 AS VARCHAR(20)), 2, '0') || ':' || lpad(CAST(CAST(floor(value) AS BIGINT) % 60 AS VARCHAR(20)), 2, '0') AS stamp FROM {events}",
     "bitrate_target": "SELECT o_orderkey, round(least(12e6 * greatest(0.4, r), greatest(3.5e6 * greatest(0.4, r), 1.45 * s)), 2) AS rate FROM (SELECT o_orderkey, o_totalprice * 20 AS s, o_totalprice / 200000 AS r FROM {orders}) t",
     "reconcile_frames": "SELECT o_orderkey, CAST(CASE WHEN abs(o_totalprice - o_orderkey * 25) > greatest(3, 5) THEN o_orderkey * 25 ELSE floor(o_totalprice) END AS BIGINT) AS n_frames FROM {orders}",

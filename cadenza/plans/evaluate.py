@@ -341,6 +341,16 @@ def technical(source_meta: DataFrame, output_meta: DataFrame, c: Config) -> Data
     return x.withColumn("warnings", F.array_compact(F.array(*[F.when(w, F.lit(text)) for w, text in says]))).select("clip_id", "expected_frames", "fps_ok", "frame_diff", "frames_ok", "audio_diff", "audio_ok", "warnings", F.col("s_duration").alias("source_duration"))
 
 
+def validate(meta: DataFrame, expected: DataFrame, fps: float = 50.0, most: int = 5) -> DataFrame:
+    """meta of outputs, expected(clip_id, frames, sound) -> clip_id, valid and errors: rate within 0.5, frames within `most`, sound where it is expected."""
+    c = F.col
+    x = meta.join(expected.select(c("clip_id").alias("of_clip"), "frames", "sound"), c("clip_id").eqNullSafe(c("of_clip")))
+    rate = F.when(c("nominal_fps") > 0, c("nominal_fps")).otherwise(c("avg_fps"))
+    says = ((F.abs(rate - fps) > 0.5, "rate"), (c("sound") & (F.coalesce(F.size("audio"), F.lit(0)) <= 0), "audio"), (F.abs(c("nb_frames") - c("frames")) > most, "frames"))
+    x = x.withColumn("errors", F.array_compact(F.array(*[F.when(F.coalesce(w, F.lit(True)), F.lit(t)) for w, t in says])))
+    return x.select("clip_id", (F.size("errors") == 0).alias("valid"), "errors")
+
+
 def pts_checks(pts: DataFrame, stretch: float = 60.0) -> DataFrame:
     """pts(clip_id, pts_time) -> duplicates and gaps over 80 ms between neighbours in time.
 

@@ -2,6 +2,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from cadenza.operators import geometry as G
 
 SCHEMA = "frame_idx long, i long, x double, y double, r double, circ double"
@@ -67,3 +69,15 @@ def test_bundles_equal_plain_loops(spark):
     got = {r.k: (len(r.s.a), len(r.s.b), r.s.misfits, r.s.bent) for r in d.select("k", G.bundles(d.lines).alias("s")).collect()}
     assert got == {k: plain_bundles(x) for k, x in rows}
     assert sum(m for _, _, m, _ in got.values()) and sum(b for *_, b in got.values())
+
+
+def test_ball_mask(spark):
+    d = spark.createDataFrame([(5.2, 6.0, 30.0, 12.0, 1.4), (3.0, 3.0, 3.0, 3.0, 0.0), (None, 1.0, 1.0, 1.0, 1.0)], "ax double, ay double, bx double, by double, r double")
+    got = [r.m for r in d.select(G.ball_mask(*[F.col(c) for c in d.columns], 20, 40).alias("m")).collect()]
+    assert got[2] is None and len(got[0]) == 800
+    for m, (p, q, s, t, r) in zip(got, ((5, 6, 30, 12, 5), (3, 3, 3, 3, 4))):
+        for i, v in enumerate(m):
+            y, x = divmod(i, 40)
+            u = max(0, min(1, ((x - p) * (s - p) + (y - q) * (t - q)) / max(1, (s - p) ** 2 + (t - q) ** 2)))
+            mid = (18, 9) if s == 30 else (3, 3)
+            assert v == (math.hypot(x - p - u * (s - p), y - q - u * (t - q)) <= r or math.hypot(x - mid[0], y - mid[1]) <= r + 2)

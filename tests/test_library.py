@@ -25,10 +25,14 @@ def test_ssim_and_motion(spark):
             got.append((2 * mu * mv + 6.5025) * (2 * c + 58.5225) / ((mu**2 + mv**2 + 6.5025) * (su + sv + 58.5225)))
     assert np.isclose(kernels.ssim_arrays(a[:1], a[1:2])[0], np.mean(got))
     dy, dx = kernels.shift_arrays(a, np.roll(a, (2, -3), (1, 2)))
-    assert set(dy) == {2} and set(dx) == {-3}
+    assert np.allclose(dy, 2) and np.allclose(dx, -3)
+    y, x = np.mgrid[:32, :32]
+    spot = lambda cy, cx: 255 * np.exp(-((y - cy) ** 2 + (x - cx) ** 2) / 18)
+    dy, dx = kernels.shift_arrays(spot(14, 15)[None], spot(15.5, 12.75)[None])
+    assert abs(dy[0] - 1.5) < 0.5 and abs(dx[0] + 2.25) < 0.5  # between pixels
     rows = [(0, a[0].ravel().tolist(), np.roll(a[0], 1, 0).ravel().tolist())]
     r = spark.createDataFrame(rows, "i int, a array<double>, b array<double>").select(kernels.motion()("a", "b").alias("m"), kernels.ssim()("a", "a").alias("s")).first()
-    assert tuple(r.m) == (1, 0) and abs(r.s - 1) < 1e-9
+    assert np.allclose(tuple(r.m), (1, 0)) and abs(r.s - 1) < 1e-9
 
 
 def test_models(spark):

@@ -155,3 +155,15 @@ def test_commands(spark, tmp_path):
     assert main(["inspect", "--source", p("s"), "--output", p("o"), "--report", p("look"), "--frames", "2"], spark) == 0
     assert sorted(os.listdir(p("look/generated/clip=a"))) == ["00000001.png", "00000003.png"] and len(os.listdir(p("look/differences/clip=a"))) == 2
     assert spark.read.json(p("look/slow-4")).agg(F.max("pts")).first()[0] == pytest.approx(3 / 50 * 4)
+
+
+def test_validation_and_unique_values(spark):
+    from cadenza.functions.scalars import ordered_unique
+
+    kind = "clip_id string, nominal_fps double, avg_fps double, nb_frames long, audio array<int>"
+    meta = spark.createDataFrame([("good", 50.4, 50.0, 104, [1]), ("bad", 49.0, 50.0, 90, None), (None, 0.0, 50.0, 100, []), ("lost", None, None, None, None)], kind)
+    want = spark.createDataFrame([(c, 100, c == "bad") for c in ("good", "bad", None, "lost")], "clip_id string, frames long, sound boolean")
+    got = {r.clip_id: (r.valid, r["errors"]) for r in E.validate(meta, want).collect()}
+    assert got == {"good": (True, []), "bad": (False, ["rate", "audio", "frames"]), None: (True, []), "lost": (False, ["rate", "frames"])}
+    r = spark.createDataFrame([(["b", None, "a", "", "b"],)], "v array<string>").select(ordered_unique(F.col("v")).alias("v")).first()
+    assert r.v == ["b", "a"]
