@@ -3,7 +3,10 @@
 Defined results: null or empty text has zero features and still a score; labels that are null are
 not learnt from; a doc_id with several label rows is learnt from once a row; with labels of one
 class only, or none, every score is 0.5; rows with a null doc_id are scored and not held out.
-Bounded samples, both parameters: max_train labelled rows, and `pairs` preference pairs drawn of them.
+Bounded samples, both parameters: max_train labelled rows of documents, and `pairs` preference pairs drawn
+of them; rows are chosen by a hash of doc_id and text, so a doc_id that repeats in docs or labels counts
+once a row and can take no more than that bound. A text of any length is read whole, in one task's memory;
+an empty table has no scores.
 A line counts towards the "worst line" from 40 characters on, in texts of every length.
 """
 from pyspark.sql import DataFrame
@@ -99,15 +102,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", m
 
     Columns of docs named in carry stay on their row, in place of doc_id alone.
 
-    Learns from at most max_train labelled rows outside the held-out fold, chosen by a hash of
-    doc_id; the same scores go to every document.
+    Learns from at most max_train rows of labelled documents outside the held-out fold; the bound holds
+    after labels and documents have met. The same scores go to every document.
     """
     import math
 
     base = math.log(cut / (1 - cut))
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(label).alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)  # a broadcast of max_train rows at most
-    train = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", feature_column().alias("x"))
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id", "text").alias("h"), "doc_id", "y", feature_column().alias("x"))
+    train = met.orderBy("h", "doc_id", "y", "x").limit(max_train)
     train = train.orderBy("doc_id", "y", "x").select("x", "y").collect()
     model = fit([r.x for r in train], [int(r.y) for r in train], pairs) if train else None
     x = F.col(FEATURES)

@@ -17,3 +17,15 @@ def test_letters_equal_isalpha():
     every = "".join(map(chr, range(0x110000)))
     assert quality.n_letters(every) == sum(map(str.isalpha, every))
     assert quality.n_letters("") == 0
+
+
+def test_a_repeated_labelled_document_cannot_exceed_the_bound(spark):
+    rows = [(7, f"line {i} of many words that repeat")  for i in range(900)] + [(i, "Words of a text.") for i in range(20, 60)]
+    labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(20, 60)], "doc_id long, quality int")
+    seen, own = [], quality.fit
+    try:
+        quality.fit = lambda x, y, pairs: seen.append(len(x)) or own(x, y, pairs, steps=3)
+        out = quality.quality_scores(spark.createDataFrame(rows, "doc_id long, text string"), labels, max_train=50, pairs=100)
+    finally:
+        quality.fit = own
+    assert seen == [50] and out.count() == len(rows)
