@@ -6,8 +6,11 @@ from cadenza.llm import licenses
 KNOWN = licenses.passages(licenses.TEMPLATES)
 
 
-def found(text):
-    return [n for _, _, b in licenses.blocks(text) for _, _, n, _ in licenses.notices(b, KNOWN, lambda n, s: 1.0, 0.25, 0.2)]
+SAVING = licenses.savings(licenses.TEMPLATES)
+
+
+def found(text, saving=SAVING):
+    return [n for _, _, b in licenses.blocks(text, licenses.reach(KNOWN, 0.2)) for _, _, n, _ in licenses.notices(b, KNOWN, saving, 0.25, 0.2)]
 
 
 @pytest.mark.parametrize("text,want", [
@@ -51,3 +54,41 @@ def test_spans(spark):
     text = "Intro line.\nReleased under the MIT License.\nLicensed under the Apache License, Version 2.0.\nSPDX-License-Identifier: ISC"
     x = licenses.license_scan(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).collect()
     assert [(r.license, text[r.start : r.end], r.differing) for r in x] == [("MIT", "Released under the MIT License.", []), ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", []), ("ISC", "SPDX-License-Identifier: ISC", [])]
+
+
+GRANT = licenses.TEMPLATES["MIT"].split(". ", 1)[1]
+
+
+@pytest.mark.parametrize("glue", ["\n", "\n * ", " ", "  ", "\n# "])
+def test_a_notice_of_any_number_of_lines(glue):
+    """One word a line: no bound on lines, cues over line ends."""
+    assert found(glue.join(GRANT.split())) == ["MIT"]
+    assert found("Some words before.\n" + glue.join(licenses.TEMPLATES["GPL-3.0"].split()) + "\nMore words.") .count("GPL-3.0") >= 2
+
+
+def test_compression_decides():
+    """Without what the dictionaries save nothing is confirmed, and an inexact notice needs its saving."""
+    none = lambda s: dict.fromkeys(licenses.TEMPLATES, 0.0)
+    flat = lambda s: dict.fromkeys(licenses.TEMPLATES, 0.01)
+    inexact = GRANT.replace("of charge", "of any charge").replace("deal in", "work with")
+    assert found(GRANT, none) == found(inexact, none) == []
+    assert found(inexact) == ["MIT"] and found(inexact, flat) == []
+    wrong = lambda s: {n: v if n != "MIT" else 0.0 for n, v in SAVING(s).items()}
+    assert found(GRANT, wrong) == []
+
+
+@pytest.mark.parametrize("unit", ["MIT License ", "under the Apache License, Version 2.0 ", "GPLv2 or LGPL ", GRANT[:-1] + " "])
+def test_a_line_of_a_million_letters(unit):
+    import time
+
+    text = unit * (1_000_000 // len(unit))
+    t = time.time()
+    names = set(found(text))
+    assert time.time() - t < 10 and names <= {"MIT", "Apache-2.0", "GPL-2.0"}
+
+
+def test_other_ids_and_awkward_rows(spark):
+    rows = [("a", "Released under the MIT License."), (None, "Released under the MIT License."), ("a", None), ("b", ""), ("a", "Released under the MIT License.")]
+    x = licenses.license_scan(spark.createDataFrame([(*r, 1) for r in rows], "doc_id string, text string, start int")).collect()
+    assert sorted(str(r.doc_id) for r in x) == ["None", "a", "a"] and {r.license for r in x} == {"MIT"}
+    assert licenses.license_scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
