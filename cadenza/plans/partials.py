@@ -84,18 +84,18 @@ def merge_states(states: DataFrame) -> DataFrame:
 
 
 def chunk_accumulators(spark, sf_dir):
-    """Clips of the events table, odd chunks and even chunks apart, merged."""
+    """Clips of the events table, odd chunks and even chunks apart, merged. What lies half way between two roundings goes up, whatever the order of sums."""
     from cadenza.plans.catalog import EV_SPLIT
 
     ev = spark.sql(f"WITH {EV_SPLIT} SELECT clip_id, frame_idx, x FROM ev", events=table(spark, sf_dir, "events"))
     states = chunk_states(ev, 300)
     x = merge_states(states.filter("chunk_id % 2 = 1").unionByName(states.filter("chunk_id % 2 = 0")))
-    return x.select("clip_id", "n", *[F.round(k, 5).alias(k) for k in ("mean", "sd", "most", "step", "bend")], F.array_join("histogram", ",").alias("histogram"))
+    return x.select("clip_id", "n", *[F.round(F.col(k) + 1e-9, 5).alias(k) for k in ("mean", "sd", "most", "step", "bend")], F.array_join("histogram", ",").alias("histogram"))
 
 
 QUERIES = {"chunk_accumulators": chunk_accumulators}
 ORACLES = {
     "chunk_accumulators": f"""WITH l AS (SELECT event_type AS clip_id, value AS x, lag(value, 1) OVER w AS x1, lag(value, 2) OVER w AS x2 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))
-SELECT clip_id, count(*) AS n, round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS sd, round(max(x), 5) AS most, round(avg(abs(x - x1)), 5) AS step, round(avg(abs(x1 - (x2 + x) / 2)), 5) AS bend,
+SELECT clip_id, count(*) AS n, round(avg(x) + 1e-9, 5) AS mean, round(stddev_pop(x) + 1e-9, 5) AS sd, round(max(x) + 1e-9, 5) AS most, round(avg(abs(x - x1)) + 1e-9, 5) AS step, round(avg(abs(x1 - (x2 + x) / 2)) + 1e-9, 5) AS bend,
  array_to_string([{", ".join(f"count_if(greatest(0, least({BINS - 1}, floor(x / {WIDTH}))) = {k})" for k in range(BINS))}], ',') AS histogram FROM l GROUP BY clip_id""",
 }
