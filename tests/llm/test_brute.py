@@ -62,21 +62,76 @@ def test_fit_orders_pairs():
 
 
 def test_em_equals_a_plain_one():
+    """Labelers that abstain at random: estimates equal those of arrays over all rows, and come near the truth."""
     rng = np.random.default_rng(4)
-    true = rng.random(3000) < 0.3
-    votes = np.where(true[:, None], rng.random((3000, 4)) < (0.9, 0.7, 0.8, 0.6), rng.random((3000, 4)) < (0.05, 0.1, 0.2, 0.1)).astype(int)
+    true = rng.random(20000) < 0.3
+    votes = np.where(np.where(true[:, None], rng.random((20000, 4)) < (0.9, 0.7, 0.8, 0.65), rng.random((20000, 4)) < (0.05, 0.1, 0.2, 0.1)), 1, -1) * (rng.random((20000, 4)) < (0.9, 0.8, 0.9, 0.7))
     counts = {}
     for v in map(tuple, votes.tolist()):
         counts[v] = counts.get(v, 0) + 1
     prior, yes, no = pii.em(counts)
-    p, a, b = 0.5, np.full(4, 0.8), np.full(4, 0.2)
+    p, a, b = 0.3, np.full(4, 0.8), np.full(4, 0.2)
+    odds = lambda q: np.where(votes > 0, q, np.where(votes < 0, 1 - q, 1)).prod(1)
     for _ in range(60):
-        one, two = p * np.where(votes, a, 1 - a).prod(1), (1 - p) * np.where(votes, b, 1 - b).prod(1)
+        one, two = p * odds(a), (1 - p) * odds(b)
         r = one / (one + two)
-        p = r.mean()
-        a, b = (1 + r @ votes) / (2 + r.sum()), (1 + (1 - r) @ votes) / (2 + (1 - r).sum())
+        p = min(0.4, max(0.02, (1 + r.sum()) / (4 + len(r))))
+        a = np.clip((8 + r @ (votes > 0)) / (10 + r @ (votes != 0)), 0.55, 0.999)
+        b = np.clip((2 + (1 - r) @ (votes > 0)) / (10 + (1 - r) @ (votes != 0)), 0.001, 0.45)
     assert abs(p - prior) < 1e-9 and np.allclose(a, yes) and np.allclose(b, no)
-    assert abs(prior - 0.3) < 0.03 and np.abs(np.array(yes) - (0.9, 0.7, 0.8, 0.6)).max() < 0.06
+    assert abs(prior - 0.3) < 0.03 and np.abs(np.array(yes) - (0.9, 0.7, 0.8, 0.65)).max() < 0.06 and np.abs(np.array(no) - (0.05, 0.1, 0.2, 0.1)).max() < 0.06
+
+
+@pytest.mark.parametrize("votes", [(0, -1, -1, 0), (0, 0, 0, -1), (-1, 0, 0, 0), (0, 0, 0, 0)])
+def test_one_pattern_that_nobody_votes_for_is_rejected(votes):
+    """Where all candidates have one vote pattern, the classes keep their places."""
+    prior, yes, no = pii.em({votes: 70})
+    assert pii.posterior(votes, prior, yes, no) < 0.5
+    w0, wv, size, place = pii.classifier([(votes, 1, 5, 70)])
+    assert w0 + sum(p if v > 0 else q if v < 0 else 0 for v, (p, q) in zip(votes, wv)) + size[1] + place[5] < 0
+
+
+def test_planted_secrets_and_persons(spark):
+    """Spans planted in prose among license names, repeated words, places and hashes: precision and recall of both kinds."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("aeionrstlm"), rng.integers(2, 9)))
+    prose = lambda: " ".join(word() for _ in range(rng.integers(5, 30)))
+    code = lambda n: "".join(rng.choice(list("abcdefghjkmnpqrstuvwxyz23456789ABCDEFGHJK"), n))
+    given, family = list(rng.choice(pii.GIVEN, 60, replace=False)), ["Weber", "Carter", "Rossi", "Novak", "Okafor", "Lindqvist", "Moreau", "Tanaka"]
+    name = lambda: f"{rng.choice(given)} {rng.choice(family)}"
+    other = lambda: f"{word().title()}x {rng.choice(family)}"
+    planted = {
+        "person": [lambda: ("Mr. ", name(), " said"), lambda: ("signed: ", name(), "\n"), lambda: ("and ", name(), " came"), lambda: ("patient: ", other(), ", aged"), lambda: ("and ", f"{rng.choice(given)} Q. {rng.choice(family)}", " went")],
+        "secret": [lambda: ("password=", code(18) + "7a1", " "), lambda: ('token = "', code(30) + "b2", '" '), lambda: ("AKIA: ", "AKIA" + "Q7Z" + code(13).upper(), " ")],
+        "": [lambda: ("under the ", "Apache License", ", Version"), lambda: ("the GNU ", "General Public License", ", version"), lambda: ("", "The The The", " The"), lambda: ("in ", "New York", " there"), lambda: ("the ", "Supreme Court", " of"),
+             lambda: ("commit ", "3f2a9c4b7d1e", " "), lambda: ("see ", "document20241231", " "), lambda: ("/img/", "photo20240102x", ".png")],
+    }
+    rows, want = [], {"person": set(), "secret": set()}
+    for i in range(600):
+        text = ""
+        for kind in rng.choice(list(planted), 2):
+            a, v, b = planted[kind][rng.integers(len(planted[kind]))]()
+            text += prose() + "\n" + prose() + " " + a
+            if kind:
+                want[kind].add((i, len(text), len(text) + len(v)))
+            text += v + b
+        rows.append((i, text))
+    got = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for kind, truth in want.items():
+        found = {(r.doc_id, s.start, s.end) for r in got for s in r[kind]}
+        assert len(found & truth) / len(found) > 0.97 and len(found & truth) / len(truth) > 0.95, (kind, len(found & truth), len(found), len(truth), sorted(found - truth)[:3], sorted(truth - found)[:3])
+
+
+def test_overlaps_equal_brute_force(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        cuts = sorted(rng.choice(60, 2 * rng.integers(0, 6), replace=False).tolist())
+        s = int(rng.integers(0, 58))
+        rows.append((i, list(zip(cuts[::2], cuts[1::2])), (s, s + int(rng.integers(1, 9)))))
+    d = spark.createDataFrame(rows, "i int, b array<struct<start:int,end:int>>, c struct<start:int,end:int>")
+    got = {r.i: r.o for r in d.select("i", pii.overlaps(pii.F.col("b"), pii.F.col("c")).alias("o")).collect()}
+    assert got == {i: any(x < c[1] and c[0] < y for x, y in b) for i, b, c in rows}
 
 
 def test_added_spans(spark):
