@@ -66,26 +66,60 @@ def directions(dim: int, n_proj: int, seed: int):
 UNITS = 8192
 
 
-def count_windows(p, q, width: int, least: int):
-    """(rows, columns) of pairs whose projections p[i], q[j] lie in each other's window at least `least` times.
+def prefix_sets(q):
+    """(sorted values, prefix sets) of one projection: row r of the prefix sets holds, as bits, the vectors of the first r places."""
+    order, words = np.argsort(q, kind="stable"), -(-len(q) // 64)
+    one = np.zeros((len(q) + 1, words), np.uint64)
+    one[np.arange(1, len(q) + 1), order >> 6] = np.uint64(1) << (order & 63).astype(np.uint64)
+    return q[order].astype(np.int32), np.bitwise_or.accumulate(one, axis=0)
 
-    A query's window in the order of one projection is centred on its own value. The counts of all
-    pairs of a stretch of queries stand in one matrix of bytes.
-    """
-    hits = np.zeros((len(p), len(q)), np.int8)
-    for t in range(p.shape[1]):
-        hits += np.abs(p[:, t][:, None] - q[:, t][None]) <= width
-    return np.nonzero(hits >= least)
 
+def count_windows(p, q, width: int, least: int, stretch: int = 256):
+    """Yields (rows, columns) of pairs whose projections p[i], q[j] lie in each other's window at least `least` times.
 
-def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 24, block: int = 4096, sigmas: float = 1.5, recall: float = 0.99999, seed: int = 5) -> DataFrame:
+    Every projection of q is sorted. The window centred on a query's own value is a run of places in
+    that order, and the set of what it holds the difference of two prefix sets. The sets of all
+    projections are added bit by bit: plane b of the counters holds bit b of all counts of a query.
+    """
+    n, planes = len(q), max(1, int(p.shape[1]).bit_length())
+    sorts = [prefix_sets(q[:, t]) for t in range(p.shape[1])]
+    spare = np.zeros((2, stretch, sorts[0][1].shape[1]), np.uint64)
+    for a in range(0, len(p), stretch):
+        block = p[a : a + stretch].astype(np.int32)
+        count = np.zeros((planes, len(block), sorts[0][1].shape[1]), np.uint64)
+        for t, (values, sets) in enumerate(sorts):
+            lo = np.searchsorted(values, block[:, t] - width, "left")
+            hi = np.searchsorted(values, block[:, t] + width, "right")
+            carry = np.take(sets, hi, axis=0, out=spare[0][: len(block)])
+            carry ^= np.take(sets, lo, axis=0, out=spare[1][: len(block)])
+            for b in range((t + 1).bit_length()):
+                up = np.bitwise_and(count[b], carry, out=spare[1 - b % 2][: len(block)])
+                count[b] ^= carry
+                carry = up
+        more, same = np.zeros_like(count[0]), np.full_like(count[0], ~np.uint64(0))
+        for b in range(planes - 1, -1, -1):  # counts against `least`, from the highest bit
+            if least >> b & 1:
+                same &= count[b]
+            else:
+                more |= same & count[b]
+                same &= ~count[b]
+        more |= same
+        i, w = np.nonzero(more)
+        bits = (more[i, w][:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+        k, z = np.nonzero(bits)
+        j = w[k] * 64 + z
+        ok = j < n
+        yield a + i[k][ok], j[ok]
+
+
+def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 32, block: int = 4096, sigmas: float = 2.0, recall: float = 0.99999, seed: int = 5) -> DataFrame:
     """vecs(vec_id, embedding, label) -> (vec_id, n_links, component_id, kept).
 
     Equal vectors of a label become one class first. Classes lie along a Hilbert curve of their first
     projections and are cut into blocks. For each block the range of every projection is known; two
     blocks meet only if enough of their ranges reach into each other's windows for a pair to pass. In
-    a pair of blocks window collisions of all projections are counted, and pairs with the calibrated
-    count verified by cosine. A task returns link counts and a spanning forest, never pairs.
+    a pair of blocks every projection is sorted, collisions in the window around each query are counted
+    over all projections, and pairs with the calibrated count verified by cosine. A task returns link counts and a spanning forest, never pairs.
     """
     import math
 
@@ -145,10 +179,8 @@ def embedding_near_dedup(vecs: DataFrame, cosine: float = 0.93, n_proj: int = 24
         rows = np.arange(len(x)) if one else np.flatnonzero((pdf["pid"] == pdf["i"]).to_numpy())
         other = rows if one else np.flatnonzero((pdf["pid"] == pdf["j"]).to_numpy())
         count, root, q = np.zeros(len(x)), np.arange(len(x)), p[other]
-        for k in range(0, len(rows), 256):
-            r = rows[k : k + 256]
-            i, j = count_windows(p[r], q, int(width(x.shape[1])), least)
-            i, j = r[i], other[j]
+        for i, j in count_windows(p[rows], q, int(width(x.shape[1])), least):
+            i, j = rows[i], other[j]
             if one:
                 i, j = i[i < j], j[i < j]
             ok = np.concatenate([np.einsum("ij,ij->i", x[i[z : z + 65536]], x[j[z : z + 65536]]) >= cosine for z in range(0, max(1, len(i)), 65536)])

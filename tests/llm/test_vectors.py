@@ -55,21 +55,44 @@ def test_near_dedup_awkward_rows(spark):
     assert len(kept) == len(rows)
 
 
+@pytest.mark.parametrize("n, m, least, stretch", [(1, 1, 3, 256), (63, 64, 1, 10), (130, 257, 5, 64), (200, 65, 8, 256), (5, 300, 9, 2)])
+def test_windows_counted_by_prefix_sets(n, m, least, stretch):
+    """Counts over sorted projections equal those of all pairs, with ties and at the ends of the range."""
+    rng = np.random.default_rng(n)
+    p, q = rng.integers(-20, 20, (n, 9)).astype(np.int16), rng.integers(-20, 20, (m, 9)).astype(np.int16)
+    p[0], q[-1] = 32767, 32767
+    hits = (np.abs(p[:, None].astype(int) - q[None]) <= 6).sum(2)
+    got = [x for i, j in vectors.count_windows(p, q, 6, least, stretch) for x in zip(i.tolist(), j.tolist())]
+    assert len(got) == len(set(got)) and set(got) == set(zip(*(x.tolist() for x in np.nonzero(hits >= least))))
+
+
+def test_few_pairs_are_verified():
+    """Of unrelated pairs in 64 dimensions fewer than one in a thousand reaches the count."""
+    import math
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2000, 64))
+    z = np.round(x / np.linalg.norm(x, axis=1)[:, None] @ vectors.directions(64, 32, 5) * vectors.UNITS).astype(np.int16)
+    least = vectors.calibrated(32, math.erf(2 / math.sqrt(2)), 0.99999)
+    seen = sum(len(i) for i, _ in vectors.count_windows(z[:1000], z[1000:], int(2 * math.sqrt(0.14) / 8 * vectors.UNITS + 2), least))
+    assert seen < 1000
+
+
 def test_recall_of_the_counts():
     """Pairs at the threshold, by the rule of the operator, in several dimensions."""
     import math
 
     rng = np.random.default_rng(1)
     far = math.sqrt(2 - 2 * 0.93)
-    least = vectors.calibrated(24, math.erf(1.5 / math.sqrt(2)), 0.99999)
+    least = vectors.calibrated(32, math.erf(2 / math.sqrt(2)), 0.99999)
     for dim in (2, 3, 8, 64, 300):
         a, t = rng.normal(size=(2, 4000, dim))
         a /= np.linalg.norm(a, axis=1)[:, None]
         t -= (t * a).sum(1)[:, None] * a
         t /= np.linalg.norm(t, axis=1)[:, None]
         b = 0.9301 * a + math.sqrt(1 - 0.9301**2) * t
-        p, q = (np.round(x @ vectors.directions(dim, 24, 5) * vectors.UNITS) for x in (a, b))
-        hits = (np.abs(p - q) <= int(1.5 * far / math.sqrt(dim) * vectors.UNITS + 2)).sum(1)
+        p, q = (np.round(x @ vectors.directions(dim, 32, 5) * vectors.UNITS) for x in (a, b))
+        hits = (np.abs(p - q) <= int(2 * far / math.sqrt(dim) * vectors.UNITS + 2)).sum(1)
         assert (hits >= least).mean() > 0.999
 
 
