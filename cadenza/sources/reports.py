@@ -51,8 +51,64 @@ def render_html(title: str, columns: list[str], rows: list) -> str:
     return f"<!doctype html><title>{html.escape(title)}</title><table><tr>{head}</tr>{body}</table>"
 
 
+STYLE = (
+    "body{font:15px sans-serif;margin:2em;color:#222}table{border-collapse:collapse;margin:1em 0}td,th{border:1px solid #ccc;padding:.3em .7em;text-align:left}"
+    ".bar{width:12em;background:#eee}.bar i{display:block;height:.9em;background:#4a7}.low i{background:#c54}.pill{border-radius:1em;padding:.1em .8em;background:#ddd}.good{background:#bdb}.bad{background:#ebb}"
+)
+
+
+def escape_html(c):
+    """Column: text with the five marks of HTML escaped; null is empty."""
+    c = F.coalesce(c.cast("string"), F.lit(""))
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        c = F.replace(c, F.lit(mark), F.lit(name))
+    return c
+
+
+def score_bar(score, full: float = 5.0):
+    """Column: a bar as wide as the share of `full`, cut to 0 to 100 %, and the score; a dash for null."""
+    share = F.least(F.lit(100.0), F.greatest(F.lit(0.0), score.cast("double") / full * 100))
+    bar = F.concat(F.when(share < 60, '<div class="bar low">').otherwise('<div class="bar">'), F.lit('<i style="width:'), F.round(share).cast("int").cast("string"), F.lit('%"></i></div>'), F.format_string("%.2f", score.cast("double")))
+    return F.when(score.isNull() | F.isnan(score.cast("double")), "–").otherwise(bar)
+
+
+def status_pill(status):
+    """Column: a coloured mark by the first word of a status."""
+    first = F.upper(F.regexp_extract(F.coalesce(status, F.lit("")), r"([A-Za-z-]+)", 1))
+    kind = F.when(first.isin("PASS", "EXCELLENT", "GOOD", "APPROVED", "PREFERRED"), "pill good").when(first.isin("FAIL", "POOR", "REJECTED", "UNACCEPTABLE"), "pill bad").otherwise("pill")
+    return F.concat(F.lit('<span class="'), kind, F.lit('">'), escape_html(status), F.lit("</span>"))
+
+
+def dashboards(scores: DataFrame, moments: DataFrame, key: str = "clip_id", bars: tuple = (), pills: tuple = (), full: float = 5.0, top: int = 20) -> DataFrame:
+    """One standalone page for each row of scores -> (key, page), made where the row is.
+
+    bars, pills: columns of scores shown as bars and as statuses; the others stand as text, in their order.
+    moments(key, and the columns of MOMENT that there are): the `top` most severe of a clip, then of the
+    highest anomaly score, then the earliest; a clip without moments says so. Rows of moments are ranked
+    before they are gathered, so a list holds `top` at most. A null key matches a null key.
+    """
+    from pyspark.sql import Window as W
+
+    name = lambda c: "`" + c.replace("`", "``") + "`"
+    names = [c.split(" ")[0] for c in MOMENT.split(", ")]
+    shown = [c for c in names if c in moments.columns]
+    order = [F.desc_nulls_last(c) for c in ("severity", "anomaly_score") if c in shown] + [F.asc_nulls_last(c) for c in ("frame_index", "timestamp_sec", "anomaly_type", "description") if c in shown]
+    row = F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), escape_html(F.col(c)), F.lit("</td>")) for c in shown], F.lit("</tr>"))
+    ranked = moments.select(F.col(name(key)).alias("k"), F.row_number().over(W.partitionBy(name(key)).orderBy(*order or [F.lit(1)])).alias("rank"), row.alias("row")).filter(F.col("rank") <= top)
+    lists = ranked.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("rank", "row"))).alias("rows"))
+    cell = lambda c: score_bar(F.col(name(c)), full) if c in bars else status_pill(F.col(name(c))) if c in pills else escape_html(F.col(name(c)))
+    lines = [F.concat(F.lit(f"<tr><th>{html.escape(c)}</th><td>"), cell(c), F.lit("</td></tr>")) for c in scores.columns if c != key]
+    body = scores.select(F.col(name(key)).alias("k"), F.concat(F.lit("<table>"), *lines, F.lit("</table>")).alias("body"))
+    head = F.lit("<tr>" + "".join(f"<th>{c}</th>" for c in shown) + "</tr>")
+    found = F.concat(F.lit("<table>"), head, F.array_join(F.transform("rows", lambda r: r["row"]), ""), F.lit("</table>"))
+    title = escape_html(F.col("b.k"))
+    page = F.concat(F.lit('<!doctype html><html><head><meta charset="utf-8"><title>'), title, F.lit(f"</title><style>{STYLE}</style></head><body><h1>"), title, F.lit("</h1>"), F.col("body"), F.lit("<h2>Moments</h2>"),
+                    F.coalesce(found, F.lit("<p>none</p>")), F.lit("</body></html>"))
+    return body.alias("b").join(lists.alias("l"), F.col("b.k").eqNullSafe(F.col("l.k")), "left").select(F.col("b.k").alias(key), page.alias("page"))
+
+
 def write_report(scores: DataFrame, moments: DataFrame, path: str, keys: list[str], top: int = 20) -> None:
-    """json, long csv, csv of all moments, and a page and text of the scores and `top` moments.
+    """json, long csv, csv of all moments, a page and text of the scores and `top` moments, and a page of each clip (`pages`, where moments have clip_id).
 
     The JSON written first is what the other reports read, so scores are computed once.
     """
@@ -66,6 +122,15 @@ def write_report(scores: DataFrame, moments: DataFrame, path: str, keys: list[st
     page = render_html("scores", scores.columns, scores.orderBy(*keys).limit(top).collect()) + render_html("moments", moments.columns, some)
     for name, text in (("html", page), ("text", render_text(some))):
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{path}/{name}")
+    if "clip_id" in scores.columns and "clip_id" in moments.columns:
+        _write_pages(scores, moments, path, top)
+
+
+def _write_pages(scores: DataFrame, moments: DataFrame, path: str, top: int) -> None:
+    """A page a line under its clip's folder; columns of status and numbers up to 5 as pills and bars."""
+    numbers = tuple(f.name for f in scores.schema if f.dataType.typeName() in ("double", "float") and not f.name.endswith(("seconds", "factor", "psnr")))
+    states = tuple(f.name for f in scores.schema if f.dataType.typeName() == "string" and f.name.endswith(("status", "recommendation", "performance")))
+    dashboards(scores, moments, bars=numbers, pills=states, top=top).write.mode("overwrite").partitionBy("clip_id").option("lineSep", "\n").text(f"{path}/pages")
 
 
 def record_chunks(results: DataFrame, path: str) -> None:
