@@ -7,7 +7,8 @@ segments with at most two together, so pairs of segments' keys find every link;
 
 Defined results: null text has no words (fingerprint zero); rows are linked by their fingerprints
 alone, so rows that only share a doc_id stay apart; rows with a null doc_id take part like any other,
-and a component without a doc_id has component_id null; other columns may have any name.
+and a component without a doc_id has component_id null; repeated rows are rows of the result; an empty table
+gives no rows; a text of any length is read whole, in one task's memory; other columns may have any name.
 """
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
