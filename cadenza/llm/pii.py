@@ -36,7 +36,7 @@ PERSON = r"\p{Lu}(?<![\p{L}\p{N}].)\p{Ll}{1,20}+(?:[ ]\p{Lu}(?:\p{Ll}{1,20}+|\.)
 GAZETTEER = r"(?i)(password|passwd|passphrase|pwd|secret|token|key|credentials?|auth|bearer|contraseña|passwort|kennwort|clave)[^A-Za-z0-9]{0,4}$"
 HARMLESS = r"(?i)(commit|sha-?[0-9]*|md5|hash|checksum|digest|revision|uuid|guid|isbn|version|build|serial|model|order|article)[^A-Za-z0-9]{0,4}$"
 FORMATS = "^((?i:[0-9a-f]{16,})|AKIA[0-9A-Z]{12,}|gh[pousr][A-Za-z0-9]{30,}|sk[A-Za-z0-9]{30,})$"
-#: Given names of several languages (a parameter of find_pii), words that no name holds, words that open sentences.
+#: Given names of several languages (the default of a parameter of find_pii), words that no name holds, words that open sentences.
 GIVEN = """James John Robert Michael William David Richard Joseph Thomas Charles Christopher Daniel Matthew Anthony Mark Donald Steven Paul Andrew Joshua Kenneth Kevin Brian George Edward Ronald
 Timothy Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Stephen Larry Scott Frank Raymond Samuel Patrick Alexander Jack Dennis Henry Peter Mary Patricia Jennifer Linda Elizabeth Barbara
 Susan Jessica Sarah Karen Lisa Nancy Betty Margaret Sandra Ashley Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca Laura Sharon Cynthia Kathleen Amy Angela Anna Emma Helen
