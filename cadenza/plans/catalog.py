@@ -108,6 +108,12 @@ s AS (SELECT clip_id, part, max_by(v, frame_idx) FILTER (WHERE v IS NOT NULL) AS
 b AS (SELECT clip_id, part, last(v, true) OVER (PARTITION BY clip_id ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s)
 SELECT r.clip_id, frame_idx, coalesce(last(r.v, true) OVER (PARTITION BY r.clip_id, r.part ORDER BY frame_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), before) AS roi
  FROM r JOIN b ON r.clip_id <=> b.clip_id AND r.part = b.part""",
+    # as EXISTS, Spark pairs every line with the distinct ends of all frames; the first two lines of a frame stand before its others.
+    # Lines equal up to the discount are equal in bx and y, so the flags need not order them
+    "ghost_semi": """WITH f AS (SELECT l_orderkey AS frame_idx, l_quantity, l_discount, row_number() OVER w AS i, first(l_quantity) OVER w AS q1, first(l_discount) OVER w AS d1, nth_value(l_quantity, 2) OVER w AS q2, nth_value(l_discount, 2) OVER w AS d2
+ FROM {lineitem} WHERE l_orderkey IS NOT NULL WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber NULLS LAST, l_partkey NULLS LAST, l_suppkey NULLS LAST, l_quantity NULLS LAST, l_extendedprice NULLS LAST, l_shipdate NULLS LAST, l_tax NULLS LAST, l_discount NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+c AS (SELECT frame_idx, l_quantity * 10 AS bx, l_discount * 1000 AS y, q1 * 10 AS ax, d1 * 1000 AS ay, q2 * 10 - q1 * 10 AS dx, d2 * 1000 - d1 * 1000 AS dy FROM f WHERE i > 2)
+SELECT DISTINCT frame_idx FROM c WHERE abs((bx - ax) * dy - (y - ay) * dx) <= 6 * sqrt(dx * dx + dy * dy + 1) AND (bx - ax) * dx + (y - ay) * dy BETWEEN 0 AND dx * dx + dy * dy""",
     "overlap_merge_dedup": f"""WITH {CHUNK_SPLIT}, e AS (SELECT vec_id AS frame_idx, explode(array(CAST(floor(vec_id / 50) AS BIGINT) - 1, CAST(floor(vec_id / 50) AS BIGINT))) AS chunk_id FROM {{embeddings}})
 SELECT frame_idx, e.chunk_id FROM e JOIN chunks ON e.chunk_id = chunks.chunk_id WHERE frame_idx BETWEEN start_frame AND end_frame AND NOT (e.chunk_id > 0 AND frame_idx = start_frame)""",
 }
