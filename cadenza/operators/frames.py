@@ -4,9 +4,14 @@ from pyspark.sql import functions as F
 from cadenza.session import table
 
 
+def scaled(v):
+    """A vector as pixels of 0..255."""
+    return F.transform(v, lambda x: (x.cast("double") + 1) * 127.5)
+
+
 def pixels(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    return e.select(F.col("vec_id").alias("frame_idx"), "label", F.transform("embedding", lambda x: (x.cast("double") + 1) * 127.5).alias("px"))
+    return e.select(F.col("vec_id").alias("frame_idx"), "label", scaled("embedding").alias("px"))
 
 
 def mse(a, b):

@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.operators.frames import scaled
 from cadenza.operators.kernels import SIDE, _neighbours, _stack, ssim_arrays
+from cadenza.session import table
 
 #: Weights of the four scales.
 SCALES = (0.0448, 0.2856, 0.3001, 0.2363)
@@ -34,66 +36,75 @@ def frame_difference(a, b, grid=64):
 
 
 def _half(x):
-    h, w = x.shape[0] // 2 * 2, x.shape[1] // 2 * 2
-    return (x[:h:2, :w:2] + x[1:h:2, :w:2] + x[:h:2, 1:w:2] + x[1:h:2, 1:w:2]) / 4
+    h, w = x.shape[-2] // 2 * 2, x.shape[-1] // 2 * 2
+    return (x[..., :h:2, :w:2] + x[..., 1:h:2, :w:2] + x[..., :h:2, 1:w:2] + x[..., 1:h:2, 1:w:2]) / 4
 
 
 def flow(a, b, reach=4, half=2, least=24):
-    """(h, w, 2) whole-pixel (dy, dx) that take a to b: least block difference, ties to the shortest step.
+    """(h, w, 2) whole-pixel (dy, dx) that take a to b: least block difference, ties to the shortest step. Stacks (n, h, w) give (n, h, w, 2).
 
     Every step of up to `reach` pixels is tried; frames of `least` pixels a side or more are first searched
     at half their size, and 2 pixels around that answer are tried too. So motion reaches `reach` pixels of
     the smallest size: 4 of an 8 x 8 frame, about 38 of a 160 pixel one.
     """
-    h, w = a.shape
-    a, b, n = a.astype(float), b.astype(float), 2 * half + 1
+    if a.ndim == 2:
+        return flow(a[None], b[None], reach, half, least)[0]
+    n, h, w = a.shape
+    a, b, k = a.astype(float), b.astype(float).reshape(n, -1), 2 * half + 1
     y, x = np.mgrid[:h, :w]
-    best, out = np.full((h, w), np.inf), np.zeros((h, w, 2), int)
+    best, out = np.full((n, h, w), np.inf), np.zeros((n, h, w, 2), int)
 
     def look(start, reach):
         steps = [(dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1)]
         for dy, dx in sorted(steps, key=lambda s: (s[0] ** 2 + s[1] ** 2, s)):
-            cost = np.abs(a - b[np.clip(y + start[..., 0] + dy, 0, h - 1), np.clip(x + start[..., 1] + dx, 0, w - 1)])
-            sums = np.pad(np.pad(cost, half, mode="edge").cumsum(0).cumsum(1), ((1, 0), (1, 0)))
-            cost = sums[n:, n:] - sums[:-n, n:] - sums[n:, :-n] + sums[:-n, :-n]
+            at = np.clip(y + start[..., 0] + dy, 0, h - 1) * w + np.clip(x + start[..., 1] + dx, 0, w - 1)
+            moved = b[:, at.ravel()] if len(at) == 1 else np.take_along_axis(b, at.reshape(n, -1), 1)
+            sums = np.pad(np.abs(a - moved.reshape(n, h, w)), ((0, 0), (half, half), (half, half)), mode="edge").cumsum(1).cumsum(2)
+            sums = np.pad(sums, ((0, 0), (1, 0), (1, 0)))
+            cost = sums[:, k:, k:] - sums[:, :-k, k:] - sums[:, k:, :-k] + sums[:, :-k, :-k]
             better = cost < best - 1e-9
-            best[better], out[better] = cost[better], (start + (dy, dx))[better]
+            best[better], out[better] = cost[better], np.broadcast_to(start + (dy, dx), out.shape)[better]
 
-    look(out.copy(), reach)
+    look(np.zeros((1, h, w, 2), int), reach)
     if min(h, w) >= least:
-        coarse = np.repeat(np.repeat(2 * flow(_half(a), _half(b), reach, half, least), 2, axis=0), 2, axis=1)
-        look(np.pad(coarse, ((0, h - coarse.shape[0]), (0, w - coarse.shape[1]), (0, 0)), mode="edge"), 2)
+        coarse = np.repeat(np.repeat(2 * flow(_half(a), _half(b.reshape(n, h, w)), reach, half, least), 2, axis=1), 2, axis=2)
+        look(np.pad(coarse, ((0, 0), (0, h - coarse.shape[1]), (0, w - coarse.shape[2]), (0, 0)), mode="edge"), 2)
     return out
 
 
 def warp(img, f):
-    """img read at each pixel plus flow f, bilinear, reflected at the border."""
-    h, w = img.shape
+    """img, or each of a stack, read at each pixel plus flow f, bilinear, reflected at the border."""
+    h, w = img.shape[-2:]
     mirror = lambda x, n: np.abs((x + n - 1) % (2 * n - 2) - (n - 1)) if n > 1 else x * 0
     y, x = np.mgrid[:h, :w].astype(float)
     y, x = y + f[..., 0], x + f[..., 1]
     y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
     u, v = y - y0, x - x0
-    at = lambda i, j: img[mirror(i, h), mirror(j, w)]
+    of = (np.arange(len(img))[:, None, None],) if img.ndim == 3 else ()
+    at = lambda i, j: img[(*of, mirror(i, h), mirror(j, w))]
     return (1 - u) * ((1 - v) * at(y0, x0) + v * at(y0, x0 + 1)) + u * ((1 - v) * at(y0 + 1, x0) + v * at(y0 + 1, x0 + 1))
 
 
 def flow_consistency(a, x, b):
-    """(mean, p95, boundary mean, magnitude) of x against the middle frame that a and b alone predict.
+    """(mean, p95, boundary mean, magnitude) of x against the middle frame that a and b alone predict; of stacks, an array of each.
 
     Content moves half its flow from a and half from b; pixels whose two flows disagree by over 3 take the
     better side, as one of them is hidden. x itself has no part in the prediction, so a repeated frame is as
     far from it as the motion makes it. The boundary is where the flow from a to b changes most.
     """
+    if a.ndim == 2:
+        return tuple(float(v[0]) for v in flow_consistency(a[None], x[None], b[None]))
+    n = len(a)
     ab, ba = flow(a, b), flow(b, a)
     pa, pb = warp(a.astype(float), -ab / 2), warp(b.astype(float), -ba / 2)
     hidden = np.hypot(*np.moveaxis((ab + ba).astype(float), -1, 0)) > 3
     ra, rb = np.abs(x - pa), np.abs(x - pb)
-    res = np.where(hidden, np.minimum(ra, rb), np.abs(x - (pa + pb) / 2))
-    size = np.hypot(*np.moveaxis(ab.astype(float), -1, 0))
-    edge = sum(np.hypot(*np.gradient(ab[..., k].astype(float))) for k in (0, 1))
-    at = edge >= np.percentile(edge, 85)
-    return float(res.mean()), float(np.percentile(res, 95)), float(res[at].mean()), float(size.mean())
+    res = np.where(hidden, np.minimum(ra, rb), np.abs(x - (pa + pb) / 2)).reshape(n, -1)
+    size = np.hypot(*np.moveaxis(ab.astype(float), -1, 0)).reshape(n, -1)
+    edge = sum(np.hypot(*np.gradient(ab[..., k].astype(float), axis=(1, 2))) for k in (0, 1)).reshape(n, -1)
+    at = edge >= np.percentile(edge, 85, axis=1, keepdims=True)
+    border = np.array([r[k].mean() for r, k in zip(res, at)])
+    return res.mean(1), np.percentile(res, 95, axis=1), border, size.mean(1)
 
 
 def clamp_envelope(a, x, b, margin=10):
@@ -124,17 +135,23 @@ def frame_change(spark, sf_dir):
     return x.select("frame_idx", F.round("d", 6).alias("difference"), route.alias("route"))
 
 
-def flow_residual(spark, sf_dir):
-    n = _neighbours(spark, sf_dir)
-    t = n.join(n.select((F.col("frame_idx") - 1).alias("frame_idx"), F.col("b").alias("c")), "frame_idx")
+def _residuals(batches):
+    """Triplets in stacks of 256, small enough for the caches."""
+    for t in batches:
+        for k in range(0, len(t), 256):
+            p = t.iloc[k : k + 256]
+            m, p95, edge, size = flow_consistency(*(_stack(p[c], SIDE) for c in "abc"))
+            yield pd.DataFrame({"frame_idx": p["frame_idx"], "mean": m, "p95": p95, "boundary": edge, "magnitude": size})
 
-    @F.pandas_udf("mean double, p95 double, boundary double, magnitude double")
-    def f(a: pd.Series, x: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = [flow_consistency(*z) for z in zip(_stack(a, SIDE), _stack(x, SIDE), _stack(b, SIDE))] if len(a) else []
-        return pd.DataFrame(rows, columns=["mean", "p95", "boundary", "magnitude"], dtype=float)
 
-    x = t.select("frame_idx", f("a", "b", "c").alias("r"))
-    return x.select("frame_idx", *[F.round(f"r.{k}", 5).alias(k) for k in ("mean", "p95", "boundary", "magnitude")])
+def flow_residual(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    # dealt by a fixed number, and before pixels are doubles: vectors are few bytes, and adaptive execution would search a table of many in one task
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    side = lambda k, name: e.select((F.col("vec_id") - k).alias("frame_idx"), F.col("embedding").alias(name)).repartition(tasks, "frame_idx")
+    t = side(0, "a").join(side(1, "b"), "frame_idx").join(side(2, "c"), "frame_idx").select("frame_idx", *[scaled(k).alias(k) for k in "abc"])
+    x = t.mapInPandas(_residuals, "frame_idx long, mean double, p95 double, boundary double, magnitude double")
+    return x.select("frame_idx", *[F.round(k, 5).alias(k) for k in ("mean", "p95", "boundary", "magnitude")])
 
 
 _P = "p AS (SELECT vec_id AS frame_idx, list_transform(embedding, lambda x: (CAST(x AS DOUBLE) + 1) * 127.5) AS px FROM embeddings)"

@@ -171,3 +171,17 @@ def test_deflicker(spark):
 
     f = spark.createDataFrame([("a", i, [float(v)]) for i, v in enumerate((10, 250, 12, 14))], "clip_id string, frame_idx long, px array<double>")
     assert {r.frame_idx: r.px for r in V.deflicker(f).collect()} == {0: [10], 1: [22], 2: [12], 3: [14]}
+
+
+def test_flow_of_a_stack_is_that_of_its_frames(spark):
+    """One search for all frames of a batch, on every task there is."""
+    from cadenza.operators import vision as V
+
+    rng = np.random.default_rng(3)
+    for shape in ((40, 8, 8), (4, 26, 31)):
+        a, x, b = (rng.uniform(0, 255, shape) for _ in range(3))
+        b[::2] = np.roll(a[::2], (1, -2), (1, 2))
+        assert (V.flow(a, b) == [V.flow(p, q) for p, q in zip(a, b)]).all()
+        assert (np.array(V.flow_consistency(a, x, b)).T == [V.flow_consistency(*z) for z in zip(a, x, b)]).all()
+    parts = V.QUERIES["flow_residual"](spark, "/root/testdata/sf0.001").select("frame_idx", F.spark_partition_id().alias("p"))
+    assert parts.select("p").distinct().count() >= 4
