@@ -1,7 +1,8 @@
 """Streams whose rows arrive out of order: keyed state with timers, by transformWithState.
 
-Rows of a clip wait in list state until the watermark has passed their time, then leave in order of time
-and id; what an operator remembers of the rows before is a value state. A clip that has been silent for
+Rows of a clip wait in map state, packed by hours, until the watermark has passed their time, then leave in
+order of time and id; what an operator remembers of the rows before is a value state. Timers fire in order of
+time, each for one hour of one clip, so a task holds no more rows than those at once, however many a batch brings. A clip that has been silent for
 `idle` is finished by a timer and its state deleted (a row after such a silence starts anew), so state holds the rows of the watermark's delay and
 one value a clip that still runs. These operators need the RocksDB state store (`state_store`).
 
@@ -10,7 +11,9 @@ watermark are dropped, as are rows without time; null clips are a clip; repeated
 """
 import contextlib
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -18,6 +21,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from cadenza.session import scratch_path
 
 MONTH = 30 * 86_400_000  # the table has no silence as long as that, so its clips are whole
+HOUR = 3_600_000_000  # microseconds of a packet of waiting rows
+#: Rows that a task packs at once as they come, and those it hands on at once.
+PACK, HAND = 100_000, 10_000
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -33,60 +39,124 @@ def state_store(spark: SparkSession):
         spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
+def _bytes(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _sorted(rows: pa.Table) -> pa.Table:
+    """By time and id, then value."""
+    us, ids = rows["us"].to_numpy(), rows["id"].to_numpy()
+    if pa.types.is_floating(rows.schema.field("v").type):
+        return rows.take(np.lexsort((rows["v"].to_numpy(), ids, us)))
+    order = np.lexsort((ids, us))
+    us, ids = us[order], ids[order]
+    starts = np.flatnonzero(np.r_[True, (us[1:] != us[:-1]) | (ids[1:] != ids[:-1])])
+    for s, e in zip(starts, np.r_[starts[1:], len(order)]):
+        if e - s > 1:
+            order[s:e] = sorted(order[s:e], key=lambda k: rows["v"][k].as_py())
+    return rows.take(order)
+
+
 class Ordered(StatefulProcessor):
     """Hands rows (ts in microseconds, id, v) to `advance` in order; subclasses say what they remember and emit."""
 
-    payload, past, out = "v double", "", []
+    kind, past, out = pa.float64(), "", []
 
     def __init__(self, idle_ms: int):
         self.idle_ms = idle_ms
 
     def init(self, handle):
         self.handle = handle
-        self.waiting = handle.getListState("waiting", f"ts long, id long, {self.payload}")
+        self.waiting = handle.getMapState("waiting", "hour long, part int", "rows binary")
+        self.parts = handle.getMapState("parts", "hour long", "n int")
         self.memory = handle.getValueState("memory", f"last long, {self.past}")
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [r[:3] for pdf in rows for r in pdf[["us", "event_id", "v", "beat"]].itertuples(index=False, name=None) if not r[3]]
-        if not new:
-            return iter([])
-        self.waiting.appendList([(int(t), int(i), self.value(v)) for t, i, v in new])
-        # one timer a batch: it fires when the watermark has passed the batch's last row, and frees all rows before
-        self.handle.registerTimer(max(int(t) for t, _, _ in new) // 1000 + 1)
+        held, size, ends, parts = [], 0, {}, {}
+
+        def pack():
+            x = pa.concat_tables(held)
+            hour = x["us"].to_numpy() // HOUR
+            order = np.argsort(hour, kind="stable")
+            x, hour = x.take(order), hour[order]
+            starts = np.flatnonzero(np.r_[True, hour[1:] != hour[:-1]])
+            for s, e in zip(starts, np.r_[starts[1:], len(hour)]):
+                h, some = int(hour[s]), x.slice(s, e - s)
+                if h not in parts:
+                    parts[h] = (self.parts.getValue((h,)) or (0,))[0]
+                self.waiting.updateValue((h, parts[h]), (_bytes(some),))
+                parts[h] += 1
+                ends[h] = max(int(some["us"].to_numpy().max()), ends.get(h, int(some["us"][0].as_py())))
+
+        for pdf in rows:
+            pdf = pdf[~pdf["beat"].to_numpy(bool)]
+            if len(pdf):
+                held.append(pa.table({"us": pa.array(pdf["us"].to_numpy(np.int64)), "id": pa.array(pdf["event_id"].to_numpy(np.int64)), "v": self.values(pdf["v"])}))
+                size += len(pdf)
+            if size >= PACK:
+                pack()
+                held, size = [], 0
+        if size:
+            pack()
+        for h, n in parts.items():
+            self.parts.updateValue((h,), (n,))
+            # one timer a batch and hour: it fires when the watermark has passed the last row of them, and frees all rows before
+            self.handle.registerTimer(ends[h] // 1000 + 1)
         return iter([])
 
+    def _ready(self, hour, mark):
+        """The rows of an hour that the watermark has passed, sorted; they leave the state."""
+        n = self.parts.getValue((hour,))
+        if n is None:
+            return None
+        rows = _sorted(pa.concat_tables([pa.ipc.open_stream(self.waiting.getValue((hour, k))[0]).read_all() for k in range(n[0])]))
+        free = int(np.searchsorted(rows["us"].to_numpy(), mark))
+        if not free:
+            return None
+        for k in range(n[0]):
+            self.waiting.removeKey((hour, k))
+        if free < len(rows):
+            self.waiting.updateValue((hour, 0), (_bytes(rows.slice(free)),))
+            self.parts.updateValue((hour,), (1,))
+        else:
+            self.parts.removeKey((hour,))
+        return rows.slice(0, free)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(tuple(r) for r in self.waiting.get())
-        ready, later = [r for r in held if r[0] < mark], [r for r in held if r[0] >= mark]
+        mark, idle = timerValues.getCurrentWatermarkInMs() * 1000, self.idle_ms * 1000
+        rows = self._ready((expiredTimerInfo.getExpiryTimeInMs() - 1) * 1000 // HOUR, mark)
         memory = self.memory.get()
         last, past = (memory[0], tuple(memory[1:])) if memory is not None else (None, None)
-        out, idle = [], self.idle_ms * 1000
-        if ready:
-            self.waiting.clear()
-            if later:
-                self.waiting.appendList(later)
-        at = 0
-        while at < len(ready):  # stretches without a silence of `idle`
-            end = next((k for k in range(at + 1, len(ready)) if ready[k][0] - ready[k - 1][0] > idle), len(ready))
-            if past is not None and ready[at][0] - last > idle:
-                out, past = out + self.finish(past), None
-            past, more = self.advance(past, ready[at:end])
-            out, last, at = out + more, ready[end - 1][0], end
-        if past is not None and not later and last + idle < mark:  # nothing came for so long, and nothing that is not late can come
-            out, past = out + self.finish(past), None
+        emit = lambda out: pd.DataFrame([(key[0], *r) for r in out], columns=["clip_id", *self.out])
+        for k in range(0, len(rows) if rows is not None else 0, HAND):
+            some, out, at = rows.slice(k, HAND), [], 0
+            ready = list(zip(*(some[c].to_pylist() for c in ("us", "id", "v"))))
+            while at < len(ready):  # stretches without a silence of `idle`
+                end = next((k for k in range(at + 1, len(ready)) if ready[k][0] - ready[k - 1][0] > idle), len(ready))
+                if past is not None and ready[at][0] - last > idle:
+                    out, past = out + self.finish(past), None
+                past, more = self.advance(past, ready[at:end])
+                out, last, at = out + more, ready[end - 1][0], end
+            yield emit(out)
+        wait = self.waiting.exists()  # rows of this hour or another, whose timers follow
+        if past is not None and not wait and last + idle < mark:  # nothing came for so long, and nothing that is not late can come
+            yield emit(self.finish(past))
+            past = None
         if past is None:
             self.memory.clear()
-        elif ready:
+        elif rows is not None:
             self.memory.update((last, *past))
-            self.handle.registerTimer((last + idle) // 1000 + 2)
-        yield pd.DataFrame([(key[0], *r) for r in out], columns=["clip_id", *self.out])
+            if not wait:
+                self.handle.registerTimer((last + idle) // 1000 + 2)
 
     def finish(self, past):
         return []
 
-    def value(self, v):
-        return float(v)
+    def values(self, v):
+        return pa.array(v.to_numpy(float), self.kind)
 
 
 class Triplets(Ordered):
@@ -104,14 +174,14 @@ class Triplets(Ordered):
 class Deflicker(Ordered):
     """Holds a frame back until the next one is there: before array, held array and its number."""
 
-    payload, past, out = "v array<double>", "id long, px array<double>, before array<double>", ["frame_idx", "px"]
+    kind, past, out = pa.list_(pa.float64()), "id long, px array<double>, before array<double>", ["frame_idx", "px"]
 
     def __init__(self, idle_ms, margin):
         super().__init__(idle_ms)
         self.margin = margin
 
-    def value(self, v):
-        return [float(x) for x in v]
+    def values(self, v):
+        return pa.array([np.asarray(x, float) for x in v], self.kind)
 
     def advance(self, past, rows):
         i, px, before = past or (None, None, None)

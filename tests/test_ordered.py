@@ -62,3 +62,77 @@ def test_a_silence_starts_a_clip_anew_however_the_rows_arrive(spark, tmp_path):
         for _, _, out in drain(spark, lambda s: O.ordered_triplets(s, "5 seconds", 60_000), [*batches, [row(None, 9000, 0, None)]], tmp_path / name):
             pass
         assert sorted((r.event_id, r.x1, r.x2) for r in out.collect()) == [(0, None, None), (1, 0.0, None), (2, 1.0, 0.0), (3, None, None), (4, 3.0, None)]
+
+
+class Held:
+    """A state variable of one clip, in memory."""
+
+    def __init__(self):
+        self.kept = {}
+
+    def getValue(self, k):
+        return self.kept.get(k)
+
+    def updateValue(self, k, v):
+        self.kept[k] = v
+
+    def removeKey(self, k):
+        self.kept.pop(k, None)
+
+    def exists(self):
+        return bool(self.kept)
+
+    def get(self):
+        return self.kept.get(())
+
+    def update(self, v):
+        self.kept[()] = v
+
+    def clear(self):
+        self.kept.clear()
+
+
+class Handle:
+    def __init__(self):
+        self.timers = set()
+
+    def getMapState(self, *_):
+        return Held()
+
+    getValueState = getMapState
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+
+@pytest.mark.parametrize("hours", [1, 40])
+def test_a_timer_takes_the_rows_of_one_hour(hours):
+    """However many rows a batch brings, a task has those of an hour at once; what comes out is in order all the same."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    rng, handle, p = random.Random(hours), Handle(), O.Triplets(O.MONTH)
+    p.init(handle)
+    rows = [(h * O.HOUR + rng.randrange(O.HOUR), i % 7, float(i), False) for h in range(-hours // 2, hours // 2 + 1) for i in range(500)]
+    rows += rows[::50]  # repeated rows all come out
+    came = rng.sample(rows, len(rows))
+    list(p.handleInputRows(("a",), iter([pd.DataFrame(came[k : k + 1000], columns=["us", "event_id", "v", "beat"]) for k in range(0, len(came), 1000)]), None))
+    mark = SimpleNamespace(getCurrentWatermarkInMs=lambda: 10**12)
+    fired = [list(p.handleExpiredTimer(("a",), mark, SimpleNamespace(getExpiryTimeInMs=lambda t=t: t))) for t in sorted(handle.timers)]
+    assert max(sum(map(len, f)) for f in fired) <= 600
+    got = [r for f in fired for x in f for r in x.itertuples(index=False)]
+    want = sorted(rows)
+    assert [(r.event_id, r.x) for r in got] == [r[1:3] for r in want]
+    assert [r.x1 for r in got[1:]] == [r[2] for r in want[:-1]] and [r.x2 for r in got[2:]] == [r[2] for r in want[:-2]]
+    assert not p.waiting.exists() and not p.parts.exists()
+
+
+def test_a_clip_of_many_hours_over_batches(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [row(c, 3000 * i - 100_000 + rng.randint(0, 3), i, float(i)) for c in ("a", None) for i in range(60)]
+    rows = sorted(rows, key=lambda r: r[1].timestamp() + rng.uniform(0, 7000))  # hours late
+    for _, _, out in drain(spark, lambda s: O.ordered_triplets(s, "3 hours", O.MONTH), [rows[:50], rows[50:], [row(None, 40 * 86400, 0, None)]], tmp_path):
+        pass
+    n = lambda v: float(v) if v >= 0 else None
+    assert sorted((str(r.clip_id), r.event_id, r.x, r.x1, r.x2) for r in out.collect()) == sorted((c, i, float(i), n(i - 1), n(i - 2)) for c in ("a", "None") for i in range(60))
