@@ -7,8 +7,11 @@ before it ends in another state than a stretch began with, it is walked again fr
 none differs: a track that is lost or meets the same candidate forgets how it began, so few are.
 """
 import math
+import operator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,69 +23,103 @@ from cadenza.session import stored, table
 SPEED, LOST, ROUND, WHOLE, APART = 130.0, 3, 0.55, 0.65, (8.0, 60.0, 150.0)
 STATE = "struct<x:double,y:double,x0:double,y0:double,lost:int>"
 _STATE = pa.struct([(k, pa.float64()) for k in ("x", "y", "x0", "y0")] + [("lost", pa.int32())])
+_ENDS = pa.schema([("clip_id", pa.string()), ("stretch", pa.int64()), ("entered", _STATE), ("left", _STATE)])
 _WALKED = pa.schema([("clip_id", pa.string()), ("frame_idx", pa.int64()), ("state", pa.string()), ("x", pa.float64()), ("y", pa.float64()), ("deformed", pa.bool_()), ("duplicate", pa.bool_())])
 WALKED = "clip_id string, frame_idx long, state string, x double, y double, deformed boolean, duplicate boolean"
 
 
 def step(track, candidates, speed):
-    """(track, state, candidate, duplicate) of one frame; a track is (x, y, x0, y0, lost), or None where nothing is followed."""
+    """(track, state, candidate, duplicate) of one frame; candidates are (x, y, r, circ), a track is (x, y, x0, y0, lost), or None where nothing is followed."""
     best, state = None, "missing" if not candidates else "none"
     if track is None:
-        top = max(candidates, key=lambda c: c["circ"], default=None)
-        if top and top["circ"] >= ROUND:
-            best, track, state = top, (top["x"], top["y"], None, None, 0), "start"
+        top = max(candidates, key=_circ, default=None)
+        if top and top[3] >= ROUND:
+            best, track, state = top, (top[0], top[1], None, None, 0), "start"
     else:
-        near = min(candidates, key=lambda c: math.hypot(c["x"] - track[0], c["y"] - track[1]), default=None)
-        lost = track[4]
-        if near and math.hypot(near["x"] - track[0], near["y"] - track[1]) <= speed * (lost + 1):
-            best, track, state = near, (near["x"], near["y"], track[0], track[1], 0), "ok"
+        x, y, lost = track[0], track[1], track[4]
+        near = min(candidates, key=lambda c: math.hypot(c[0] - x, c[1] - y), default=None)
+        if near and math.hypot(near[0] - x, near[1] - y) <= speed * (lost + 1):
+            best, track, state = near, (near[0], near[1], x, y, 0), "ok"
         else:
             state = state if not near else "far" if lost else "teleport"
             track = None if lost + 1 > LOST else (*track[:4], lost + 1)
-    moved = math.hypot(track[0] - track[2], track[1] - track[3]) if track and track[2] is not None else 0.0
+    if best is None or len(candidates) < 2:
+        return track, state, best, False
+    moved = math.hypot(track[0] - track[2], track[1] - track[3]) if track[2] is not None else 0.0
     far = max(APART[1], min(APART[2], moved * 1.5))
-    second = best is not None and any(APART[0] <= math.hypot(best["x"] - c["x"], best["y"] - c["y"]) <= far for c in candidates if c is not best)
+    second = any(APART[0] <= math.hypot(best[0] - c[0], best[1] - c[1]) <= far for c in candidates if c is not best)
     return track, state, best, second
 
 
-def _track(state):
-    return None if state is None else tuple(state[k] for k in ("x", "y", "x0", "y0", "lost"))
+_circ = operator.itemgetter(3)
+_FIELDS = ("x", "y", "x0", "y0", "lost")
 
 
-def _ends(speed):
-    """A stretch -> the state it is left in, with the one it began with."""
+def _frames(batches):
+    """Rows of a sorted partition, one by one: clip, stretch, entered, frame, candidates; nothing is kept."""
+    for t in batches:
+        c = t.column("candidates")
+        flat = list(zip(*(c.flatten().field(k).to_pylist() for k in ("x", "y", "r", "circ"))))
+        ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(False))].tolist()
+        entered = t.column("entered")
+        parts = [entered.field(k).to_pylist() for k in _FIELDS]
+        states = [s if ok else None for s, ok in zip(zip(*parts), entered.is_valid().to_pylist())]
+        for k, row in enumerate(zip(t.column("clip_id").to_pylist(), t.column("stretch").to_pylist(), states, t.column("frame_idx").to_pylist())):
+            yield *row, flat[ends[k] : ends[k + 1]]
+
 
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("frame_idx")
-        entered = t.column("entered")[0].as_py()
-        track = _track(entered)
-        for c in t.column("candidates"):
-            track = step(track, c.as_py() or [], speed)[0]
-        left = None if track is None else dict(zip(("x", "y", "x0", "y0", "lost"), track))
-        return pa.table({"clip_id": t.column("clip_id").slice(0, 1), "stretch": t.column("stretch").slice(0, 1), "entered": pa.array([entered], _STATE), "left": pa.array([left], _STATE)})
+def _ends(speed):
+    """Sorted frames -> the state each stretch is left in, with the one it began with."""
+    row = lambda key, entered, left: {"clip_id": key[0], "stretch": key[1], "entered": entered and dict(zip(_FIELDS, entered)), "left": left and dict(zip(_FIELDS, left))}
+
+    def run(batches):
+        key, out, began, track = None, [], None, None
+        for clip, stretch, entered, _, candidates in _frames(batches):
+            if (clip, stretch) != key:
+                if key:
+                    out.append(row(key, began, track))
+                key, began, track = (clip, stretch), entered, entered
+                if len(out) >= 10_000:
+                    yield pa.RecordBatch.from_pylist(out, schema=_ENDS)
+                    out = []
+            track = step(track, candidates, speed)[0]
+        if key:
+            yield pa.RecordBatch.from_pylist([*out, row(key, began, track)], schema=_ENDS)
 
     return run
 
 
 def _walk(speed):
-    """A stretch -> its frames."""
-
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by("frame_idx")
-        track, rows = _track(t.column("entered")[0].as_py()), []
-        clip = t.column("clip_id")[0].as_py()
-        for k, c in zip(t.column("frame_idx").to_pylist(), t.column("candidates")):
-            track, state, best, second = step(track, c.as_py() or [], speed)
-            rows.append({"clip_id": clip, "frame_idx": k, "state": state, "x": best and best["x"], "y": best and best["y"], "deformed": best is not None and best["circ"] < WHOLE, "duplicate": second})
-        return pa.Table.from_pylist(rows, schema=_WALKED)
+    """Sorted frames -> what became of each."""
+
+    def run(batches):
+        key, track = None, None
+        for t in batches:
+            states, xs, ys, bent, two = [], [], [], [], []
+            for clip, stretch, entered, _, candidates in _frames([t]):
+                if (clip, stretch) != key:
+                    key, track = (clip, stretch), entered
+                track, state, best, second = step(track, candidates, speed)
+                states.append(state)
+                xs.append(best and best[0])
+                ys.append(best and best[1])
+                bent.append(best is not None and best[3] < WHOLE)
+                two.append(second)
+            made = [pa.array(v, k) for v, k in zip((states, xs, ys, bent, two), _WALKED.types[2:])]
+            yield pa.RecordBatch.from_arrays([t.column("clip_id"), t.column("frame_idx"), *made], schema=_WALKED)
 
     return run
 
 
+def _in_order(frames: DataFrame) -> DataFrame:
+    """Stretches whole in a partition and sorted there: Spark sorts, and a small stretch costs no group of its own."""
+    return frames.select("clip_id", "stretch", "frame_idx", "candidates", "entered").repartition("clip_id", "stretch").sortWithinPartitions("clip_id", "stretch", "frame_idx")
+
+
 def entering(frames: DataFrame, stretch: int, speed: float) -> DataFrame:
     """frames(clip_id, frame_idx, candidates, stretch) -> (clip_id, stretch, entered): the state every stretch begins with."""
     key, kind = ["clip_id", "stretch"], f"clip_id string, stretch long, entered {STATE}, left {STATE}"
-    ends = lambda x: x.groupBy(*key).applyInArrow(_ends(speed), kind)
+    ends = lambda x: _in_order(x).mapInArrow(_ends(speed), kind)
     known = stored(ends(frames.withColumn("entered", F.lit(None).cast(STATE))))
     while True:
         before = F.lag("left").over(W.partitionBy("clip_id").orderBy("stretch"))  # one row a stretch
@@ -104,11 +141,12 @@ def track(frames: DataFrame, fps: float = 50.0, stretch: int = 4096, speed: floa
     the first counts; rows of equal clip and frame follow each other in no stated order.
     """
     pick = F.transform("candidates", lambda c: F.struct(*[c[k].cast("double").alias(k) for k in ("x", "y", "r", "circ")]))
-    x = frames.select(F.col("clip_id").cast("string").alias("clip_id"), F.col("frame_idx").cast("long").alias("frame_idx"), pick.alias("candidates"), F.floor(F.col("frame_idx") / stretch).cast("long").alias("stretch"))
+    # stored: each round would make the frames again
+    x = stored(frames.select(F.col("clip_id").cast("string").alias("clip_id"), F.col("frame_idx").cast("long").alias("frame_idx"), pick.alias("candidates"), F.floor(F.col("frame_idx") / stretch).cast("long").alias("stretch")))
     limit = speed if speed is not None else SPEED * 50.0 / max(1.0, fps)
     begin = entering(x, stretch, limit).select(F.col("clip_id").alias("c"), F.col("stretch").alias("s"), "entered")
     x = x.join(begin, F.col("clip_id").eqNullSafe(F.col("c")) & (F.col("stretch") == F.col("s")))
-    return x.select("clip_id", "stretch", "frame_idx", "candidates", "entered").groupBy("clip_id", "stretch").applyInArrow(_walk(limit), WALKED)
+    return _in_order(x).mapInArrow(_walk(limit), WALKED)
 
 
 def track_scores(tracked: DataFrame, context: DataFrame | None = None) -> DataFrame:
@@ -120,10 +158,11 @@ def track_scores(tracked: DataFrame, context: DataFrame | None = None) -> DataFr
     n = tracked.groupBy("clip_id").agg(
         F.count("*").alias("frames"), F.count("x").alias("tracked"), F.count_if(F.col("state") == "teleport").alias("teleports"),
         F.count_if("duplicate").alias("duplicates"), F.count_if("deformed").alias("deformed"))
-    if context is None:
-        context = n.select("clip_id", F.lit(1.0).alias("pitch_share"), F.lit(None).cast("boolean").alias("has_ball"), F.lit(None).cast("long").alias("source_tracked"))
-    c = context.select(F.col("clip_id").alias("c"), "pitch_share", "has_ball", "source_tracked")
-    x = n.join(c, F.col("clip_id").eqNullSafe(F.col("c")), "left").drop("c")
+    if context is None:  # no join of the counts with themselves: the frames would be walked twice
+        x = n.withColumns({"pitch_share": F.lit(1.0), "has_ball": F.lit(None).cast("boolean"), "source_tracked": F.lit(None).cast("long")})
+    else:
+        c = context.select(F.col("clip_id").alias("c"), "pitch_share", "has_ball", "source_tracked")
+        x = n.join(c, F.col("clip_id").eqNullSafe(F.col("c")), "left").drop("c")
     return x.withColumn("score", scoring.ball_sequence(*[F.col(k) for k in ("frames", "tracked", "teleports", "duplicates", "deformed", "pitch_share", "has_ball", "source_tracked")]))
 
 

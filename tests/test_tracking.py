@@ -79,3 +79,19 @@ def test_scores(spark):
     assert np.allclose([score()[k] for k in "abc"], [3.0, 1.0, 5 - 0.04 / 0.08 * 1.5])
     context = spark.createDataFrame([("a", 0.1, None, None), ("b", 0.5, False, None), ("c", 0.5, True, 50)], "clip_id string, pitch_share double, has_ball boolean, source_tracked long")
     assert np.allclose([score(context)[k] for k in "abc"], [5.0, 5.0, 5 - (0.70 - 0.04) / 0.70 * 2])
+
+
+def test_frames_are_made_once(spark):
+    """However many rounds the stretches need, what makes the frames runs once."""
+    from pyspark.sql import functions as F
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(k):
+        made.add(1)
+        return k
+
+    rows = [("c", i, [(float(i), 0.0, 4.0, 0.9)]) for i in range(60)]
+    got = T.track(spark.createDataFrame(rows, SCHEMA).withColumn("frame_idx", seen("frame_idx")), stretch=8).collect()
+    assert sorted(r.frame_idx for r in got) == list(range(60)) and made.value == 60
