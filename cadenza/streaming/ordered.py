@@ -1,8 +1,10 @@
 """Streams whose rows arrive out of order: keyed state with timers, by transformWithState.
 
-Rows of a clip wait in map state, packed by hours, until the watermark has passed their time, then leave in
+Rows of a clip wait in map state, packed by stretches of time, until the watermark has passed their time, then leave in
 order of time and id; what an operator remembers of the rows before is a value state. Timers fire in order of
-time, each for one hour of one clip, so a task holds no more rows than those at once, however many a batch brings. A clip that has been silent for
+time, each for one stretch of one clip, so a task holds no more rows than those at once, however many a batch brings. A stretch
+is an hour; it is halved for dense clips and doubled for clips of few rows over many hours, so that the work of packets and
+timers follows the rows, not the hours. A clip that has been silent for
 `idle` is finished by a timer and its state deleted (a row after such a silence starts anew), so state holds the rows of the watermark's delay and
 one value a clip that still runs. These operators need the RocksDB state store (`state_store`).
 
@@ -21,9 +23,12 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from cadenza.session import scratch_path
 
 MONTH = 30 * 86_400_000  # the table has no silence as long as that, so its clips are whole
-HOUR = 3_600_000_000  # microseconds of a packet of waiting rows
-#: Rows that a task packs at once as they come, and those it hands on at once.
+HOUR = 3_600_000_000  # microseconds of a packet of waiting rows, to begin with
+#: Rows that a task packs at once as they come, and those it hands on at once; the bytes of either, which large frames reach first.
 PACK, HAND = 100_000, 10_000
+PACK_BYTES, HAND_BYTES = 16 << 20, 2 << 20
+#: Bytes of a packet: stretches are doubled below the first if there are more than FEW, and halved above the second.
+LEAST, MOST, FEW = 32 << 10, 512 << 10, 64
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -54,12 +59,23 @@ def _sorted(rows: pa.Table) -> pa.Table:
     order = np.lexsort((ids, us))
     us, ids = us[order], ids[order]
     starts = np.flatnonzero(np.r_[True, (us[1:] != us[:-1]) | (ids[1:] != ids[:-1])])
-    for s, e in zip(starts, np.r_[starts[1:], len(order)]):
-        if e - s > 1:
-            order[s:e] = sorted(order[s:e], key=lambda k: rows["v"][k].as_py())
+    ends = np.r_[starts[1:], len(order)]
+    for k in np.flatnonzero(ends - starts > 1):
+        s, e = starts[k], ends[k]
+        order[s:e] = sorted(order[s:e], key=lambda k: rows["v"][k].as_py())
     return rows.take(order)
 
 
+def _fitting(us, size: int, width: int, fresh: bool) -> int:
+    """The stretch for packets of rows at these ascending times, of so many bytes; fresh: none waits that would be too wide."""
+    count = lambda w: np.count_nonzero(np.diff(us // w)) + 1
+    while fresh and width % 2000 == 0 and size > MOST * count(width):  # whole milliseconds, as timers have
+        width //= 2
+    while (n := count(width)) > FEW and size < LEAST * n:
+        width *= 2
+    return width
+
+
 class Ordered(StatefulProcessor):
     """Hands rows (ts in microseconds, id, v) to `advance` in order; subclasses say what they remember and emit."""
 
@@ -70,69 +86,98 @@ class Ordered(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "hour long, part int", "rows binary")
-        self.parts = handle.getMapState("parts", "hour long", "n int")
+        self.waiting = handle.getMapState("waiting", "start long, part int", "rows binary")
+        self.parts = handle.getMapState("parts", "start long", "n int")
+        self.kept = handle.getValueState("kept", "width long, n long")  # the stretch of all packets, and how many stretches wait
         self.memory = handle.getValueState("memory", f"last long, {self.past}")
 
     def handleInputRows(self, key, rows, timerValues):
-        held, size, ends, parts = [], 0, {}, {}
-
-        def pack():
-            x = pa.concat_tables(held)
-            hour = x["us"].to_numpy() // HOUR
-            order = np.argsort(hour, kind="stable")
-            x, hour = x.take(order), hour[order]
-            starts = np.flatnonzero(np.r_[True, hour[1:] != hour[:-1]])
-            for s, e in zip(starts, np.r_[starts[1:], len(hour)]):
-                h, some = int(hour[s]), x.slice(s, e - s)
-                if h not in parts:
-                    parts[h] = (self.parts.getValue((h,)) or (0,))[0]
-                self.waiting.updateValue((h, parts[h]), (_bytes(some),))
-                parts[h] += 1
-                ends[h] = max(int(some["us"].to_numpy().max()), ends.get(h, int(some["us"][0].as_py())))
-
+        held, size, n_bytes, ends = [], 0, 0, {}
         for pdf in rows:
             pdf = pdf[~pdf["beat"].to_numpy(bool)]
             if len(pdf):
                 held.append(pa.table({"us": pa.array(pdf["us"].to_numpy(np.int64)), "id": pa.array(pdf["event_id"].to_numpy(np.int64)), "v": self.values(pdf["v"])}))
-                size += len(pdf)
-            if size >= PACK:
-                pack()
-                held, size = [], 0
+                size, n_bytes = size + len(pdf), n_bytes + held[-1].nbytes
+            if size >= PACK or n_bytes >= PACK_BYTES:
+                self._pack(pa.concat_tables(held), ends)
+                held, size, n_bytes = [], 0, 0
         if size:
-            pack()
-        for h, n in parts.items():
-            self.parts.updateValue((h,), (n,))
-            # one timer a batch and hour: it fires when the watermark has passed the last row of them, and frees all rows before
-            self.handle.registerTimer(ends[h] // 1000 + 1)
+            self._pack(pa.concat_tables(held), ends)
+        for end in ends.values():
+            # one timer a batch and stretch: it fires when the watermark has passed the last row of them, and frees all rows before
+            self.handle.registerTimer(end // 1000 + 1)
         return iter([])
 
-    def _ready(self, hour, mark):
-        """The rows of an hour that the watermark has passed, sorted; they leave the state."""
-        n = self.parts.getValue((hour,))
+    def _pack(self, x, ends):
+        """Adds rows to the packets of their stretches; ends gets the last time of each."""
+        x = x.take(np.argsort(x["us"].to_numpy(), kind="stable"))
+        us, kept = x["us"].to_numpy(), self.kept.get()
+        old, n = kept or (HOUR, 0)
+        width = _fitting(us, x.nbytes, old, not n)
+        if n and width > old:
+            n = self._widen(width)
+        at = us // width * width
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        for s, e in zip(starts, np.r_[starts[1:], len(at)]):
+            start, end = int(at[s]), int(us[e - 1])
+            parts = (self.parts.getValue((start,)) or (0,))[0]
+            n += not parts
+            self.waiting.updateValue((start, parts), (_bytes(x.slice(s, e - s)),))
+            self.parts.updateValue((start,), (parts + 1,))
+            ends[start] = max(end, ends.get(start, end))
+        self.kept.update((width, n))
+
+    def _widen(self, width):
+        """Moves the waiting packets to wider stretches, each of which holds whole ones of before; returns how many there are now."""
+        now = {}
+        for start, parts in sorted((k[0], v[0]) for k, v in self.parts.iterator()):
+            to = start // width * width
+            if to != start:
+                for k in range(parts):
+                    self.waiting.updateValue((to, now.get(to, 0) + k), tuple(self.waiting.getValue((start, k))))
+                    self.waiting.removeKey((start, k))
+                self.parts.removeKey((start,))
+            now[to] = now.get(to, 0) + parts
+        for to, parts in now.items():
+            self.parts.updateValue((to,), (parts,))
+        return len(now)
+
+    def _ready(self, us, mark):
+        """The rows of the stretch of this time that the watermark has passed, sorted, which leave the state; whether others wait."""
+        kept = self.kept.get()
+        if kept is None:
+            return None, False
+        width, stretches = kept
+        start = us // width * width
+        n = self.parts.getValue((start,))
         if n is None:
-            return None
-        rows = _sorted(pa.concat_tables([pa.ipc.open_stream(self.waiting.getValue((hour, k))[0]).read_all() for k in range(n[0])]))
+            return None, True
+        rows = _sorted(pa.concat_tables([pa.ipc.open_stream(self.waiting.getValue((start, k))[0]).read_all() for k in range(n[0])]))
         free = int(np.searchsorted(rows["us"].to_numpy(), mark))
         if not free:
-            return None
+            return None, True
         for k in range(n[0]):
-            self.waiting.removeKey((hour, k))
+            self.waiting.removeKey((start, k))
         if free < len(rows):
-            self.waiting.updateValue((hour, 0), (_bytes(rows.slice(free)),))
-            self.parts.updateValue((hour,), (1,))
+            self.waiting.updateValue((start, 0), (_bytes(rows.slice(free)),))
+            self.parts.updateValue((start,), (1,))
+            return rows.slice(0, free), True
+        self.parts.removeKey((start,))
+        if stretches > 1:
+            self.kept.update((width, stretches - 1))
         else:
-            self.parts.removeKey((hour,))
-        return rows.slice(0, free)
+            self.kept.clear()
+        return rows, stretches > 1
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         mark, idle = timerValues.getCurrentWatermarkInMs() * 1000, self.idle_ms * 1000
-        rows = self._ready((expiredTimerInfo.getExpiryTimeInMs() - 1) * 1000 // HOUR, mark)
+        rows, wait = self._ready((expiredTimerInfo.getExpiryTimeInMs() - 1) * 1000, mark)  # the others' timers follow
         memory = self.memory.get()
         last, past = (memory[0], tuple(memory[1:])) if memory is not None else (None, None)
         emit = lambda out: pd.DataFrame([(key[0], *r) for r in out], columns=["clip_id", *self.out])
-        for k in range(0, len(rows) if rows is not None else 0, HAND):
-            some, out, at = rows.slice(k, HAND), [], 0
+        hand = min(HAND, 1 + HAND_BYTES * len(rows) // rows.nbytes) if rows is not None else HAND
+        for k in range(0, len(rows) if rows is not None else 0, hand):
+            some, out, at = rows.slice(k, hand), [], 0
             ready = list(zip(*(some[c].to_pylist() for c in ("us", "id", "v"))))
             while at < len(ready):  # stretches without a silence of `idle`
                 end = next((k for k in range(at + 1, len(ready)) if ready[k][0] - ready[k - 1][0] > idle), len(ready))
@@ -141,7 +186,6 @@ class Ordered(StatefulProcessor):
                 past, more = self.advance(past, ready[at:end])
                 out, last, at = out + more, ready[end - 1][0], end
             yield emit(out)
-        wait = self.waiting.exists()  # rows of this hour or another, whose timers follow
         if past is not None and not wait and last + idle < mark:  # nothing came for so long, and nothing that is not late can come
             yield emit(self.finish(past))
             past = None

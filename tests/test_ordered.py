@@ -155,3 +155,53 @@ def test_deflicker_takes_the_frames_of_one_hour():
     px = [r[2] for r in sorted(rows, key=lambda r: r[:3])]
     want = [px[0]] + [[max(min(a, b) - 10, min(max(a, b) + 10, v)) for a, v, b in zip(*px[k - 1 : k + 2])] for k in range(1, 200)] + [px[200]]
     assert [r.px for f in fired for x in f for r in x.itertuples(index=False)] == want
+
+
+def fire(p, handle, ms=10**13):
+    """What each timer gives, in their order, once the watermark is there."""
+    from types import SimpleNamespace
+
+    mark = SimpleNamespace(getCurrentWatermarkInMs=lambda: ms)
+    return [list(p.handleExpiredTimer(("a",), mark, SimpleNamespace(getExpiryTimeInMs=lambda t=t: t))) for t in sorted(handle.timers)]
+
+
+def given(p, rows, n=10_000):
+    import pandas as pd
+
+    list(p.handleInputRows(("a",), iter([pd.DataFrame(rows[k : k + n], columns=["us", "event_id", "v", "beat"]) for k in range(0, len(rows), n)]), None))
+
+
+@pytest.mark.parametrize("kind", ["sparse", "dense"])
+def test_packets_and_timers_follow_the_rows(kind):
+    """An hour each would be 5,000 timers for as many rows, or all rows at once."""
+    rng, handle, p = random.Random(3), Handle(), O.Deflicker(O.MONTH, 10.0)
+    p.init(handle)
+    step = O.HOUR if kind == "sparse" else O.HOUR // 100_000
+    rows = [((i - 2000) * step, i, [float(i % 50)], False) for i in range(5_000 if kind == "sparse" else 100_000)]
+    given(p, rng.sample(rows, len(rows)))
+    fired = fire(p, handle)
+    assert len(fired) <= 130 and max(sum(map(len, f)) for f in fired) < 30_000
+    assert [r.frame_idx for f in fired for x in f for r in x.itertuples(index=False)] == list(range(len(rows) - (p.memory.get() is not None)))
+    assert not p.waiting.exists() and not p.parts.exists() and not p.kept.exists()
+
+
+def test_large_frames_go_on_by_bytes():
+    handle, p = Handle(), O.Deflicker(O.MONTH, 10.0)
+    p.init(handle)
+    given(p, [(i, i, [float(i)] * 30_000, False) for i in range(40)])  # 9.6 MB within a millisecond
+    fired = fire(p, handle)
+    assert max(len(x) for f in fired for x in f) <= 10 and [i for f in fired for x in f for i in x["frame_idx"]] == list(range(40))
+
+
+def test_waiting_packets_are_widened(spark, tmp_path):
+    """Rows of a few hours wait when a batch of many hours comes: all leave in order, and nothing stays."""
+    day = 86_400
+    few = [row("a", 600 * i, i, float(i)) for i in range(60)]
+    many = [row("a", 36_000 + 7_200 * i, 60 + i, float(60 + i)) for i in range(400)]
+    batches = [few[30:], few[:30] + random.Random(5).sample(many, 400), [row("a", 120 * day, 0, None)], [row("a", 300 * day, 0, None)]]
+    for _, _, out in drain(spark, lambda s: O.ordered_triplets(s, "60 days", O.MONTH), batches, tmp_path):
+        pass
+    n = lambda v: float(v) if v >= 0 else None
+    assert sorted((r.event_id, r.x, r.x1, r.x2) for r in out.collect()) == [(i, float(i), n(i - 1), n(i - 2)) for i in range(460)]
+    for name in ("waiting", "parts", "kept", "memory"):
+        assert spark.read.format("statestore").option("stateVarName", name).load(str(tmp_path / "ck")).count() == 0
